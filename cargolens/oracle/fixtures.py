@@ -98,12 +98,60 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN f_customer_geo cg ON b.order_id = cg.customer_id
         LEFT JOIN f_seller_geo sg ON b.seller_id = sg.seller_id
         LEFT JOIN f_prod p ON b.product_id = p.product_id"""),
-    "f_items": (("f_items_geo",), f"""
-        SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price,
+    "f_items": (("f_items_full",), """
+        SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+        FROM f_items_full"""),
+    "f_items_full": (("f_items_geo",), f"""
+        SELECT *,
                floor((5.0{D} + 0.9{D} * coalesce(chargeable_kg, 1.0{D}) + 0.006{D} * coalesce(distance_km, 1000.0{D})
                       + 100.0{D} * l_tax * (1.0{D} + (seller_id % 5) * 0.3{D})) * 100.0{D} + 0.5{D}) / 100.0{D}
                    AS freight_value
         FROM f_items_geo"""),
+    "f_item_star": (("f_items_full", "f_orders"), """
+        SELECT g.order_id, g.order_item_id, g.product_id, g.seller_id, g.price, g.freight_value,
+               o.customer_id, o.order_status, o.order_purchase_timestamp, g.category, g.weight_kg,
+               g.volumetric_weight_kg, g.volume_cm3, g.chargeable_kg, g.sell_lat, g.sell_lng, g.seller_state,
+               g.cust_lat, g.cust_lng, g.customer_state, g.distance_km,
+               g.freight_value / nullif(g.price, 0) AS freight_ratio
+        FROM f_items_full g LEFT JOIN f_orders o ON g.order_id = o.order_id"""),
+    "f_order_master": (("f_orders", "f_customers", "f_items", "f_payments", "f_reviews", "f_prod"), """
+        SELECT o.*, c.customer_unique_id, c.customer_state,
+               ia.n_items, ia.item_total, ia.freight_total, ia.n_sellers,
+               pa.payment_total, pa.max_installments, pa.n_payment_rows, pa.primary_payment_type,
+               rv.review_score, mc.category,
+               coalesce(ia.item_total, 0) + coalesce(ia.freight_total, 0) AS order_total,
+               ia.freight_total / nullif(ia.item_total, 0) AS freight_ratio,
+               CAST(floor((epoch_us(o.order_delivered_customer_date) - epoch_us(o.order_purchase_timestamp))
+                          / 86400000000.0::DOUBLE) AS BIGINT) AS delivery_days,
+               CAST(floor((epoch_us(o.order_estimated_delivery_date) - epoch_us(o.order_purchase_timestamp))
+                          / 86400000000.0::DOUBLE) AS BIGINT) AS est_days,
+               CAST(floor((epoch_us(o.order_delivered_customer_date) - epoch_us(o.order_estimated_delivery_date))
+                          / 86400000000.0::DOUBLE) AS BIGINT) AS days_late,
+               coalesce(floor((epoch_us(o.order_delivered_customer_date)
+                               - epoch_us(o.order_estimated_delivery_date)) / 86400000000.0::DOUBLE) > 0, false)
+                   AS is_late,
+               strftime(o.order_purchase_timestamp, '%Y-%m') AS purchase_month,
+               strftime(o.order_purchase_timestamp, '%A') AS purchase_dow,
+               hour(o.order_purchase_timestamp) AS purchase_hour
+        FROM f_orders o
+        LEFT JOIN f_customers c ON o.customer_id = c.customer_id
+        LEFT JOIN (SELECT order_id, count(order_item_id) AS n_items, sum(price) AS item_total,
+                          sum(freight_value) AS freight_total, count(DISTINCT seller_id) AS n_sellers
+                   FROM f_items GROUP BY 1) ia ON o.order_id = ia.order_id
+        LEFT JOIN (SELECT order_id, sum(payment_value) AS payment_total,
+                          max(payment_installments) AS max_installments,
+                          count(payment_sequential) AS n_payment_rows,
+                          arg_max(payment_type, (payment_value, -payment_sequential)) AS primary_payment_type
+                   FROM f_payments GROUP BY 1) pa ON o.order_id = pa.order_id
+        LEFT JOIN (SELECT order_id, arg_max(review_score, (review_creation_date, review_id)) AS review_score
+                   FROM f_reviews GROUP BY 1) rv ON o.order_id = rv.order_id
+        LEFT JOIN (SELECT i.order_id, arg_max(p.category, (i.price, -i.order_item_id)) AS category
+                   FROM f_items i LEFT JOIN f_prod p ON i.product_id = p.product_id GROUP BY 1) mc
+          ON o.order_id = mc.order_id"""),
+    "f_delivered": (("f_order_master",), """
+        SELECT * FROM f_order_master WHERE order_status = 'delivered'"""),
+    "f_d": (("f_delivered",), """
+        SELECT * FROM f_delivered WHERE delivery_days IS NOT NULL"""),
     "f_orders": (("f_items_geo",), f"""
         SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
                order_approved_at + INTERVAL 2 DAY AS order_delivered_carrier_date,

@@ -1,3 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
 from . import q_sources  # noqa: F401
+from . import q_mart  # noqa: F401

@@ -37,11 +37,9 @@ def _cached(m: Market, key: str, build):
 def item_star(m: Market) -> DataFrame:
     """JON-1: order lines left-joined to orders, products, sellers and customers."""
     def build():
-        g = m.items_geo
-        it = m.items.select("order_id", "order_item_id", "freight_value")
+        g = m.items_full
         o = m.orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
-        return (g.join(it, ["order_id", "order_item_id"], "left")
-                .join(o, "order_id", "left")
+        return (g.join(o, "order_id", "left")
                 .select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",
                         "customer_id", "order_status", "order_purchase_timestamp", "category", "weight_kg",
                         "volumetric_weight_kg", "volume_cm3", "chargeable_kg", "sell_lat", "sell_lng",
@@ -108,15 +106,14 @@ def item_frame(m: Market) -> DataFrame:
     products, with basket counts, distance, same-state flag and calendar parts;
     price > 0 only."""
     def build():
-        g = m.items_geo.filter(F.col("customer_state").isNotNull() & F.col("seller_state").isNotNull())
-        it = m.items.select("order_id", "order_item_id", "freight_value")
+        g = m.items_full.filter(F.col("customer_state").isNotNull() & F.col("seller_state").isNotNull())
         o = m.orders.select("order_id", "order_purchase_timestamp", "order_estimated_delivery_date",
                             "order_delivered_customer_date")
         pf = m.product_features.select("product_id", "photos_qty", "name_len", "desc_len")
         basket = m.items.groupBy("order_id").agg(F.count("order_item_id").alias("n_items"),
                                                  F.count_distinct("seller_id").alias("n_sellers"))
         ts = F.col("order_purchase_timestamp")
-        return (g.join(it, ["order_id", "order_item_id"]).join(o, "order_id")
+        return (g.join(o, "order_id")
                 .join(pf, "product_id", "left").join(basket, "order_id")
                 .filter(F.col("price") > 0)
                 .select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",

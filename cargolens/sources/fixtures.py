@@ -188,17 +188,23 @@ class Market:
         df = (base.join(cg, base.order_id == cg.customer_id, "left")
               .join(sg, "seller_id", "left")
               .join(pf, "product_id", "left"))
-        return df.withColumn("distance_km", haversine_km("sell_lat", "sell_lng", "cust_lat", "cust_lng"))
+        return (df.drop("customer_id")
+                .withColumn("distance_km", haversine_km("sell_lat", "sell_lng", "cust_lat", "cust_lng")))
 
     @cached_property
-    def items(self) -> DataFrame:
-        """f_items: the order-items table with its freight charge."""
+    def items_full(self) -> DataFrame:
+        """Order lines with geography, parcel and the freight charge (internal)."""
         g = self.items_geo
         freight = (F.lit(5.0) + F.lit(0.9) * F.coalesce("chargeable_kg", F.lit(1.0))
                    + F.lit(0.006) * F.coalesce("distance_km", F.lit(1000.0))
                    + F.lit(100.0) * F.col("l_tax") * (F.lit(1.0) + (F.col("seller_id") % 5) * F.lit(0.3)))
-        return g.select("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price",
-                        fixed_round(freight, 2).alias("freight_value"))
+        return g.withColumn("freight_value", fixed_round(freight, 2))
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """f_items: the order-items table with its freight charge."""
+        return self.items_full.select("order_id", "order_item_id", "product_id", "seller_id",
+                                      "shipping_limit_date", "price", "freight_value")
 
     @cached_property
     def orders(self) -> DataFrame:
