@@ -110,8 +110,18 @@ def band_order(x, edges: Sequence[float], right: bool = True) -> Column:
 
 
 def r(x, digits: int) -> Column:
-    """PRJ-20: round half to even, as every published table does."""
-    return F.bround(col(x), digits)
+    """PRJ-20: round half to even the way NumPy / pandas ``round`` do: scale the
+    double by 10^d, round the scaled binary value half to even, scale back.
+
+    Every step is plain IEEE arithmetic, so the DuckDB oracle (which expands
+    ``round_even`` to the same formula) gets bit-identical results, which
+    ``bround`` (decimal-string rounding) does not guarantee on ties."""
+    scale = float(10 ** digits)
+    y = col(x).cast("double") * F.lit(scale)
+    f = F.floor(y)
+    frac = y - f
+    rounded = (F.when(frac > 0.5, f + 1).when(frac < 0.5, f).otherwise(f + F.pmod(f, F.lit(2))))
+    return rounded / F.lit(scale)
 
 
 def fixed_round(x, digits: int) -> Column:

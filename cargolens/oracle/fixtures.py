@@ -148,6 +148,68 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN (SELECT i.order_id, arg_max(p.category, (i.price, -i.order_item_id)) AS category
                    FROM f_items i LEFT JOIN f_prod p ON i.product_id = p.product_id GROUP BY 1) mc
           ON o.order_id = mc.order_id"""),
+    "f_item_frame": (("f_items_full", "f_orders", "f_prod", "f_items"), """
+        SELECT g.order_id, g.order_item_id, g.product_id, g.seller_id, g.price, g.freight_value,
+               o.order_purchase_timestamp, o.order_estimated_delivery_date, o.order_delivered_customer_date,
+               g.category, g.weight_kg, g.volume_cm3, g.chargeable_kg, p.photos_qty, p.name_len, p.desc_len,
+               g.seller_state, g.customer_state, g.distance_km, b.n_items, b.n_sellers,
+               (g.seller_state = g.customer_state)::INTEGER AS same_state,
+               month(o.order_purchase_timestamp) AS purchase_month,
+               isodow(o.order_purchase_timestamp) - 1 AS purchase_dow,
+               hour(o.order_purchase_timestamp) AS purchase_hour
+        FROM f_items_full g
+        JOIN f_orders o ON g.order_id = o.order_id
+        LEFT JOIN f_prod p ON g.product_id = p.product_id
+        JOIN (SELECT order_id, count(order_item_id) AS n_items, count(DISTINCT seller_id) AS n_sellers
+              FROM f_items GROUP BY 1) b ON g.order_id = b.order_id
+        WHERE g.customer_state IS NOT NULL AND g.seller_state IS NOT NULL AND g.price > 0"""),
+    "f_item_features": (("f_item_frame",), """
+        SELECT order_id, order_item_id, product_id, seller_id, order_purchase_timestamp,
+               epoch_us(order_purchase_timestamp) / 1e6 AS purchase_ts, freight_value,
+               freight_value / nullif(price, 0) AS freight_ratio, ln(1 + freight_value) AS reg_target, category,
+               chargeable_kg, customer_state, desc_len, distance_km, n_items, n_sellers, name_len, photos_qty, price,
+               purchase_dow, purchase_hour, purchase_month, same_state, seller_state, volume_cm3, weight_kg
+        FROM f_item_frame"""),
+    "f_order_features": (("f_item_frame", "f_customers"), """
+        SELECT a.order_id, a.seller_id, a.seller_state, a.category, a.customer_state, a.same_state,
+               a.order_purchase_timestamp, a.purchase_month, a.purchase_dow, a.purchase_hour,
+               a.price_total, a.freight_total, a.weight_kg, a.volume_cm3, a.chargeable_kg, a.distance_km,
+               a.n_items, a.n_sellers, c.customer_unique_id,
+               a.freight_total / nullif(a.price_total, 0) AS freight_ratio,
+               (epoch_us(a.est) - epoch_us(a.order_purchase_timestamp)) / 86400000000.0 AS promised_days,
+               (floor((epoch_us(a.del) - epoch_us(a.est)) / 86400000000.0) > 0)::INTEGER AS clf_target,
+               CAST(floor((epoch_us(a.del) - epoch_us(a.est)) / 86400000000.0) AS BIGINT) AS days_late,
+               epoch_us(a.order_purchase_timestamp) / 1e6 AS purchase_ts
+        FROM (SELECT order_id,
+                     arg_max(seller_id, (price, -order_item_id)) AS seller_id,
+                     arg_max(seller_state, (price, -order_item_id)) AS seller_state,
+                     arg_max(category, (price, -order_item_id)) AS category,
+                     arg_max(customer_state, (price, -order_item_id)) AS customer_state,
+                     arg_max(same_state, (price, -order_item_id)) AS same_state,
+                     arg_max(order_purchase_timestamp, (price, -order_item_id)) AS order_purchase_timestamp,
+                     arg_max(purchase_month, (price, -order_item_id)) AS purchase_month,
+                     arg_max(purchase_dow, (price, -order_item_id)) AS purchase_dow,
+                     arg_max(purchase_hour, (price, -order_item_id)) AS purchase_hour,
+                     arg_max(order_estimated_delivery_date, (price, -order_item_id)) AS est,
+                     arg_max(order_delivered_customer_date, (price, -order_item_id)) AS del,
+                     sum(price) AS price_total, sum(freight_value) AS freight_total,
+                     coalesce(sum(weight_kg), 0) AS weight_kg, coalesce(sum(volume_cm3), 0) AS volume_cm3,
+                     coalesce(sum(chargeable_kg), 0) AS chargeable_kg, max(distance_km) AS distance_km,
+                     max(n_items) AS n_items, max(n_sellers) AS n_sellers
+              FROM f_item_frame
+              WHERE order_delivered_customer_date IS NOT NULL AND order_estimated_delivery_date IS NOT NULL
+              GROUP BY 1) a
+        LEFT JOIN f_customers c ON a.order_id = c.customer_id"""),
+    "f_order_loads": (("f_order_features", "f_orders", "f_items"), """
+        SELECT q.order_id,
+               (SELECT count(*) FROM f_orders a WHERE a.order_purchase_timestamp >= q.t - INTERVAL 7 DAY
+                                                  AND a.order_purchase_timestamp < q.t) AS platform_load_7d,
+               (SELECT count(*) FROM f_orders a WHERE a.order_purchase_timestamp >= q.t - INTERVAL 35 DAY
+                                                  AND a.order_purchase_timestamp < q.t - INTERVAL 7 DAY) AS load_28d,
+               (SELECT count(*) FROM (SELECT DISTINCT i.seller_id, i.order_id, o.order_purchase_timestamp AS t
+                                      FROM f_items i JOIN f_orders o ON i.order_id = o.order_id) s
+                 WHERE s.seller_id = q.seller_id AND s.t >= q.t - INTERVAL 7 DAY AND s.t < q.t) AS seller_load_7d
+        FROM (SELECT order_id, seller_id, order_purchase_timestamp AS t FROM f_order_features) q"""),
     "f_delivered": (("f_order_master",), """
         SELECT * FROM f_order_master WHERE order_status = 'delivered'"""),
     "f_d": (("f_delivered",), """

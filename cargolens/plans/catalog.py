@@ -2,3 +2,4 @@
 
 from . import q_sources  # noqa: F401
 from . import q_mart  # noqa: F401
+from . import q_mart2  # noqa: F401
