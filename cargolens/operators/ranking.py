@@ -4,7 +4,8 @@
 :func:`global_running` does the same computation in two phases:
 
 1. ``repartitionByRange`` on the ordering keys, so each partition holds one
-   contiguous slice of the global order;
+   contiguous slice of the global order; the slice assignment is written with
+   ``checkpoint()`` (the cluster's shared checkpoint folder) so it is fixed;
 2. running sums and row numbers inside each slice (a window partitioned by the
    slice id), plus one small table of per-slice totals (one row per slice)
    whose exclusive prefix is broadcast back as the slice offset.
@@ -21,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -37,7 +40,11 @@ def global_running(df: DataFrame, order: Sequence[Column | str], sums: dict[str,
     n = n_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = {name: (F.col(v) if isinstance(v, str) else v) for name, v in sums.items()}
     base = df.select("*", *[v.cast("double").alias(f"_v_{k}") for k, v in vals.items()])
-    sliced = base.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id())
+    # The slice id depends on the range bounds, which Spark samples from the input; the slices are
+    # checkpointed (reliably, into the shared checkpoint folder) so that the per-slice windows and the
+    # per-slice totals read the same assignment, and a lost executor does not re-sample it.
+    checkpoint_dir(spark)
+    sliced = base.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
     inner = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.select("*", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)).alias("_lk"),
                           *[F.sum(f"_v_{k}").over(inner).alias(f"_ls_{k}") for k in vals])
