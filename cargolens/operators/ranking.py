@@ -1,18 +1,19 @@
 """Global ranks and running sums without a single-partition window.
 
-``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
+``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task,
+and ``Window.partitionBy(key)`` moves every row of a hot key into one task.
 :func:`global_running` does the same computation in two phases:
 
-1. ``repartitionByRange`` on the ordering keys, so each partition holds one
-   contiguous slice of the global order; the slice assignment is written with
-   ``checkpoint()`` (the cluster's shared checkpoint folder) so it is fixed;
-2. running sums and row numbers inside each slice (a window partitioned by the
-   slice id), plus one small table of per-slice totals (one row per slice)
-   whose exclusive prefix is broadcast back as the slice offset.
+1. ``repartitionByRange`` on (keys, ordering), so each partition holds one
+   contiguous slice of the order -- a hot key simply spans several slices; the
+   slice assignment is written with ``checkpoint()`` (the cluster's shared
+   checkpoint folder) so it is fixed even if an executor is lost;
+2. running sums and row numbers inside each (slice, key), plus one small table
+   of per-(slice, key) totals whose exclusive prefix per key is joined back as
+   the offset.
 
-The offsets table has one row per partition, so its size is bounded by the
-partition count, not the data.  The ordering must be total (add a unique tie
-key) for results to be repeatable.
+The offsets table has at most (#slices + #keys) rows.  The ordering must be
+total (add a unique tie key) for results to be repeatable.
 """
 
 from __future__ import annotations
@@ -30,38 +31,69 @@ def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
 
 
 def global_running(df: DataFrame, order: Sequence[Column | str], sums: dict[str, str | Column] | None = None,
-                   index_col: str = "_k", total_prefix: str = "_total_", n_slices: int | None = None) -> DataFrame:
-    """Add a 1-based global row number ``index_col``, inclusive running sums
-    (one per entry of ``sums``: output name -> value column) and the grand
-    totals ``_total_<name>`` and ``_total_n``."""
+                   index_col: str = "_k", total_prefix: str = "_total_", n_slices: int | None = None,
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Add a 1-based row number ``index_col`` (within ``keys``), inclusive
+    running sums (output name -> value column) and the per-key totals
+    ``_total_<name>`` and ``_total_n``."""
     sums = dict(sums or {})
+    keys = list(keys)
     order = _order_exprs(order)
     spark = df.sparkSession
     n = n_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = {name: (F.col(v) if isinstance(v, str) else v) for name, v in sums.items()}
     base = df.select("*", *[v.cast("double").alias(f"_v_{k}") for k, v in vals.items()])
-    # The slice id depends on the range bounds, which Spark samples from the input; the slices are
-    # checkpointed (reliably, into the shared checkpoint folder) so that the per-slice windows and the
-    # per-slice totals read the same assignment, and a lost executor does not re-sample it.
     checkpoint_dir(spark)
-    sliced = base.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
-    inner = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.select("*", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)).alias("_lk"),
+    sliced = (base.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+              .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True))
+    part = Window.partitionBy("_slice", *keys).orderBy(*order)
+    inner = part.rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.select("*", F.row_number().over(part).alias("_lk"),
                           *[F.sum(f"_v_{k}").over(inner).alias(f"_ls_{k}") for k in vals])
-    totals = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_sn"),
-                                          *[F.sum(f"_v_{k}").alias(f"_ss_{k}") for k in vals])
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    totals = sliced.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_sn"),
+                                                 *[F.sum(f"_v_{k}").alias(f"_ss_{k}") for k in vals])
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
     offsets = totals.select(
-        "_slice",
+        "_slice", *keys,
         F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_on"),
-        F.sum("_sn").over(everything).alias(f"{total_prefix}n"),
+        F.sum("_sn").over(whole).alias(f"{total_prefix}n"),
         *[F.coalesce(F.sum(f"_ss_{k}").over(before), F.lit(0.0)).alias(f"_os_{k}") for k in vals],
-        *[F.sum(f"_ss_{k}").over(everything).alias(f"{total_prefix}{k}") for k in vals])
-    out = local.join(F.broadcast(offsets), "_slice")
+        *[F.sum(f"_ss_{k}").over(whole).alias(f"{total_prefix}{k}") for k in vals])
+    if not keys:
+        offsets = F.broadcast(offsets)          # one row per slice
+    out = local.join(offsets, ["_slice", *keys])
     return out.select(
         *[c for c in df.columns],
         (F.col("_lk") + F.col("_on")).alias(index_col),
         *[(F.col(f"_ls_{k}") + F.col(f"_os_{k}")).alias(k) for k in vals],
         F.col(f"{total_prefix}n"),
         *[F.col(f"{total_prefix}{k}") for k in vals])
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "q") -> DataFrame:
+    """One-row DataFrame with the exact ``q`` quantile of ``col`` (linear
+    interpolation between order statistics, as pandas / ``percentile``).
+
+    Works from the table of distinct values and their counts and the
+    two-phase running count, so no task collects all values of the column.
+    """
+    vc = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = global_running(vc, [F.asc("_v")], {"_cum": "_c"})
+    h = (F.col("_total__cum") - 1) * F.lit(float(q))          # positions count rows, not distinct values
+    lo, hi = F.floor(h), F.ceil(h)
+    start = F.col("_cum") - F.col("_c")
+    picked = run.select(
+        "_v", h.alias("_h"), lo.alias("_lo"),
+        ((start <= lo) & (lo < F.col("_cum"))).alias("_is_lo"),
+        ((start <= hi) & (hi < F.col("_cum"))).alias("_is_hi")).filter(F.col("_is_lo") | F.col("_is_hi"))
+    agg = picked.agg(F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_a"),
+                     F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_b"),
+                     F.max("_h").alias("_h"), F.max("_lo").alias("_lo"))
+    return agg.select((F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_b") - F.col("_a"))).alias(alias))
+
+
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row DataFrame (a broadcast equi-join on a constant key)."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one"))

@@ -210,6 +210,18 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                                       FROM f_items i JOIN f_orders o ON i.order_id = o.order_id) s
                  WHERE s.seller_id = q.seller_id AND s.t >= q.t - INTERVAL 7 DAY AND s.t < q.t) AS seller_load_7d
         FROM (SELECT order_id, seller_id, order_purchase_timestamp AS t FROM f_order_features) q"""),
+    "f_scored": (("f_order_features",), """
+        SELECT *, clf_target AS y,
+               round_even(least(greatest(0.05::DOUBLE + coalesce(distance_km, 1000.0::DOUBLE) / 10000.0::DOUBLE
+                                         + (30.0::DOUBLE - promised_days) / 100.0::DOUBLE
+                                         - 0.02::DOUBLE * same_state, 0.0), 1.0), 3) AS s
+        FROM f_order_features"""),
+    "f_cut": (("f_scored",), """
+        SELECT quantile_cont(purchase_ts, 0.8) AS c FROM f_scored"""),
+    "f_test": (("f_scored", "f_cut"), """
+        SELECT f_scored.* FROM f_scored, f_cut WHERE purchase_ts > f_cut.c"""),
+    "f_train": (("f_scored", "f_cut"), """
+        SELECT f_scored.* FROM f_scored, f_cut WHERE purchase_ts <= f_cut.c - 30 * 86400.0"""),
     "f_delivered": (("f_order_master",), """
         SELECT * FROM f_order_master WHERE order_status = 'delivered'"""),
     "f_d": (("f_delivered",), """
