@@ -71,26 +71,29 @@ def global_running(df: DataFrame, order: Sequence[Column | str], sums: dict[str,
         *[F.col(f"{total_prefix}{k}") for k in vals])
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "q") -> DataFrame:
-    """One-row DataFrame with the exact ``q`` quantile of ``col`` (linear
-    interpolation between order statistics, as pandas / ``percentile``).
+def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "q", keys: Sequence[str] = ()) -> DataFrame:
+    """Exact ``q`` quantile of ``col`` (linear interpolation between order
+    statistics, as pandas / ``percentile``): one row, or one row per ``keys``.
 
-    Works from the table of distinct values and their counts and the
-    two-phase running count, so no task collects all values of the column.
+    Works from the table of distinct values and their counts and the keyed
+    two-phase running count, so no task collects all values of a column or
+    of a hot group.
     """
-    vc = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    run = global_running(vc, [F.asc("_v")], {"_cum": "_c"})
+    keys = list(keys)
+    vc = (df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v"))
+          .agg(F.count(F.lit(1)).alias("_c")))
+    run = global_running(vc, [F.asc("_v")], {"_cum": "_c"}, keys=keys)
     h = (F.col("_total__cum") - 1) * F.lit(float(q))          # positions count rows, not distinct values
     lo, hi = F.floor(h), F.ceil(h)
     start = F.col("_cum") - F.col("_c")
     picked = run.select(
-        "_v", h.alias("_h"), lo.alias("_lo"),
+        *keys, "_v", h.alias("_h"), lo.alias("_lo"),
         ((start <= lo) & (lo < F.col("_cum"))).alias("_is_lo"),
         ((start <= hi) & (hi < F.col("_cum"))).alias("_is_hi")).filter(F.col("_is_lo") | F.col("_is_hi"))
-    agg = picked.agg(F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_a"),
-                     F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_b"),
-                     F.max("_h").alias("_h"), F.max("_lo").alias("_lo"))
-    return agg.select((F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_b") - F.col("_a"))).alias(alias))
+    agg = picked.groupBy(*keys).agg(F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_a"),
+                                    F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_b"),
+                                    F.max("_h").alias("_h"), F.max("_lo").alias("_lo"))
+    return agg.select(*keys, (F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_b") - F.col("_a"))).alias(alias))
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:

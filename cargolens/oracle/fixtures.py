@@ -222,6 +222,42 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT f_scored.* FROM f_scored, f_cut WHERE purchase_ts > f_cut.c"""),
     "f_train": (("f_scored", "f_cut"), """
         SELECT f_scored.* FROM f_scored, f_cut WHERE purchase_ts <= f_cut.c - 30 * 86400.0"""),
+    "f_icut": (("f_item_features",), """
+        SELECT quantile_cont(purchase_ts, 0.8) AS c FROM f_item_features"""),
+    "f_itest": (("f_item_features", "f_icut"), """
+        SELECT f.* FROM f_item_features f, f_icut WHERE f.purchase_ts > f_icut.c"""),
+    "f_itrain": (("f_item_features", "f_icut"), """
+        SELECT f.* FROM f_item_features f, f_icut WHERE f.purchase_ts <= f_icut.c"""),
+    "f_aud0": (("f_itest", "f_itrain"), """
+        SELECT t.*, x.est_a, x.est_b,
+               round_even(ln(1 + t.freight_value) - ln(1 + x.est_a), 9) AS resid_a,
+               round_even(ln(1 + t.freight_value) - ln(1 + x.est_b), 9) AS resid_b,
+               CASE WHEN t.price >= 0 AND t.price < 50 THEN '<50' WHEN t.price >= 50 AND t.price < 100 THEN '50-100'
+                    WHEN t.price >= 100 AND t.price < 200 THEN '100-200' WHEN t.price >= 200 AND t.price < 500
+                    THEN '200-500' WHEN t.price >= 500 THEN '500+' END AS band
+        FROM f_itest t
+        JOIN (SELECT t2.order_id, t2.order_item_id,
+                     CASE WHEN t2.distance_km IS NULL THEN NULL ELSE greatest(9.614 + 1.846 * t2.chargeable_kg
+                          + 0.811 * t2.distance_km / 100 + -3.985 * t2.same_state, 0.0) END AS est_a,
+                     coalesce(cm.m, am.m) AS est_b
+              FROM f_itest t2
+              LEFT JOIN (SELECT category, median(freight_value) AS m FROM f_itrain
+                         WHERE category IS NOT NULL GROUP BY 1) cm ON t2.category = cm.category,
+              (SELECT median(freight_value) AS m FROM f_itrain) am) x
+          ON t.order_id = x.order_id AND t.order_item_id = x.order_item_id
+        WHERE x.est_a IS NOT NULL"""),
+    "f_audit": (("f_aud0",), """
+        SELECT a.*, co.cut_a, co.cut_b, cb.bcut_a, cb.bcut_b,
+               (a.resid_a >= co.cut_a)::INT AS p_a, (a.resid_b >= co.cut_b)::INT AS p_b,
+               (a.resid_a >= co.cut_a - 1e-9)::INT AS fo_a, (a.resid_b >= co.cut_b - 1e-9)::INT AS fo_b,
+               (a.resid_a >= cb.bcut_a - 1e-9)::INT AS fb_a, (a.resid_b >= cb.bcut_b - 1e-9)::INT AS fb_b,
+               a.freight_value - a.est_a AS excess,
+               CASE WHEN a.est_a > 0 THEN a.freight_value / a.est_a END AS markup
+        FROM f_aud0 a,
+             (SELECT quantile_cont(resid_a, 0.95) AS cut_a, quantile_cont(resid_b, 0.95) AS cut_b FROM f_aud0) co,
+             (SELECT band, quantile_cont(resid_a, 0.95) AS bcut_a, quantile_cont(resid_b, 0.95) AS bcut_b
+              FROM f_aud0 GROUP BY 1) cb
+        WHERE a.band = cb.band"""),
     "f_delivered": (("f_order_master",), """
         SELECT * FROM f_order_master WHERE order_status = 'delivered'"""),
     "f_d": (("f_delivered",), """

@@ -7,3 +7,4 @@ from . import q_quality  # noqa: F401
 from . import q_stats  # noqa: F401
 from . import q_features  # noqa: F401
 from . import q_eval  # noqa: F401
+from . import q_audit  # noqa: F401

@@ -34,6 +34,14 @@ def _cached(m: Market, key: str, build):
     return cache[key]
 
 
+def memo(m: Market, key: str, build):
+    """Build a (possibly checkpointed) plan once per data folder and session and reuse it."""
+    cache = m.__dict__.setdefault("_memo", {})
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
+
+
 def item_star(m: Market) -> DataFrame:
     """JON-1: order lines left-joined to orders, products, sellers and customers."""
     def build():
