@@ -8,3 +8,4 @@ from . import q_stats  # noqa: F401
 from . import q_features  # noqa: F401
 from . import q_eval  # noqa: F401
 from . import q_audit  # noqa: F401
+from . import q_stream  # noqa: F401

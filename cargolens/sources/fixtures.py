@@ -29,18 +29,24 @@ from ..functions.columns import (LAT_BOX, LNG_BOX, add_seconds, fixed_round, flo
 from .tables import read_table
 
 
+PERSIST_CONF = "spark.cargolens.persistCore"
+
+
 class Market:
     """Lazy handle on the fixture tables of one data folder.
 
-    Each property is a lazy DataFrame.  With ``persist=True`` the two wide
-    core tables (items and orders) are persisted once (memory and disk) and
-    shared by every query built from this handle, as the reference builds
-    them once and reuses them.
+    Each property is a lazy DataFrame.  With ``persist`` on (the default, see
+    :data:`PERSIST_CONF`) the wide core tables (lines with geography and
+    freight, orders, and the item / order tables built on them) are persisted
+    once (memory and disk) and shared by every query built from this handle,
+    as the reference builds them once and reuses them.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, persist: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        if persist is None:
+            persist = spark.conf.get(PERSIST_CONF, "true").lower() == "true"
         self.persist = persist
 
     def raw(self, name: str) -> DataFrame:
@@ -198,7 +204,7 @@ class Market:
         freight = (F.lit(5.0) + F.lit(0.9) * F.coalesce("chargeable_kg", F.lit(1.0))
                    + F.lit(0.006) * F.coalesce("distance_km", F.lit(1000.0))
                    + F.lit(100.0) * F.col("l_tax") * (F.lit(1.0) + (F.col("seller_id") % 5) * F.lit(0.3)))
-        return g.withColumn("freight_value", fixed_round(freight, 2))
+        return self._keep(g.withColumn("freight_value", fixed_round(freight, 2)))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -228,10 +234,11 @@ class Market:
                       F.when((status == "delivered") & (k % 131 != 0), delivered)
                       .alias("order_delivered_customer_date"),
                       estimated.alias("order_estimated_delivery_date")))
-        return df.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
-                         "order_approved_at",
-                         add_seconds("order_approved_at", F.lit(2 * 86400)).alias("order_delivered_carrier_date"),
-                         "order_delivered_customer_date", "order_estimated_delivery_date")
+        return self._keep(df.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                                    "order_approved_at",
+                                    add_seconds("order_approved_at", F.lit(2 * 86400))
+                                    .alias("order_delivered_carrier_date"),
+                                    "order_delivered_customer_date", "order_estimated_delivery_date"))
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -290,8 +297,10 @@ class Market:
 _MARKETS: dict = {}
 
 
-def market(spark: SparkSession, sf_dir: str, persist: bool = False) -> Market:
-    """One lazy handle per (session, folder); plans are cheap to rebuild."""
+def market(spark: SparkSession, sf_dir: str, persist: bool | None = None) -> Market:
+    """One handle per (session, folder).  The wide core tables are persisted
+    (memory and disk, recomputed from lineage if an executor is lost) unless
+    ``spark.cargolens.persistCore`` is ``false``."""
     key = (id(spark), sf_dir, persist)
     m = _MARKETS.get(key)
     if m is None:
