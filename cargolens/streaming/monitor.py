@@ -55,7 +55,8 @@ def dedupe(log: DataFrame, streaming: bool = False) -> DataFrame:
 
 
 def log_stream(spark: SparkSession, events_path: str, max_files: int = 1) -> DataFrame:
-    """The log as a stream: the events files read with ``readStream`` and mapped to log lines."""
+    """The log as a stream: Parquet files landing in the folder ``events_path`` read with ``readStream``
+    and mapped to log lines."""
     ev = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(events_path))
     return log_from_events(ev)
 
