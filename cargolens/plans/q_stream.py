@@ -164,3 +164,33 @@ def str05_weekly_promise_alert(spark, sf):
     a = MON.weekly_alert_batch(wk)
     return a.select(F.date_format("week", "yyyy-MM-dd").alias("week"), "orders", r("promise", 6).alias("promise"),
                     r("trailing", 6).alias("trailing"), "alert")
+
+
+@query("snk05_log_round_trip", f"""
+WITH {_LOG_SQL}
+SELECT strftime(date_trunc('day', timestamp), '%Y-%m-%d') AS day, kind, count(*) AS rows,
+       count(*) FILTER (WHERE status = 200 AND "row" = 0) AS requests, count(*) FILTER (WHERE status <> 200) AS rejected,
+       count(*) FILTER (WHERE status = 200) AS predictions, count(*) FILTER (WHERE has_drift) AS with_drift,
+       round_even(sum(fair_freight), 6) AS fair_sum, count(*) FILTER (WHERE verdict <> 'normal') AS unusual,
+       round_even(sum(risk), 6) AS risk_sum, count(*) FILTER (WHERE on_review_list) AS on_list
+FROM lg GROUP BY 1, 2
+""")
+def snk05_log_round_trip(spark, sf):
+    """SNK-4 / SNK-5: the log written as JSON lines (plus one malformed line per rejected request) to the
+    shared checkpoint folder, read back with its schema skipping bad lines, and the STR-1 totals rebuilt."""
+    import os
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.files import read_log
+    lg = _log(spark, sf)
+    path = os.path.join(checkpoint_dir(spark), "logs", uuid.uuid4().hex)
+    good = lg.select(F.to_json(F.struct(*lg.columns)).alias("value"))
+    junk = lg.filter(F.col("status") == 422).select(F.concat(F.lit("not json "), F.col("request_id").cast("string"))
+                                                    .alias("value"))
+    good.unionByName(junk).write.mode("overwrite").text(path)
+    back = read_log(spark, path)
+    t = MON.totals_agg(back)
+    return t.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "kind", "rows", "requests", "rejected",
+                    "predictions", "with_drift", r("fair_sum", 6).alias("fair_sum"), "unusual",
+                    r("risk_sum", 6).alias("risk_sum"), "on_list")

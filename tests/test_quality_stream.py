@@ -39,3 +39,22 @@ def test_stream_totals_equal_batch_twin(spark):
     s = streamed.orderBy(*key).select(F.col("w.start").alias("ws"), "kind", "rows", "predictions", "with_drift")
     b = batch.orderBy(*key).select(F.col("w.start").alias("ws"), "kind", "rows", "predictions", "with_drift")
     assert s.collect() == b.collect()
+
+
+def test_permissive_upload(spark, tmp_path):
+    from cargolens.sources.files import read_upload
+    p = tmp_path / "up.csv"
+    p.write_text("price,freight_value,weight_kg,volume_cm3,seller_state,customer_state,seller_zip_code_prefix\n"
+                 "10,5,1,100,SP,RJ,01310\nabc,7,1,100,SP,RJ,01310\n12,,1,100,SP,SP,01310\n")
+    rows, rejects, msgs = read_upload(spark, str(p))
+    got = rows.orderBy("file_row").select("price", "freight_value", "seller_zip").collect()
+    assert [(g.price, g.freight_value, g.seller_zip) for g in got] == [(10.0, 5.0, "01310"), (None, 7.0, "01310")]
+    assert rejects.count() == 1 and msgs
+
+
+def test_upload_requires_columns(spark, tmp_path):
+    from cargolens.sources.files import read_upload
+    p = tmp_path / "bad.csv"
+    p.write_text("price\n1\n")
+    with pytest.raises(ValueError):
+        read_upload(spark, str(p))
