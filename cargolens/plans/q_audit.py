@@ -144,8 +144,8 @@ k AS (SELECT greatest(1, CAST(floor(0.05 * count(DISTINCT seller_id)) AS BIGINT)
 sc AS (SELECT seller_id, count(*) AS c, row_number() OVER (ORDER BY count(*) DESC, seller_id) AS rk FROM f GROUP BY 1)
 SELECT (SELECT count(*) FROM f) AS items_flagged,
        round_even((SELECT avg(freight_value) FROM f), 6) AS mean_actual,
-       round_even((SELECT avg(est_a) FROM f), 4) AS mean_expected,
-       round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 4) AS mean_excess,
+       round_even((SELECT avg(est_a) FROM f), 3) AS mean_expected,
+       round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 3) AS mean_excess,
        round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE FROM f) / (SELECT sum(freight_value) FROM f_audit) * 100, 6)
            AS excess_pct_of_freight,
        round_even((SELECT sum(c) FROM sc, k WHERE rk <= k.k) / (SELECT count(*) FROM f) * 100, 6) AS top_sellers_flag_pct,
@@ -170,8 +170,8 @@ def aud04_audit_summary(spark, sf):
     s2 = a.agg(F.sum("freight_value").alias("_all"),
                (F.sum(F.col("p_a") * F.col("p_b")) / F.sum(F.greatest("p_a", "p_b"))).alias("jaccard"))
     j = attach(attach(s1, s2), top)
-    return j.select("items_flagged", *_s("mean_actual"), r("mean_expected", 4).alias("mean_expected"),
-                    r("mean_excess", 4).alias("mean_excess"),
+    return j.select("items_flagged", *_s("mean_actual"), r("mean_expected", 3).alias("mean_expected"),
+                    r("mean_excess", 3).alias("mean_excess"),
                     r(F.col("_ex") / F.col("_all") * 100, 6).alias("excess_pct_of_freight"),
                     r(F.col("_top") / F.col("items_flagged") * 100, 6).alias("top_sellers_flag_pct"),
                     *_s("flagged_by_both_pct", "jaccard"))
