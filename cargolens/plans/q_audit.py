@@ -80,8 +80,8 @@ def _s(*cols):
 SELECT count(*) AS n, round_even(avg(p_a), 6) AS flag_rate, round_even(avg(p_b), 6) AS flag_rate_check,
        round_even(sum(p_a * p_b) / sum(greatest(p_a, p_b)), 6) AS jaccard,
        round_even(sum(p_a * p_b) / sum(p_a), 6) AS overlap_share,
-       round_even(avg(est_a) FILTER (WHERE p_a = 1), 6) AS mean_expected_flagged,
-       round_even(avg(excess) FILTER (WHERE p_a = 1), 6) AS mean_excess_flagged
+       round_even(avg(est_a) FILTER (WHERE p_a = 1), 3) AS mean_expected_flagged,
+       round_even(avg(excess) FILTER (WHERE p_a = 1), 3) AS mean_excess_flagged
 FROM f_audit
 """)
 def aud01_residual_flags(spark, sf):
@@ -92,8 +92,9 @@ def aud01_residual_flags(spark, sf):
               (F.sum(F.col("p_a") * F.col("p_b")) / F.sum("p_a")).alias("overlap_share"),
               F.avg(F.when(F.col("p_a") == 1, F.col("est_a"))).alias("mean_expected_flagged"),
               F.avg(F.when(F.col("p_a") == 1, F.col("excess"))).alias("mean_excess_flagged"))
-    return g.select("n", *_s("flag_rate", "flag_rate_check", "jaccard", "overlap_share", "mean_expected_flagged",
-                             "mean_excess_flagged"))
+    return g.select("n", *_s("flag_rate", "flag_rate_check", "jaccard", "overlap_share"),
+                    r("mean_expected_flagged", 3).alias("mean_expected_flagged"),
+                    r("mean_excess_flagged", 3).alias("mean_excess_flagged"))
 
 
 @query("aud02_cutoffs", """
