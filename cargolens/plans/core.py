@@ -190,28 +190,40 @@ def order_features(m: Market, with_loads: bool = True) -> DataFrame:
     return _cached(m, f"order_features:{with_loads}", build)
 
 
-def order_loads(m: Market) -> DataFrame:
-    """JON-10/11/12: platform load over [t-7d, t), surge against the average
-    week of [t-35d, t-7d) (floored at 1, clipped to [0, 3]) and the seller's
-    distinct orders over [t-7d, t), for every order that has a main seller."""
+def _load_probes(m: Market):
     o_all = m.orders.select("order_id", micros("order_purchase_timestamp").alias("t_us"))
     f = item_frame(m).filter(F.col("order_delivered_customer_date").isNotNull()
                              & F.col("order_estimated_delivery_date").isNotNull())
     main = f.groupBy("order_id").agg(
         F.max_by("seller_id", F.struct(F.col("price"), -F.col("order_item_id"))).alias("seller_id"),
         F.first(micros("order_purchase_timestamp")).alias("t_us"))
+    return o_all, main
+
+
+def platform_loads(m: Market) -> DataFrame:
+    """JON-10/11: platform load over [t-7d, t) and the surge against the average week of [t-35d, t-7d)
+    (denominator floored at 1, clipped to [0, 3]) for every delivered, dated order."""
+    o_all, main = _load_probes(m)
     probes = main.select(F.col("order_id").alias("probe_id"), "t_us")
     plat = trailing_counts(o_all, probes, {"platform_load_7d": (7 * DAY_US, 0),
                                            "load_28d": (35 * DAY_US, 7 * DAY_US)})
-    so = (m.items.select("order_id", "seller_id").distinct()
-          .join(o_all, "order_id"))
+    surge = F.col("platform_load_7d") / F.greatest(F.col("load_28d") / F.lit(4.0), F.lit(1.0))
+    return plat.select(F.col("probe_id").alias("order_id"), "platform_load_7d",
+                       F.least(F.greatest(surge, F.lit(0.0)), F.lit(3.0)).alias("platform_surge_7d"))
+
+
+def seller_loads(m: Market) -> DataFrame:
+    """JON-12: the main seller's distinct orders (any status) over [t-7d, t)."""
+    o_all, main = _load_probes(m)
+    so = m.items.select("order_id", "seller_id").distinct().join(o_all, "order_id")
     sp = main.select("seller_id", F.col("order_id").alias("probe_id"), "t_us")
     sel = trailing_counts(so, sp, {"seller_load_7d": (7 * DAY_US, 0)}, keys=["seller_id"])
-    surge = F.col("platform_load_7d") / F.greatest(F.col("load_28d") / F.lit(4.0), F.lit(1.0))
-    return (plat.join(sel.drop("seller_id"), "probe_id", "left")
-            .select(F.col("probe_id").alias("order_id"), "platform_load_7d",
-                    F.least(F.greatest(surge, F.lit(0.0)), F.lit(3.0)).alias("platform_surge_7d"),
-                    F.coalesce("seller_load_7d", F.lit(0)).alias("seller_load_7d")))
+    return sel.select(F.col("probe_id").alias("order_id"), F.coalesce("seller_load_7d", F.lit(0)).alias("seller_load_7d"))
+
+
+def order_loads(m: Market) -> DataFrame:
+    """JON-10/11/12: all three trailing loads per delivered, dated order."""
+    return platform_loads(m).join(seller_loads(m), "order_id", "left")
 
 
 __all__ = ["item_star", "order_master", "delivered_orders", "dated_delivered", "item_frame", "item_features",

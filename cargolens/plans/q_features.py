@@ -13,7 +13,8 @@ from ..operators.mart import pct
 from ..operators.ranking import global_running
 from ..registry import query
 from ..sources.fixtures import market
-from .core import item_features, item_frame, item_star, order_features, order_loads, order_master
+from .core import (item_features, item_frame, item_star, order_features, order_master, platform_loads,
+                   seller_loads)
 from .q_sources import ntz
 
 
@@ -71,7 +72,7 @@ FROM f_order_loads l"""
 @query("jon10_platform_load", "SELECT order_id, platform_load_7d FROM f_order_loads")
 def jon10_platform_load(spark, sf):
     """JON-10: orders of any status placed in [t - 7 days, t) for every delivered, dated order."""
-    return order_loads(market(spark, sf)).select("order_id", "platform_load_7d")
+    return platform_loads(market(spark, sf)).select("order_id", "platform_load_7d")
 
 
 @query("jon11_platform_surge", """
@@ -80,13 +81,13 @@ SELECT order_id, round_even(least(greatest(platform_load_7d / greatest(load_28d
 """)
 def jon11_platform_surge(spark, sf):
     """JON-11: last 7 days against the average week of the 28 days before them (floor 1), clipped to [0, 3]."""
-    return order_loads(market(spark, sf)).select("order_id", r("platform_surge_7d", 6).alias("platform_surge_7d"))
+    return platform_loads(market(spark, sf)).select("order_id", r("platform_surge_7d", 6).alias("platform_surge_7d"))
 
 
 @query("jon12_seller_load", "SELECT order_id, seller_load_7d FROM f_order_loads")
 def jon12_seller_load(spark, sf):
     """JON-12: the main seller's distinct orders (any status) in [t - 7 days, t)."""
-    return order_loads(market(spark, sf)).select("order_id", "seller_load_7d")
+    return seller_loads(market(spark, sf)).select("order_id", "seller_load_7d")
 
 
 @query("agg05_order_features", """
