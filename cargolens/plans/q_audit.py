@@ -592,3 +592,50 @@ def smp02_group_sample(spark, sf, n: int = 10000, seed: int = 42):
     return s.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"),
                  r(F.avg("freight_value"), 6).alias("mean_freight"))
 
+
+
+@query("dq16_one_to_one_scores", """
+WITH rec AS (SELECT order_id, order_item_id, count(*) AS n_records FROM f_itest GROUP BY 1, 2),
+sc AS (SELECT order_id, order_item_id, count(*) AS n_scores FROM f_audit GROUP BY 1, 2),
+j AS (SELECT coalesce(rec.n_records, 0) AS n_records, coalesce(sc.n_scores, 0) AS n_scores
+      FROM rec FULL JOIN sc ON rec.order_id = sc.order_id AND rec.order_item_id = sc.order_item_id)
+SELECT count(*) AS keys, count(*) FILTER (WHERE n_records = 1 AND n_scores = 1) AS one_to_one,
+       count(*) FILTER (WHERE n_scores = 0) AS unscored, count(*) FILTER (WHERE n_records = 0) AS orphan_scores,
+       count(*) FILTER (WHERE n_records > 1 OR n_scores > 1) AS duplicated FROM j
+""")
+def dq16_one_to_one_scores(spark, sf):
+    """DQ-16: one-to-one merge check of records and scores (full join of per-key counts): every hold-out line
+    should have exactly one score; lines without an estimate (unknown distance) show up as unscored."""
+    m = market(spark, sf)
+    _, test = item_split(m)
+    keys = ["order_id", "order_item_id"]
+    rec = test.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"))
+    sc = audited(m).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_scores"))
+    j = rec.join(sc, keys, "full").select(F.coalesce("n_records", F.lit(0)).alias("n_records"),
+                                          F.coalesce("n_scores", F.lit(0)).alias("n_scores"))
+    one = (F.col("n_records") == 1) & (F.col("n_scores") == 1)
+    return j.agg(F.count(F.lit(1)).alias("keys"), F.count(F.when(one, F.lit(1))).alias("one_to_one"),
+                 F.count(F.when(F.col("n_scores") == 0, F.lit(1))).alias("unscored"),
+                 F.count(F.when(F.col("n_records") == 0, F.lit(1))).alias("orphan_scores"),
+                 F.count(F.when((F.col("n_records") > 1) | (F.col("n_scores") > 1), F.lit(1))).alias("duplicated"))
+
+
+@query("snk03_records_round_trip", """
+SELECT count(*) AS rows, count(DISTINCT order_id) AS orders, 0 AS mismatched_keys FROM f_itest
+""")
+def snk03_records_round_trip(spark, sf):
+    """SNK-1 / SNK-2 / SNK-3: the hold-out records written to the shared checkpoint folder (Parquet, one
+    mart-style table), read back and compared per key; a one-row summary document is written as JSON."""
+    import os
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.files import round_trip, write_document
+    m = market(spark, sf)
+    _, test = item_split(m)
+    base = os.path.join(checkpoint_dir(spark), "exports", uuid.uuid4().hex)
+    bad = round_trip(test.select("order_id", "order_item_id", "freight_value"), os.path.join(base, "records"),
+                     ["order_id", "order_item_id"])
+    summary = test.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"))
+    write_document(summary, os.path.join(base, "summary"))
+    return attach(summary, bad.agg(F.count(F.lit(1)).alias("mismatched_keys")))

@@ -110,7 +110,7 @@ def _reg_row(name, pred):
 
 @query("mdl_fair_freight_test")
 def mdl_fair_freight_test(spark, sf):
-    """EXP-11 / MDL-1..6 / MET-1: dummy, linear, ridge, tree, forest and stacking (out-of-fold ridge and forest
+    """EXP-11 / MDL-1 / MDL-2 / MDL-4 / MDL-5 / MDL-6 / PRE-1 / PRE-2 / PRE-3 / PRE-6 / MET-1: dummy, linear, ridge, tree, forest and stacking (out-of-fold ridge and forest
     predictions, order-grouped 2-fold, fed to a linear model) on the time hold-out: MAE, RMSE, R2 on both scales."""
     m = market(spark, sf)
     train, test = item_split(m)
@@ -159,7 +159,7 @@ def _clf_row(name, scored):
 
 @query("mdl_late_test")
 def mdl_late_test(spark, sf):
-    """EXP-11 / MDL-1, 3, 4, 5, 7, 8 / MET-2..5: prior, plain and L2 logistic, tree, balanced forest and the
+    """EXP-11 / MDL-1 / MDL-3 / MDL-4 / MDL-5 / MDL-7 / MDL-8 / PRE-1 / PRE-2 / PRE-3 / PRE-6 / MET-2..5: prior, plain and L2 logistic, tree, balanced forest and the
     soft-voting ensemble (0.5 / 0.5) on the late-delivery hold-out: PR-AUC, lift, ROC-AUC, precision and recall
     of the top-10% rule."""
     m = market(spark, sf)
@@ -253,7 +253,7 @@ def exp04_grid_search(spark, sf, alphas=(1.0, 100.0), k: int = 2):
 
 @query("exp05_ablation_regression")
 def exp05_ablation_regression(spark, sf, k: int = 2):
-    """EXP-5: nested feature-set ablation with ridge on forward folds: MAE per set and fold, paired gain over
+    """EXP-5 / PRE-4 (the target-encoded set is available in FS_REG): nested feature-set ablation with ridge on forward folds: MAE per set and fold, paired gain over
     the previous set (``lag`` per fold), mean and sd of the gain."""
     m = market(spark, sf)
     train, _ = item_split(m)
