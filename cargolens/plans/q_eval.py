@@ -29,9 +29,14 @@ def scored_orders(m):
     return o.withColumn("y", F.col("clf_target")).withColumn("s", r(clip(raw, 0.0, 1.0), 3))
 
 
+def _kept(pair, m):
+    """Persist a (train, test) pair built once per session (reused by every metric and model query)."""
+    return tuple(m._keep(df) for df in pair)
+
+
 def split(m):
     """Late-delivery hold-out: latest 20% of orders; train ends 30 days before the cut (built once)."""
-    return memo(m, "split", lambda: E.time_holdout(scored_orders(m), "purchase_ts", 0.2, 30.0))
+    return memo(m, "split", lambda: _kept(E.time_holdout(scored_orders(m), "purchase_ts", 0.2, 30.0), m))
 
 
 def _summary(df, *keys):
@@ -421,7 +426,7 @@ def win10_gain_table(spark, sf):
 # ---------------------------------------------------------------- regression metrics on the item hold-out
 def item_split(m):
     """Fair-freight hold-out: latest 20% of lines; no embargo (freight is known at checkout)."""
-    return memo(m, "item_split", lambda: E.time_holdout(item_features(m), "purchase_ts", 0.2, 0.0))
+    return memo(m, "item_split", lambda: _kept(E.time_holdout(item_features(m), "purchase_ts", 0.2, 0.0), m))
 
 
 _ITEM_SPLIT_SQL = """

@@ -149,6 +149,8 @@ def mdl_fair_freight_test(spark, sf):
 
 
 def _clf_row(name, scored):
+    # three ranking passes read the scores: compute them once (they are small: id, label, score)
+    scored = scored.select("order_id", "y", "s").persist(StorageLevel.MEMORY_AND_DISK)
     ap = E.average_precision(scored, "y", "s")
     auc = E.roc_auc(scored, "y", "s")
     fl = E.threshold_metrics(E.flag_top_share(scored, "s", 0.1, "order_id"), "y", "flag")
