@@ -565,3 +565,23 @@ def sco10_freight_curves(spark, sf):
     u = wgt.select("curve", "k", "x", "est").unionByName(dst.select("curve", "k", "x", "est"))
     return u.groupBy("curve", "k").agg(r(F.avg("x"), 6).alias("x"), r(F.avg("est"), 6).alias("mean_estimate"),
                                        F.count(F.lit(1)).alias("n"))
+
+
+@query("str06_scoring_batch_twin", f"""
+WITH {_RECORDS_SQL}
+SELECT CASE WHEN len(errors) = 0 THEN 'scored' ELSE 'rejected' END AS outcome, count(*) AS n,
+       round_even(avg(CASE WHEN len(errors) = 0 AND distance_km IS NOT NULL THEN greatest(9.614 + 1.846 * chargeable_kg
+                      + 0.811 * distance_km / 100 + -3.985 * same_state, 0.0) END), 6) AS mean_estimate
+FROM v GROUP BY 1
+""")
+def str06_scoring_batch_twin(spark, sf):
+    """STR-6 (batch twin): the hold-out records validated and priced by the micro-batch body of the
+    streaming scoring job; scored and rejected counts and the mean estimate."""
+    from ..streaming.scoring import score_batch
+    m = market(spark, sf)
+    scored, rejected = score_batch(freight_records(m), _states(m))
+    a = scored.agg(F.lit("scored").alias("outcome"), F.count(F.lit(1)).alias("n"),
+                   r(F.avg("estimate"), 6).alias("mean_estimate"))
+    b = rejected.agg(F.lit("rejected").alias("outcome"), F.count(F.lit(1)).alias("n"),
+                     F.lit(None).cast("double").alias("mean_estimate"))
+    return a.unionByName(b)

@@ -58,3 +58,20 @@ def test_upload_requires_columns(spark, tmp_path):
     p.write_text("price\n1\n")
     with pytest.raises(ValueError):
         read_upload(spark, str(p))
+
+
+def test_streaming_scoring_equals_batch(spark, tmp_path):
+    from cargolens.plans.q_scoring import _states, freight_records
+    from cargolens.sources.fixtures import market
+    from cargolens.streaming.scoring import run_scoring_stream, score_batch
+    m = market(spark, SMOKE)
+    rec = freight_records(m)
+    landing = str(tmp_path / "landing")
+    rec.repartition(3).write.parquet(landing)
+    out = str(tmp_path / "out")
+    run_scoring_stream(spark, landing, rec.schema, _states(m), out, str(tmp_path / "ckpt"))
+    s_scored = spark.read.parquet(os.path.join(out, "scored"))
+    s_rej = spark.read.parquet(os.path.join(out, "rejected"))
+    b_scored, b_rej = score_batch(rec, _states(m))
+    assert s_scored.count() == b_scored.count() and s_rej.count() == b_rej.count()
+    assert s_scored.count() + s_rej.count() == rec.count()
