@@ -488,3 +488,50 @@ def mdl09_save_load(spark, sf):
 
 
 __all__ = ["PipelineModel", "statistics"]
+
+
+# Candidate feature groups for the late-delivery model, tried in this order.
+LATE_GROUPS = {
+    "route (distance, states)": FeatureSet(num=["distance_km", "same_state"], cat=["seller_state", "customer_state"]),
+    "order value & freight": FeatureSet(num=["price_total", "freight_total", "freight_ratio", "n_items", "n_sellers"]),
+    "purchase weekday & hour": FeatureSet(num=["purchase_dow", "purchase_hour"]),
+}
+
+
+def _merge(a: FeatureSet, b: FeatureSet) -> FeatureSet:
+    return FeatureSet(num=list(dict.fromkeys(a.num + b.num)), cat=list(dict.fromkeys(a.cat + b.cat)),
+                      te=list(dict.fromkeys(a.te + b.te)))
+
+
+@query("exp06_forward_selection")
+def exp06_forward_selection(spark, sf, k: int = 2):
+    """EXP-6: forward selection of feature groups for the late-delivery model: start from the promise, add
+    each group in turn and keep it when its paired fold-by-fold gain in PR-AUC lift exceeds the gains' sd
+    (L2 logistic, forward-chaining folds).  The per-fold lifts come back as one small table per candidate;
+    the keep / drop decision is arithmetic on those few numbers."""
+    m = market(spark, sf)
+    train, _ = split(m)
+    folds = _fold_frames(train, k)
+
+    def lifts(fs):
+        out = []
+        for fold, tr, va in folds:
+            prep, model = fit_classifier(tr, "logit_l2", fs=fs)
+            ap = E.average_precision(predict_clf(prep, model, va).select("order_id", "y", "s"), "y", "s")
+            out.append(ap.first()["lift"])                       # one number per fold
+        return out
+    kept = FeatureSet(num=["promised_days"])
+    base = lifts(kept)
+    rows = [("promise (base)", True, statistics.fmean(base), 0.0, 0.0)]
+    for name, grp in LATE_GROUPS.items():
+        cand = _merge(kept, grp)
+        cur = lifts(cand)
+        gains = [c - b for c, b in zip(cur, base)]
+        mean_gain = statistics.fmean(gains)
+        sd = statistics.stdev(gains) if len(gains) > 1 else 0.0
+        keep = mean_gain > sd
+        rows.append((name, keep, statistics.fmean(cur), mean_gain, sd))
+        if keep:
+            kept, base = cand, cur
+    schema = "feature_group string, kept boolean, mean_lift double, mean_gain double, gain_sd double"
+    return spark.createDataFrame([(n, k_, round(a, 4), round(g, 4), round(s_, 4)) for n, k_, a, g, s_ in rows], schema)
