@@ -143,7 +143,7 @@ def pack(parts: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) ->
     hashed = parts.withColumn("_h", F.xxhash64(*order))
     ranked = running(hashed, ["length"], "_h", ["_h", *order], F.lit(1).cast("long"),
                      bucket_count(sum(counts.values())), "_rank").drop("_h")
-    schema = StructType(parts.schema.fields).add("sequence_id", "long").add("offset", "long")
+    schema = StructType(list(parts.schema.fields)).add("sequence_id", "long").add("offset", "long")
     names = schema.names
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
