@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, shared_table
 from .tokens import default_tokenizer, encoder
 
 # Lengths are gathered in spans of this many for the two-level suffix sums.
@@ -56,6 +56,7 @@ def context_limits(hist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Suffix sums have two levels (inside a span of lengths, then over spans), so
     no window holds more than the lengths of one span or the list of spans.
     """
+    hist = shared_table(hist, "lengths")             # texts are encoded once
     h = hist.select(*by, "length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"),
                     F.floor(F.col("length") / SPAN).alias("_span"))
     spans = h.groupBy(*by, "_span").agg(F.sum("n_docs").alias("_sd"), F.sum("n_tokens").alias("_st"))
