@@ -47,6 +47,17 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(df: DataFrame) -> DataFrame:
+    """All columns as one struct ``_row``, so that no name of the table can clash
+    with a name that an operator uses on the way."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
+def columns_of(df: DataFrame, but: Sequence[str] = ()) -> list[Column]:
+    """The columns of ``df`` back out of ``_row``, without those an operator replaces."""
+    return [F.col("_row")[c].alias(c) for c in df.columns if c not in but]
+
+
 def bucket_count(rows: int) -> int:
     """Buckets for :func:`running`: about the square root of the row count, so
     that neither a bucket nor the list of buckets of one key grows with more

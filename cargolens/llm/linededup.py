@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import attach
-from .common import shared_table
+from .common import as_row, shared_table
 
 LINE_END = r"(?<=\n)|(?<=[.,;:!?es] )"
 WINDOW = 2
@@ -100,15 +100,14 @@ def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """All columns of ``df``, the text without its repeated chunks, and
-    ``removed_chunks`` and ``removed_chars``."""
+    ``removed_chunks`` and ``removed_chars`` (in place of columns of that name)."""
     found = shared_table(repeated_chunks(df, id_col, text_col, min_chars), "spans")
-    rows = df.select("*", F.xxhash64(text_col).alias("_th"))
-    found = found.select(F.col("id").alias("_id"), *([F.col("text_hash").alias("_fh")] if "text_hash" in found.columns else []), "spans")
-    on = rows[id_col].eqNullSafe(found["_id"])
-    if "_fh" in found.columns:
-        on = on & (F.col("_th") == F.col("_fh"))
-    joined = rows.join(found, on, "left").select(*df.columns, F.col("spans").alias("_spans"))
-    lines = joined.withColumn("_lines", F.when(F.col("_spans").isNotNull(), short_lines(F.col(text_col))))
+    rows = as_row(df).select("*", F.col("_row")[text_col].alias("_text"))
+    on = F.col("_row")[id_col].eqNullSafe(F.col("id"))
+    if "text_hash" in found.columns:
+        on = on & (F.xxhash64("_text") == F.col("text_hash"))
+    joined = rows.join(found, on, "left").select("_row", "_text", F.col("spans").alias("_spans"))
+    lines = joined.withColumn("_lines", F.when(F.col("_spans").isNotNull(), short_lines(F.col("_text"))))
 
     # byte comparison: a repeated hash must stand for one text in all documents
     texts = lines.select(F.explode(F.transform("_spans", lambda s: F.struct(
@@ -123,8 +122,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
         "_from": F.concat(F.array(F.lit(0)), F.transform("_gone", lambda s: s["start"] + s["lines"])),
         "_to": F.concat(F.transform("_gone", lambda s: s["start"]), F.array(F.size("_lines")))})
     kept = F.array_join(F.flatten(F.transform("_from", lambda at, i: F.slice("_lines", at + 1, F.get("_to", i) - at))), "")
-    result = stops.withColumn("_left", F.when(F.size("_gone") > 0, kept).otherwise(F.col(text_col)))
-    return result.select(
-        *[F.col("_left").alias(c) if c == text_col else F.col(c) for c in df.columns],
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_chunks"),
-        F.coalesce(F.length(text_col) - F.length("_left"), F.lit(0)).cast("long").alias("removed_chars"))
+    result = stops.withColumn("_left", F.when(F.size("_gone") > 0, kept).otherwise(F.col("_text")))
+    removed = {"removed_chunks": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+               "removed_chars": F.coalesce(F.length("_text") - F.length("_left"), F.lit(0)).cast("long")}
+    return result.select(*[F.col("_left").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in df.columns if c not in removed],
+                         *[v.alias(c) for c, v in removed.items()])

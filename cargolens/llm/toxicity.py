@@ -119,8 +119,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     picked = (known.filter(F.col("_y") == 1).orderBy(*order).limit(max_toxic)
               .unionByName(known.filter(F.col("_y") != 1).orderBy(*order).limit(max_clean)))
     # at most max_toxic + max_clean rows: a bounded broadcast, and the texts stay where they are
-    rows = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).select(
-        "_id", (F.col("_y") == 1).alias("toxic"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(
+        F.broadcast(picked), F.col("_doc") == F.col("_id")).select("_id", (F.col("_y") == 1).alias("toxic"), "text")
     odds = n["toxic"] / (n["n"] - n["toxic"])
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,11 +157,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(df: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", alias: str = "score") -> DataFrame:
-    """All columns of ``df`` and the score of each whole text."""
+    """All columns of ``df`` and the score of each whole text (in place of a column of that name)."""
     spark = df.sparkSession
     prepare(spark)
     weights, bias = model
     shared = spark.sparkContext.broadcast(weights)                  # 4 MB, whatever the corpus
+    df = df.drop(alias)
     names = [*df.columns, alias]
     at = df.columns.index(text_col)
     schema = StructType(list(df.schema.fields)).add(alias, "double")
