@@ -47,15 +47,20 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def as_row(df: DataFrame) -> DataFrame:
+def as_row(df: DataFrame, **beside: str) -> DataFrame:
     """All columns as one struct ``_row``, so that no name of the table can clash
-    with a name that an operator uses on the way."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
-
-
-def columns_of(df: DataFrame, but: Sequence[str] = ()) -> list[Column]:
-    """The columns of ``df`` back out of ``_row``, without those an operator replaces."""
-    return [F.col("_row")[c].alias(c) for c in df.columns if c not in but]
+    with a name that an operator uses on the way; ``beside`` are columns of the
+    table (by their new names) that stand beside the struct instead of in it."""
+    inside = [F.col(f"`{c}`") for c in df.columns if c not in beside.values()]
+    return df.select(F.struct(*(inside or [F.lit(0).alias("none")])).alias("_row"),
+                     *[F.col(f"`{c}`").alias(k) for k, c in beside.items()])
+
+
+def restored(df: DataFrame, but: Sequence[str] = (), **beside: str) -> list[Column]:
+    """The columns of ``df`` back out of what :func:`as_row` made of it, without
+    those that an operator replaces."""
+    own = {c: F.col(k) for k, c in beside.items()}
+    return [(own[c] if c in own else F.col("_row")[c]).alias(c) for c in df.columns if c not in but]
 
 
 def bucket_count(rows: int) -> int:

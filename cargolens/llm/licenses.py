@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import attach
-from .common import as_row, columns_of
+from .common import as_row, restored
 
 THRESHOLD = 0.8
 # Names and wording of public licences and their usual notices.
@@ -102,8 +102,8 @@ def license_scan(df: DataFrame, text_col: str = "text", threshold: float = THRES
     """All columns of ``df``, the best matching ``license`` and its ``dice`` (null
     without a match), and ``licensed_units``, how many units match a template (in
     place of columns of these names)."""
-    text = F.coalesce(F.col("_row")[text_col], F.lit(""))
-    units = as_row(df).withColumn("_units", F.array_distinct(F.concat(
+    text = F.coalesce("_text", F.lit(""))
+    units = as_row(df, _text=text_col).withColumn("_units", F.array_distinct(F.concat(
         F.split(text, r"\n+"), F.split(text, r"\n[ \t]*\n"), F.array(text))))
     words = units.withColumn("_words", F.transform("_units", _words))
     grams = words.withColumn("_grams", F.filter(F.transform("_words", _bigrams), lambda g: F.size(g) > 0))
@@ -119,7 +119,7 @@ def license_scan(df: DataFrame, text_col: str = "text", threshold: float = THRES
         "_hits", F.filter(F.transform("_grams", best), lambda m: m["dice"] >= threshold))
     top = scored.withColumn("_top", F.array_max("_hits"))
     made = {"license": F.col("_top.name"), "dice": F.col("_top.dice"), "licensed_units": F.size("_hits").cast("long")}
-    return top.select(*columns_of(df, tuple(made)), *[v.alias(c) for c, v in made.items()])
+    return top.select(*restored(df, tuple(made), _text=text_col), *[v.alias(c) for c, v in made.items()])
 
 
 def oracle(threshold: float = THRESHOLD, templates: Sequence[tuple[str, str]] = TEMPLATES) -> str:

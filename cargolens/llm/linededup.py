@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import attach
-from .common import as_row, shared_table
+from .common import as_row, restored, shared_table
 
 LINE_END = r"(?<=\n)|(?<=[.,;:!?es] )"
 WINDOW = 2
@@ -102,11 +102,11 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     """All columns of ``df``, the text without its repeated chunks, and
     ``removed_chunks`` and ``removed_chars`` (in place of columns of that name)."""
     found = shared_table(repeated_chunks(df, id_col, text_col, min_chars), "spans")
-    rows = as_row(df).select("*", F.col("_row")[text_col].alias("_text"))
-    on = F.col("_row")[id_col].eqNullSafe(F.col("id"))
+    rows = as_row(df, _doc=id_col, _text=text_col)
+    on = F.col("_doc").eqNullSafe(F.col("id"))
     if "text_hash" in found.columns:
         on = on & (F.xxhash64("_text") == F.col("text_hash"))
-    joined = rows.join(found, on, "left").select("_row", "_text", F.col("spans").alias("_spans"))
+    joined = rows.join(found, on, "left").select("_row", "_doc", "_text", F.col("spans").alias("_spans"))
     lines = joined.withColumn("_lines", F.when(F.col("_spans").isNotNull(), short_lines(F.col("_text"))))
 
     # byte comparison: a repeated hash must stand for one text in all documents
@@ -125,5 +125,4 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     result = stops.withColumn("_left", F.when(F.size("_gone") > 0, kept).otherwise(F.col("_text")))
     removed = {"removed_chunks": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
                "removed_chars": F.coalesce(F.length("_text") - F.length("_left"), F.lit(0)).cast("long")}
-    return result.select(*[F.col("_left").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in df.columns if c not in removed],
-                         *[v.alias(c) for c, v in removed.items()])
+    return result.select(*restored(df, tuple(removed), _doc=id_col, _left=text_col), *[v.alias(c) for c, v in removed.items()])

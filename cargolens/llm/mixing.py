@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_running
-from .common import as_row, bucket_count, columns_of, running, shared_table
+from .common import as_row, bucket_count, restored, running, shared_table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MAX_REPEAT = 1.5, 2.0
@@ -132,9 +132,9 @@ def training_order(df: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_c
     spots = shared_table(mix.select(
         F.col(id_col).alias("_id"), F.col("text_hash").alias("_th"),
         F.explode(F.filter(F.array("position", "next_position"), lambda x: x.isNotNull())).alias("_position")), "positions")
-    rows = as_row(df).withColumn("_own", F.col("_row")[id_col]).withColumn("_hash", F.xxhash64(F.col("_row")[text_col]))
+    rows = as_row(df, _own=id_col, _text=text_col).withColumn("_hash", F.xxhash64("_text"))
     if mix.groupBy(id_col, "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
         rows = rows.dropDuplicates(["_own", "_hash"])           # the places of repeated rows are all in ``spots``
     hit = rows.join(spots, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return hit.repartitionByRange(n, "_position").sortWithinPartitions("_position").select(*columns_of(df))
+    return hit.repartitionByRange(n, "_position").sortWithinPartitions("_position").select(*restored(df, _own=id_col, _text=text_col))

@@ -13,27 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolens.llm import linededup, mixing, ngramjoin, packing, toxicity
-from cargolens.llm.common import as_row, columns_of, shared_table, table
+from cargolens.llm.common import as_row, restored, shared_table, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
     model = toxicity.train(docs, labels)
-    rows = as_row(docs).withColumn("_text", F.col("_row")["text"])
-    scored = toxicity.score(rows, model, text_col="_text", alias="_score")
-    return scored.filter(F.col("_score") < toxicity.CUT).select(*columns_of(docs))
+    scored = toxicity.score(as_row(docs, _text="text"), model, text_col="_text", alias="_score")
+    return scored.filter(F.col("_score") < toxicity.CUT).select(*restored(docs, _text="text"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that earlier documents have; a document that
     consists of such passages alone is gone.  ``n_chars`` follows the text."""
-    rows = as_row(docs).select("_row", F.col("_row")["doc_id"].alias("doc_id"), F.col("_row")["text"].alias("text"))
-    cleaned = linededup.line_dedup(rows)
+    cleaned = linededup.line_dedup(as_row(docs, doc_id="doc_id", text="text"))
     changed = F.col("removed_chars") > 0
     cleaned = cleaned.filter(~changed | F.col("text").rlike(r"\S"))
-    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text")).otherwise(F.col("_row")["n_chars"]).cast("long")}
-    return cleaned.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+    kept = cleaned.withColumn("_new_chars", F.when(changed, F.length("text")).otherwise(F.col("_row.n_chars")).cast("long"))
+    return kept.select(*[F.col("_new_chars").alias(c) if c == "n_chars" else v
+                         for c, v in zip(docs.columns, restored(docs, doc_id="doc_id", text="text"))])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +42,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stays = joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.max("n_links").alias("_links"), F.count(F.lit(1)).alias("_rows"))
     stays = shared_table(stays, "stays")
-    rows = as_row(docs).withColumn("_doc", F.col("_row")["doc_id"]).withColumn("_own", F.md5(F.col("_row")["text"]))
+    rows = as_row(docs, _doc="doc_id", _text="text").withColumn("_own", F.md5("_text"))
     kept = rows.join(stays, F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")))
     if stays.filter((F.col("_rows") > 1) & (F.col("_links") > 0)).limit(1).count():
         kept = kept.filter(F.col("_links") == 0).unionByName(
             kept.filter(F.col("_links") > 0).dropDuplicates(["_doc", "_own"]))
-    return kept.select(*columns_of(docs))
+    return kept.select(*restored(docs, _doc="doc_id", _text="text"))
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
