@@ -147,10 +147,10 @@ def edited_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.when(last, F.col("next_th")).otherwise(F.col("th")).alias("next_th")), "follows")
     if (ranked.agg(F.max("rows")).first()[0] or 0) > 1:
         docs = docs.dropDuplicates(["id", "th"])
-    here = follows.join(docs, follows["own_id"].eqNullSafe(docs["id"]) & (follows["own_th"] == docs["th"])).select(
+    here = follows.hint("merge").join(docs, follows["own_id"].eqNullSafe(docs["id"]) & (follows["own_th"] == docs["th"])).select(
         "id", "text", "next_id", "next_th")
     there = docs.select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("text").alias("next_text"))
-    both = here.join(there, F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_th") == F.col("_th")))
+    both = here.hint("merge").join(there, F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_th") == F.col("_th")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))

@@ -84,7 +84,7 @@ def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = (chunks.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"))
               .filter(F.col("first") != F.col("last")).select(F.col("h").alias("_h"), "first"))
     shared = shared_table(shared, "repeated")
-    hits = chunks.join(shared, F.col("h") == F.col("_h")).select(
+    hits = chunks.hint("merge").join(shared, F.col("h") == F.col("_h")).select(
         "key", "h", "start", "lines", "chars", (F.col("key") != F.col("first")).alias("dup"))
     by_place = Window.partitionBy("key").orderBy("start")
     end = F.col("start") + F.col("lines")
@@ -106,7 +106,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     on = F.col("_doc").eqNullSafe(F.col("id"))
     if "text_hash" in found.columns:
         on = on & (F.xxhash64("_text") == F.col("text_hash"))
-    joined = rows.join(found, on, "left").select("_row", "_doc", "_text", F.col("spans").alias("_spans"))
+    joined = rows.hint("merge").join(found, on, "left").select("_row", "_doc", "_text", F.col("spans").alias("_spans"))
     lines = joined.withColumn("_lines", F.when(F.col("_spans").isNotNull(), short_lines(F.col("_text"))))
 
     # byte comparison: a repeated hash must stand for one text in all documents

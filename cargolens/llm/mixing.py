@@ -135,6 +135,6 @@ def training_order(df: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_c
     rows = as_row(df, _own=id_col, _text=text_col).withColumn("_hash", F.xxhash64("_text"))
     if mix.groupBy(id_col, "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
         rows = rows.dropDuplicates(["_own", "_hash"])           # the places of repeated rows are all in ``spots``
-    hit = rows.join(spots, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")))
+    hit = rows.hint("merge").join(spots, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return hit.repartitionByRange(n, "_position").sortWithinPartitions("_position").select(*restored(df, _own=id_col, _text=text_col))

@@ -169,7 +169,7 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     banded = classes.select("cid", F.posexplode("bands").alias("band", "h")).select("cid", F.xxhash64("band", "h").alias("h"))
     shared = shared_table(banded.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("hub"))
                           .filter(F.col("n") > 1).select("h", "hub"), "buckets")
-    stars = banded.join(shared, "h").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
+    stars = banded.hint("merge").join(shared, "h").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
     clusters = components(stars).select(F.col("node").alias("cid"), F.col("component").alias("cluster"))
     members = shared_table(classes.select("cid", "text_key", "rep", "copies", "size").join(clusters, "cid"), "members")
 
@@ -188,7 +188,7 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shares)))
                           .otherwise(F.xxhash64("cluster", "pair.lo", "pair.hi"))))
     texts = (narrow.withColumn("text_key", F.md5("text")).filter(F.col("text_key").isNotNull()).withColumnRenamed("id", "rep"))
-    picked = (members.select("cid", "text_key", "rep")
+    picked = (members.select("cid", "text_key", "rep").hint("merge")
               .join(texts, members["text_key"].eqNullSafe(texts["text_key"]) & members["rep"].eqNullSafe(texts["rep"]))
               .select("cid", "text").dropDuplicates(["cid"]))
     work = placed.select("cid", "copies", "cluster", "block", F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"),
@@ -223,7 +223,7 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     result = shared_table(graded.join(smallest, F.col("group") == F.col("_g"))
                           .select(F.col("text_key").alias("_key"), "class_id",
                                   (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "result")
-    return (signed.select("id", "text_key").join(result, F.col("text_key") == F.col("_key"), "left")
+    return (signed.select("id", "text_key").hint("merge").join(result, F.col("text_key") == F.col("_key"), "left")
             .select(F.col("id").alias(id_col), "text_key",
                     F.when(F.col("_key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))

@@ -43,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.max("n_links").alias("_links"), F.count(F.lit(1)).alias("_rows"))
     stays = shared_table(stays, "stays")
     rows = as_row(docs, _doc="doc_id", _text="text").withColumn("_own", F.md5("_text"))
-    kept = rows.join(stays, F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")))
+    kept = rows.hint("merge").join(stays, F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")))
     if stays.filter((F.col("_rows") > 1) & (F.col("_links") > 0)).limit(1).count():
         kept = kept.filter(F.col("_links") == 0).unionByName(
             kept.filter(F.col("_links") > 0).dropDuplicates(["_doc", "_own"]))
