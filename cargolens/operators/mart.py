@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import floor_days, r
-from .ranking import global_running
+from .ranking import agg_with_quantiles, global_running
 
 
 def _all():
@@ -32,11 +32,11 @@ def pct(cond) -> F.Column:
 
 def lane_summary(items: DataFrame, orders: DataFrame) -> DataFrame:
     il = items.join(orders.select("order_id", "delivery_days"), "order_id", "left")
-    return (_states_known(il).groupBy("customer_state", "seller_state")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 r(F.median("freight_value"), 1).alias("median_freight"),
-                 r(F.median("distance_km"), 1).alias("median_distance"),
-                 r(F.median("delivery_days"), 1).alias("median_delivery_days")))
+    g = agg_with_quantiles(_states_known(il), ["customer_state", "seller_state"], [F.count(F.lit(1)).alias("n")],
+                           {"median_freight": ("freight_value", 0.5), "median_distance": ("distance_km", 0.5),
+                            "median_delivery_days": ("delivery_days", 0.5)})
+    return g.select("customer_state", "seller_state", "n",
+                    *[r(c, 1).alias(c) for c in ("median_freight", "median_distance", "median_delivery_days")])
 
 
 def monthly(delivered: DataFrame) -> DataFrame:
@@ -63,11 +63,11 @@ def state_summary(dated: DataFrame, items: DataFrame) -> DataFrame:
     s = (dated.filter(F.col("customer_state").isNotNull()).groupBy("customer_state")
          .agg(F.count("order_id").alias("orders"), F.median("delivery_days").alias("median_delivery_days"),
               r(F.avg(F.col("is_late").cast("int")) * 100, 1).alias("late_rate")))
-    f = (items.filter(F.col("freight_value").isNotNull() & F.col("customer_state").isNotNull())
-         .groupBy("customer_state")
-         .agg(r(F.median("freight_value"), 2).alias("median_freight"),
-              r(F.median("distance_km"), 1).alias("median_distance"),
-              r(F.median("freight_ratio") * 100, 1).alias("median_burden")))
+    f = agg_with_quantiles(items.filter(F.col("freight_value").isNotNull() & F.col("customer_state").isNotNull()),
+                           ["customer_state"], [F.count(F.lit(1)).alias("_n")],
+                           {"mf": ("freight_value", 0.5), "md": ("distance_km", 0.5), "mr": ("freight_ratio", 0.5)})
+    f = f.select("customer_state", r("mf", 2).alias("median_freight"), r("md", 1).alias("median_distance"),
+                 r(F.col("mr") * 100, 1).alias("median_burden"))
     return s.join(f, "customer_state", "left")
 
 
@@ -92,12 +92,13 @@ def corridor(items: DataFrame) -> DataFrame:
                  F.coalesce("to_hub", F.lit(False)).alias("to_hub")))
     hh = F.col("from_hub") & F.col("to_hub")
     ho = F.col("from_hub") & ~F.col("to_hub")
-    return x.agg(
+    g = agg_with_quantiles(x, [], [
         r(pct(hh), 3).alias("hub_hub_line_pct"), r(pct(ho), 3).alias("hub_out_line_pct"),
         r(F.sum(F.when(hh, F.col("freight_value"))) / F.sum("freight_value") * 100, 3).alias("hub_hub_freight_pct"),
-        r(F.sum(F.when(ho, F.col("freight_value"))) / F.sum("freight_value") * 100, 3).alias("hub_out_freight_pct"),
-        r(F.median(F.when(hh, F.col("distance_km"))), 3).alias("hub_hub_median_km"),
-        r(F.median(F.when(ho, F.col("distance_km"))), 3).alias("hub_out_median_km"))
+        r(F.sum(F.when(ho, F.col("freight_value"))) / F.sum("freight_value") * 100, 3).alias("hub_out_freight_pct")],
+        {"hh": (F.when(hh, F.col("distance_km")), 0.5), "ho": (F.when(ho, F.col("distance_km")), 0.5)})
+    return g.select("hub_hub_line_pct", "hub_out_line_pct", "hub_hub_freight_pct", "hub_out_freight_pct",
+                    r("hh", 3).alias("hub_hub_median_km"), r("ho", 3).alias("hub_out_median_km"))
 
 
 def _per_person(orders: DataFrame) -> DataFrame:
@@ -217,18 +218,19 @@ def seller_pareto(items: DataFrame, points: int = 250) -> DataFrame:
 
 def interstate(items: DataFrame) -> DataFrame:
     x = _states_known(items).withColumn("interstate", F.col("seller_state") != F.col("customer_state"))
-    g = x.groupBy("interstate").agg(F.count(F.lit(1)).alias("n"), F.median("freight_value").alias("med_freight"),
-                                    r(F.median("distance_km"), 4).alias("med_dist"),
-                                    r(F.median("freight_ratio"), 6).alias("med_ratio"))
+    g = agg_with_quantiles(x, ["interstate"], [F.count(F.lit(1)).alias("n")],
+                           {"med_freight": ("freight_value", 0.5), "med_dist": ("distance_km", 0.5), "med_ratio": ("freight_ratio", 0.5)})
     return g.select("interstate", r(F.col("n") / F.sum("n").over(_all()) * 100, 4).alias("share"),
-                    "med_freight", "med_dist", "med_ratio")
+                    "med_freight", r("med_dist", 4).alias("med_dist"), r("med_ratio", 6).alias("med_ratio"))
 
 
 def category_summary(items: DataFrame) -> DataFrame:
-    return (items.filter(F.col("category").isNotNull()).groupBy("category")
-            .agg(F.count("order_item_id").alias("lines"), r(F.sum("price"), 3).alias("revenue"),
-                 r(F.median("price"), 3).alias("med_price"), r(F.median("freight_value"), 3).alias("med_freight"),
-                 r(F.median("freight_ratio"), 3).alias("med_ratio"), r(F.median("weight_kg"), 3).alias("med_weight")))
+    g = agg_with_quantiles(items.filter(F.col("category").isNotNull()), ["category"],
+                           [F.count("order_item_id").alias("lines"), r(F.sum("price"), 3).alias("revenue")],
+                           {"med_price": ("price", 0.5), "med_freight": ("freight_value", 0.5),
+                            "med_ratio": ("freight_ratio", 0.5), "med_weight": ("weight_kg", 0.5)})
+    return g.select("category", "lines", "revenue",
+                    *[r(c, 3).alias(c) for c in ("med_price", "med_freight", "med_ratio", "med_weight")])
 
 
 def category_top_shares(items: DataFrame, k: int = 10) -> DataFrame:

@@ -1,23 +1,38 @@
 """Feature preprocessing fitted on training rows only (PRE-1..6).
 
-MLlib covers median imputation, scaling, indexing and one-hot encoding; what
-it lacks -- missing indicators only for columns that had nulls in training,
-rare-level pooling, cross-fitted target encoding -- is done with DataFrame
-joins against small per-level statistics tables fitted on the training frame.
+* PRE-1 medians (exact, see :func:`ranking.exact_quantiles`) for missing
+  numbers, and an indicator for each number that is missing in training.
+* PRE-2 for linear models: log1p of the skewed numbers, then numbers (with
+  their indicators) centred and divided by the population standard deviation.
+* PRE-3 levels with fewer than ``min_frequency`` training rows, and unseen
+  ones, share one pooled slot; the others are one-hot slots (linear models) or
+  categories of one column (trees).
+* PRE-4 target encoding, cross-fitted on the training rows by a hash of the
+  order, with the statistics of all training rows elsewhere.
+
+Everything learnt is a plain value (numbers and level lists, bounded by
+``MAX_LEVELS``) or, for the encodings, a written table; it can be saved and
+loaded (MDL-9), and applying it never looks at training rows again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INFREQUENT = "__infrequent__"
+from ..session import stored
+from .evaluation import hash_fold
+from .ranking import attach, exact_quantiles
+
+MAX_LEVELS = 10_000
+# The skewed numeric inputs.
+SKEWED = ("weight_kg", "volume_cm3", "chargeable_kg", "distance_km", "price", "price_total", "freight_total",
+          "seller_load_7d")
 
 
 @dataclass
@@ -26,102 +41,170 @@ class FeatureSet:
     num: list[str]
     cat: list[str] = field(default_factory=list)
     te: list[str] = field(default_factory=list)
-    log_cols: Sequence[str] = ("price", "weight_kg", "volume_cm3", "chargeable_kg", "distance_km", "price_total",
-                               "freight_total")
+
+    @property
+    def inputs(self) -> list[str]:
+        return list(dict.fromkeys(self.num + self.cat + self.te))
+
+    def merge(self, other: FeatureSet) -> FeatureSet:
+        return FeatureSet(*[list(dict.fromkeys(a + b)) for a, b in ((self.num, other.num), (self.cat, other.cat), (self.te, other.te))])
+
+
+def target_encoding(train: DataFrame, col: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
+    """PRE-4: (level, enc), the level mean shrunk toward the overall mean,
+    enc = (n mean_c + m mean) / (n + m) with m = var_c / var (``smooth='auto'``).
+
+    With ``keys`` (a fold column of ``train``) the encoding is cross-fitted: the
+    rows of a fold get the statistics of the other folds, from one aggregation
+    (all folds' sums minus the own fold's)."""
+    keys = list(keys)
+    level = F.col(col).cast("string").alias("level")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(F.col(y) * F.col(y)).alias("q")]
+    own = train.groupBy(*keys, level).agg(*sums)
+    if not keys:
+        stats = attach(own, train.agg(*[a.alias(f"t{k}") for a, k in zip(sums, "nsq")]))
+    else:
+        every = own.groupBy("level").agg(*[F.sum(k).alias(f"_{k}") for k in "nsq"])
+        fold = train.groupBy(*keys).agg(*[a.alias(f"f{k}") for a, k in zip(sums, "nsq")])
+        total = train.agg(*[a.alias(f"a{k}") for a, k in zip(sums, "nsq")])
+        # a level that only the own fold has gets the mean of the other folds
+        stats = attach(own.join(every, "level").join(F.broadcast(fold), keys), total).select(
+            *keys, "level", *[(F.col(f"_{k}") - F.col(k)).alias(k) for k in "nsq"],
+            *[(F.col(f"a{k}") - F.col(f"f{k}")).alias(f"t{k}") for k in "nsq"])
+    mean = F.col("ts") / F.col("tn")
+    var = F.greatest(F.col("tq") / F.col("tn") - mean * mean, F.lit(0.0))
+    var_c = F.greatest(F.try_divide(F.col("q"), F.col("n")) - F.pow(F.try_divide(F.col("s"), F.col("n")), F.lit(2)), F.lit(0.0))
+    m = F.coalesce(F.try_divide(var_c, var), F.lit(0.0))
+    enc = F.when(F.col("n") > 0, F.try_divide(F.col("s") + m * mean, F.col("n") + m)).otherwise(mean)
+    return stats.select(*keys, "level", enc.alias("enc"))
 
 
 @dataclass
-class FittedPrep:
-    """Statistics learned on the training rows, applied identically to any frame."""
+class Prep:
+    """Fitted preprocessing (PRE-6): apply with :meth:`transform`."""
     fs: FeatureSet
-    indicator_cols: list[str]
-    level_tables: dict[str, DataFrame]
-    te_tables: dict[str, DataFrame]
-    te_prior: dict[str, DataFrame]
-    pipeline_model: object
     linear: bool
+    medians: dict[str, float]
+    missing: list[str]
+    centre: dict[str, float]
+    spread: dict[str, float]
+    levels: dict[str, list[str]]
+    prior: float
+    encodings: dict[str, DataFrame] = field(default_factory=dict)
+
+    def _raw(self, c: str):
+        v = F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c]))
+        return F.log1p(F.greatest(v, F.lit(0.0))) if self.linear and c in SKEWED else v
+
+    def _scaled(self, name: str, v):
+        return (v - F.lit(self.centre[name])) / F.lit(self.spread[name]) if self.linear and name in self.centre else v
+
+    def numbers(self) -> dict:
+        """Unscaled numeric columns by slot name."""
+        out = {c: self._raw(c) for c in self.fs.num}
+        return out | {f"{c}__missing": F.col(c).isNull().cast("double") for c in self.missing}
+
+    def _encoded(self, df: DataFrame, tables: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+        for c in self.fs.te:
+            t = tables[c].select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("level").alias("_level"), F.col("enc").alias(f"_enc_{c}"))
+            on = F.col(c).cast("string") == F.col("_level")
+            for k in keys:
+                on = on & (F.col(k) == F.col(f"_k_{k}"))
+            df = df.join(t, on, "left").drop("_level", *[f"_k_{k}" for k in keys])
+            df = df.withColumn(f"_enc_{c}", F.coalesce(f"_enc_{c}", F.lit(self.prior)))
+        return df
+
+    @property
+    def max_levels(self) -> int:
+        return max([len(v) + 1 for v in self.levels.values()], default=0)
+
+    def _assemble(self, df: DataFrame) -> DataFrame:
+        """Vectors from a frame that has its encodings; slots keep the names of their inputs."""
+        names = {f"n__{k}": self._scaled(k, v) for k, v in self.numbers().items()}
+        names |= {f"n__{c}": self._scaled(c, F.col(f"_enc_{c}")) for c in self.fs.te}
+        out = df.withColumns(names).drop(*[f"_enc_{c}" for c in self.fs.te])
+        slots = list(names)
+        if self.fs.cat:
+            text = out.withColumns({f"_s_{c}": F.col(c).cast("string") for c in self.fs.cat})
+            out = StringIndexerModel.from_arrays_of_labels(
+                [self.levels[c] for c in self.fs.cat], inputCols=[f"_s_{c}" for c in self.fs.cat],
+                outputCols=[f"i__{c}" for c in self.fs.cat], handleInvalid="keep").transform(text)
+            for c in self.fs.cat:                          # the pooled level is the last one
+                out = out.withMetadata(f"i__{c}", {"ml_attr": {"type": "nominal", "name": f"i__{c}",
+                                                               "vals": [*self.levels[c], "__pooled"]}})
+            drop = [f"_s_{c}" for c in self.fs.cat]
+            if self.linear:
+                hot = OneHotEncoder(inputCols=[f"i__{c}" for c in self.fs.cat], outputCols=[f"h__{c}" for c in self.fs.cat],
+                                    dropLast=False).fit(out)                       # sizes come from the labels, no job
+                out = hot.transform(out)
+                slots += [f"h__{c}" for c in self.fs.cat]
+                drop += [f"i__{c}" for c in self.fs.cat]
+            else:
+                slots += [f"i__{c}" for c in self.fs.cat]
+            out = out.drop(*drop)
+        out = VectorAssembler(inputCols=slots, outputCol="features", handleInvalid="error").transform(out)
+        return out.drop(*[s for s in slots if s in out.columns])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.pipeline_model.transform(_prepare(df, self))
-
-
-def _pool_rare(df: DataFrame, col: str, levels: DataFrame) -> DataFrame:
-    """PRE-3: levels with fewer than the minimum training rows, or unseen, become one pooled level."""
-    j = df.join(F.broadcast(levels.select(F.col("level").alias(f"_lvl_{col}"), F.lit(True).alias(f"_keep_{col}"))),
-                F.col(col).cast("string") == F.col(f"_lvl_{col}"), "left")
-    return (j.withColumn(f"{col}__pooled", F.when(F.col(f"_keep_{col}"), F.col(col).cast("string"))
-                         .otherwise(F.lit(INFREQUENT)))
-            .drop(f"_lvl_{col}", f"_keep_{col}"))
-
-
-def _prepare(df: DataFrame, fp: "FittedPrep") -> DataFrame:
-    out = df
-    for c in fp.indicator_cols:                                    # PRE-1 indicators (train nulls only)
-        out = out.withColumn(f"{c}__missing", F.col(c).isNull().cast("double"))
-    for c in fp.fs.num:                                            # PRE-2 log1p for linear models
-        if fp.linear and c in fp.fs.log_cols:
-            out = out.withColumn(f"{c}__num", F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))))
-        else:
-            out = out.withColumn(f"{c}__num", F.col(c).cast("double"))
-    for c in fp.fs.cat:
-        out = _pool_rare(out, c, fp.level_tables[c])
-    for c in fp.fs.te:                                             # PRE-4 target encoding (full-train stats)
-        t = fp.te_tables[c]
-        out = (out.join(F.broadcast(t.select(F.col(c).alias(f"_te_{c}"), F.col("enc").alias(f"{c}__te"))),
-                        F.col(c) == F.col(f"_te_{c}"), "left").drop(f"_te_{c}"))
-        out = out.withColumn(f"{c}__te", F.coalesce(F.col(f"{c}__te"), F.lit(_prior_value(fp.te_prior[c]))))
+        return self._assemble(self._encoded(df, self.encodings))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Values as one JSON line, encodings as Parquet tables."""
+        values = {k: v for k, v in self.__dict__.items() if k not in ("fs", "encodings")} | {"fs": asdict(self.fs)}
+        spark.range(1).select(F.lit(json.dumps(values)).alias("value")).write.mode("overwrite").text(f"{path}/values")
+        for c, t in self.encodings.items():
+            t.write.mode("overwrite").parquet(f"{path}/encoding_{c}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Prep:
+        values = json.loads(spark.read.text(f"{path}/values").first()[0])
+        fs = FeatureSet(**values.pop("fs"))
+        return cls(fs=fs, **values, encodings={c: spark.read.parquet(f"{path}/encoding_{c}") for c in fs.te})
+
+
+def slot_inputs(df: DataFrame, fs: FeatureSet, vector: str = "features") -> list[str]:
+    """The input column behind each vector slot, from the slot names that the
+    assembler keeps; a vector without names is an error."""
+    attrs = df.schema[vector].metadata.get("ml_attr", {}).get("attrs")
+    if not attrs:
+        raise ValueError(f"{vector} has no slot names")
+    slots = sorted((a for group in attrs.values() for a in group), key=lambda a: a["idx"])
+    out = []
+    for a in slots:
+        name = a["name"].split("__", 1)[1]
+        found = [c for c in fs.inputs if name == c or name.startswith((f"{c}__", f"{c}_"))]
+        if not found:
+            raise ValueError(f"slot {a['name']} belongs to no input")
+        out.append(max(found, key=len))
     return out
 
 
-def _prior_value(prior_df: DataFrame) -> float:
-    # a single scalar (the training mean of the target) used as a literal
-    return float(prior_df.first()[0])
-
-
-def target_encoding(train: DataFrame, col: str, y: str, folds: DataFrame | None = None) -> DataFrame:
-    """PRE-4: empirical-Bayes shrinkage of the level mean toward the overall mean,
-    enc = (n mean_c + m mean) / (n + m) with m = var_c / var (``smooth='auto'``).
-    With ``folds`` (rows with a ``fold`` column) the encoding is cross-fitted: each fold's rows get
-    statistics from the other folds only."""
-    g = train.groupBy(col).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mu_c"), F.var_pop(y).alias("var_c"))
-    tot = train.agg(F.avg(y).alias("mu"), F.var_pop(y).alias("var"))
-    from .ranking import attach
-    j = attach(g, tot)
-    m = F.coalesce(F.col("var_c") / F.nullif(F.col("var"), F.lit(0.0)), F.lit(0.0))
-    return j.select(col, ((F.col("n") * F.col("mu_c") + m * F.col("mu")) / (F.col("n") + m)).alias("enc"))
-
-
-def fit_prep(train: DataFrame, fs: FeatureSet, y: str, linear: bool, min_frequency: int = 20) -> FittedPrep:
-    """PRE-6: the assembled preprocessing for a linear (log1p + scaling + one-hot) or tree model."""
-    null_counts = train.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in fs.num]).first()
-    indicator_cols = [c for c in fs.num if (null_counts[c] or 0) > 0]        # column names only
-    level_tables = {c: train.groupBy(F.col(c).cast("string").alias("level")).agg(F.count(F.lit(1)).alias("n"))
-                    .filter(F.col("n") >= min_frequency) for c in fs.cat}
-    te_tables = {c: target_encoding(train, c, y) for c in fs.te}
-    te_prior = {c: train.agg(F.avg(y)) for c in fs.te}
-    proto = FittedPrep(fs, indicator_cols, level_tables, te_tables, te_prior, None, linear)
-    prepared = _prepare(train, proto)
-    num_cols = [f"{c}__num" for c in fs.num]
-    stages = [Imputer(strategy="median", relativeError=0.0, inputCols=num_cols,
-                      outputCols=[f"{c}__imp" for c in num_cols])]
-    assembled = [f"{c}__imp" for c in num_cols] + [f"{c}__missing" for c in indicator_cols] + \
-        [f"{c}__te" for c in fs.te]
+def fit_prep(train: DataFrame, fs: FeatureSet, y: str, linear: bool, min_frequency: int = 20,
+             folds: int = 5, group: str = "order_id") -> tuple[Prep, DataFrame]:
+    """Fit on ``train``; returns the fitted preprocessing and the training rows
+    with their vectors (target encodings cross-fitted over ``folds``)."""
+    med = exact_quantiles(train, {c: (c, 0.5) for c in fs.num}).first() if fs.num else None
+    lost = train.agg(F.avg(F.col(y).cast("double")).alias("_prior"), *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in fs.num]).first()
+    medians = {c: float(med[c]) if med is not None and med[c] is not None else 0.0 for c in fs.num}
+    levels = {c: [] for c in fs.cat}
     if fs.cat:
-        stages.append(StringIndexer(inputCols=[f"{c}__pooled" for c in fs.cat],
-                                    outputCols=[f"{c}__idx" for c in fs.cat], handleInvalid="keep"))
-        if linear:
-            stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in fs.cat],
-                                        outputCols=[f"{c}__oh" for c in fs.cat], dropLast=False, handleInvalid="keep"))
-            assembled += [f"{c}__oh" for c in fs.cat]
-        else:
-            assembled += [f"{c}__idx" for c in fs.cat]
-    stages.append(VectorAssembler(inputCols=assembled, outputCol="raw_features", handleInvalid="keep"))
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("level")) for c in fs.cat]))
+        counted = (train.select(each.alias("e")).filter(F.col("e.level").isNotNull()).groupBy("e.c", "e.level")
+                   .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_frequency).limit(MAX_LEVELS + 1).collect())
+        if len(counted) > MAX_LEVELS:
+            raise ValueError(f"more than {MAX_LEVELS} levels: encode them by their target instead")
+        for row in sorted(counted, key=lambda x: (x["c"], -x["n"], x["level"])):
+            levels[row["c"]].append(row["level"])
+    prep = Prep(fs, linear, medians, [c for c in fs.num if lost[c]], {}, {}, levels, float(lost["_prior"] or 0.0))
+    rows = train
+    if fs.te:
+        rows = train.withColumn("_fold", hash_fold(group, folds))
+        crossed = {c: stored(target_encoding(rows, c, y, ["_fold"]), "encoding") for c in fs.te}
+        prep.encodings = {c: stored(target_encoding(train, c, y), "encoding") for c in fs.te}
+        rows = prep._encoded(rows, crossed, ["_fold"]).drop("_fold")
     if linear:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
-    else:
-        stages.append(VectorAssembler(inputCols=["raw_features"], outputCol="features"))
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)       # the stages scan it several times
-    pm = Pipeline(stages=stages).fit(prepared)
-    prepared.unpersist()
-    proto.pipeline_model = pm
-    return proto
+        values = prep.numbers() | {c: F.col(f"_enc_{c}") for c in fs.te}
+        s = rows.agg(*[f(v).alias(f"{n}__{k}") for k, v in values.items() for n, f in (("avg", F.avg), ("sd", F.stddev_pop))]).first()
+        prep.centre = {k: float(s[f"avg__{k}"] or 0.0) for k in values}
+        prep.spread = {k: float(s[f"sd__{k}"] or 0.0) or 1.0 for k in values}
+    return prep, prep._assemble(rows)

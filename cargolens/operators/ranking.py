@@ -71,29 +71,57 @@ def global_running(df: DataFrame, order: Sequence[Column | str], sums: dict[str,
         *[F.col(f"{total_prefix}{k}") for k in vals])
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "q", keys: Sequence[str] = ()) -> DataFrame:
-    """Exact ``q`` quantile of ``col`` (linear interpolation between order
-    statistics, as pandas / ``percentile``): one row, or one row per ``keys``.
-
-    Works from the table of distinct values and their counts and the keyed
-    two-phase running count, so no task collects all values of a column or
-    of a hot group.
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str | Column, float]], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles (linear interpolation between order statistics, as pandas
+    / ``percentile``) of several columns, one row per ``keys`` (or one row).
+
+    ``wanted`` maps an output name to (column, quantile).  All columns go through
+    one table of distinct values and their counts and one keyed two-phase running
+    count, so no task collects all values of a column or of a hot group, however
+    many quantiles are asked for.  Groups without any value have no row.
     """
     keys = list(keys)
-    vc = (df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v"))
-          .agg(F.count(F.lit(1)).alias("_c")))
-    run = global_running(vc, [F.asc("_v")], {"_cum": "_c"}, keys=keys)
-    h = (F.col("_total__cum") - 1) * F.lit(float(q))          # positions count rows, not distinct values
-    lo, hi = F.floor(h), F.ceil(h)
-    start = F.col("_cum") - F.col("_c")
-    picked = run.select(
-        *keys, "_v", h.alias("_h"), lo.alias("_lo"),
-        ((start <= lo) & (lo < F.col("_cum"))).alias("_is_lo"),
-        ((start <= hi) & (hi < F.col("_cum"))).alias("_is_hi")).filter(F.col("_is_lo") | F.col("_is_hi"))
-    agg = picked.groupBy(*keys).agg(F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_a"),
-                                    F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_b"),
-                                    F.max("_h").alias("_h"), F.max("_lo").alias("_lo"))
-    return agg.select(*keys, (F.col("_a") + (F.col("_h") - F.col("_lo")) * (F.col("_b") - F.col("_a"))).alias(alias))
+    cols: dict[str, Column] = {}
+    of: dict[str, int] = {}
+    for name, (c, _) in wanted.items():
+        text = c if isinstance(c, str) else str(c)
+        cols.setdefault(text, F.col(c) if isinstance(c, str) else c)
+        of[name] = list(cols).index(text)
+    long = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), v.cast("double").alias("v")) for i, v in enumerate(cols.values())])).alias("_e"))
+    vc = (long.filter(F.col("_e.v").isNotNull()).groupBy(*keys, F.col("_e.c").alias("_col"), F.col("_e.v").alias("_v"))
+          .agg(F.count(F.lit(1)).alias("_n")))
+    run = global_running(vc, [F.asc("_v")], {"_cum": "_n"}, keys=[*keys, "_col"])
+    start = F.col("_cum") - F.col("_n")
+    picks, out = [], []
+    for name, (_, q) in wanted.items():
+        h = (F.col("_total__cum") - 1) * F.lit(float(q))      # positions count rows, not distinct values
+        mine = F.col("_col") == of[name]
+        for end, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            picks.append(F.max(F.when(mine & (start <= at) & (at < F.col("_cum")), F.col("_v"))).alias(f"_{end}_{name}"))
+        picks.append(F.max(F.when(mine, h - F.floor(h))).alias(f"_part_{name}"))
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        out.append((low + F.col(f"_part_{name}") * (high - low)).alias(name))
+    return run.groupBy(*keys).agg(*picks).select(*keys, *out)
+
+
+def agg_with_quantiles(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
+                       wanted: dict[str, tuple[str | Column, float]]) -> DataFrame:
+    """``df.groupBy(keys).agg(aggs)`` with exact quantiles beside the aggregates."""
+    keys = list(keys)
+    base, q = df.groupBy(*keys).agg(*aggs), exact_quantiles(df, wanted, keys)
+    if not keys:
+        return attach(base, q.agg(*[F.max(n).alias(n) for n in wanted]))
+    q = q.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *wanted)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return base.join(q, cond, "left").drop(*[f"_k_{k}" for k in keys])
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "q", keys: Sequence[str] = ()) -> DataFrame:
+    """One exact quantile of one column: see :func:`exact_quantiles`."""
+    return exact_quantiles(df, {alias: (col, q)}, keys)
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -59,11 +59,11 @@ def item_star(m: Market) -> DataFrame:
 def order_master(m: Market) -> DataFrame:
     """JON-3: one row per order with basket, payment, review and main-category facts."""
     def build():
-        items = m.items
-        cat = m.product_features.select("product_id", "category")
-        items_agg = items.groupBy("order_id").agg(
+        # WIN-1: category of the highest-priced line (ties to the first line), in the same pass as the sums
+        items_agg = m.items_full.groupBy("order_id").agg(
             F.count("order_item_id").alias("n_items"), F.sum("price").alias("item_total"),
-            F.sum("freight_value").alias("freight_total"), F.count_distinct("seller_id").alias("n_sellers"))
+            F.sum("freight_value").alias("freight_total"), F.count_distinct("seller_id").alias("n_sellers"),
+            F.max_by("category", F.struct(F.col("price"), -F.col("order_item_id"))).alias("category"))
         pay = m.payments
         pay_agg = pay.groupBy("order_id").agg(
             F.sum("payment_value").alias("payment_total"),
@@ -75,14 +75,10 @@ def order_master(m: Market) -> DataFrame:
         # WIN-2: latest review per order (ties to the last review row)
         rev = m.reviews.groupBy("order_id").agg(
             F.max_by("review_score", F.struct("review_creation_date", "review_id")).alias("review_score"))
-        # WIN-1: category of the highest-priced line (ties to the first line)
-        main_cat = (items.join(cat, "product_id", "left").groupBy("order_id")
-                    .agg(F.max_by("category", F.struct(F.col("price"), -F.col("order_item_id")))
-                         .alias("category")))
         cust = m.customers.select("customer_id", "customer_unique_id", "customer_state")
         o = (m.orders.join(cust, "customer_id", "left")
              .join(items_agg, "order_id", "left").join(pay_agg, "order_id", "left")
-             .join(rev, "order_id", "left").join(main_cat, "order_id", "left"))
+             .join(rev, "order_id", "left"))
         ts = F.col("order_purchase_timestamp")
         return o.select(
             "*",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cut, r
 from ..operators import evaluation as E
-from ..operators.ranking import attach, exact_quantile
+from ..operators.ranking import agg_with_quantiles, attach, exact_quantile, exact_quantiles, global_running
 from ..registry import query
 from ..sources.fixtures import market
 from .core import item_features, item_star, memo
@@ -42,9 +42,8 @@ def audit_frame(test, est_a, est_b):
          .withColumn("resid_a", residual(F.col("freight_value"), F.col("est_a")))
          .withColumn("resid_b", residual(F.col("freight_value"), F.col("est_b")))
          .withColumn("band", cut("price", AUDIT_EDGES, AUDIT_LABELS, right=False)))
-    co = attach(exact_quantile(t, "resid_a", FLAG_Q, "cut_a"), exact_quantile(t, "resid_b", FLAG_Q, "cut_b"))
-    cb = exact_quantile(t, "resid_a", FLAG_Q, "bcut_a", keys=["band"]).join(
-        exact_quantile(t, "resid_b", FLAG_Q, "bcut_b", keys=["band"]), "band")
+    co = exact_quantiles(t, {"cut_a": ("resid_a", FLAG_Q), "cut_b": ("resid_b", FLAG_Q)})
+    cb = exact_quantiles(t, {"bcut_a": ("resid_a", FLAG_Q), "bcut_b": ("resid_b", FLAG_Q)}, keys=["band"]).dropna()
     a = attach(t, co).join(F.broadcast(cb), "band")            # one row per price band
     return a.select(
         "*",
@@ -64,9 +63,8 @@ def audited(m):
 
 def _audited(m):
     train, test = item_split(m)
-    med = (train.filter(F.col("category").isNotNull()).groupBy("category")
-           .agg(F.median("freight_value").alias("_cat_median")))
-    allm = train.agg(F.median("freight_value").alias("_all_median"))
+    med = exact_quantile(train.filter(F.col("category").isNotNull()), "freight_value", 0.5, "_cat_median", keys=["category"])
+    allm = exact_quantile(train, "freight_value", 0.5, "_all_median")
     t = attach(test.join(med, "category", "left"), allm)
     return audit_frame(t, tariff("chargeable_kg", "distance_km", "same_state"),
                        F.coalesce("_cat_median", "_all_median"))
@@ -80,8 +78,8 @@ def _s(*cols):
 SELECT count(*) AS n, round_even(avg(p_a), 6) AS flag_rate, round_even(avg(p_b), 6) AS flag_rate_check,
        round_even(sum(p_a * p_b) / sum(greatest(p_a, p_b)), 6) AS jaccard,
        round_even(sum(p_a * p_b) / sum(p_a), 6) AS overlap_share,
-       round_even(avg(est_a) FILTER (WHERE p_a = 1), 3) AS mean_expected_flagged,
-       round_even(avg(excess) FILTER (WHERE p_a = 1), 3) AS mean_excess_flagged
+       round_even(sum(est_a::DECIMAL(20, 9)) FILTER (WHERE p_a = 1)::DOUBLE / sum(p_a), 6) AS mean_expected_flagged,
+       round_even(sum(excess::DECIMAL(20, 9)) FILTER (WHERE p_a = 1)::DOUBLE / sum(p_a), 6) AS mean_excess_flagged
 FROM f_audit
 """)
 def aud01_residual_flags(spark, sf):
@@ -90,11 +88,10 @@ def aud01_residual_flags(spark, sf):
     g = a.agg(F.count(F.lit(1)).alias("n"), F.avg("p_a").alias("flag_rate"), F.avg("p_b").alias("flag_rate_check"),
               (F.sum(F.col("p_a") * F.col("p_b")) / F.sum(F.greatest("p_a", "p_b"))).alias("jaccard"),
               (F.sum(F.col("p_a") * F.col("p_b")) / F.sum("p_a")).alias("overlap_share"),
-              F.avg(F.when(F.col("p_a") == 1, F.col("est_a"))).alias("mean_expected_flagged"),
-              F.avg(F.when(F.col("p_a") == 1, F.col("excess"))).alias("mean_excess_flagged"))
-    return g.select("n", *_s("flag_rate", "flag_rate_check", "jaccard", "overlap_share"),
-                    r("mean_expected_flagged", 3).alias("mean_expected_flagged"),
-                    r("mean_excess_flagged", 3).alias("mean_excess_flagged"))
+              *[(F.sum(F.when(F.col("p_a") == 1, F.col(c).cast("decimal(20,9)"))).cast("double") / F.sum("p_a")).alias(n)
+                for c, n in (("est_a", "mean_expected_flagged"), ("excess", "mean_excess_flagged"))])
+    return g.select("n", *_s("flag_rate", "flag_rate_check", "jaccard", "overlap_share", "mean_expected_flagged",
+                             "mean_excess_flagged"))
 
 
 @query("aud02_cutoffs", """
@@ -145,8 +142,8 @@ k AS (SELECT greatest(1, CAST(floor(0.05 * count(DISTINCT seller_id)) AS BIGINT)
 sc AS (SELECT seller_id, count(*) AS c, row_number() OVER (ORDER BY count(*) DESC, seller_id) AS rk FROM f GROUP BY 1)
 SELECT (SELECT count(*) FROM f) AS items_flagged,
        round_even((SELECT avg(freight_value) FROM f), 6) AS mean_actual,
-       round_even((SELECT avg(est_a) FROM f), 3) AS mean_expected,
-       round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 3) AS mean_excess,
+       round_even((SELECT sum(est_a::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 6) AS mean_expected,
+       round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 6) AS mean_excess,
        round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE FROM f) / (SELECT sum(freight_value) FROM f_audit) * 100, 6)
            AS excess_pct_of_freight,
        round_even((SELECT sum(c) FROM sc, k WHERE rk <= k.k) / (SELECT count(*) FROM f) * 100, 6) AS top_sellers_flag_pct,
@@ -160,19 +157,18 @@ def aud04_audit_summary(spark, sf):
     f = a.filter(F.col("p_a") == 1)
     k = a.agg(F.greatest(F.lit(1), F.floor(F.lit(0.05) * F.count_distinct("seller_id"))).alias("k"))
     sc = f.groupBy("seller_id").agg(F.count(F.lit(1)).alias("c"))
-    sc = sc.withColumn("rk", F.row_number().over(Window.orderBy(F.desc("c"), "seller_id")))   # one row per seller
+    sc = global_running(sc, [F.desc("c"), F.asc("seller_id")], index_col="rk")
     top = attach(sc, k).agg(F.sum(F.when(F.col("rk") <= F.col("k"), F.col("c"))).alias("_top"))
     s1 = f.agg(F.count(F.lit(1)).alias("items_flagged"), F.avg("freight_value").alias("mean_actual"),
-               F.avg("est_a").alias("mean_expected"),
-               # exact decimal sum of the excess: the mean does not depend on the summation order
+               # exact decimal sums: the means do not depend on the summation order
+               (F.sum(F.col("est_a").cast("decimal(20,9)")).cast("double") / F.count(F.lit(1))).alias("mean_expected"),
                (F.sum(F.col("excess").cast("decimal(20,9)")).cast("double") / F.count(F.lit(1))).alias("mean_excess"),
                F.sum(F.col("excess").cast("decimal(20,9)")).cast("double").alias("_ex"),
                (F.avg("p_b") * 100).alias("flagged_by_both_pct"))
     s2 = a.agg(F.sum("freight_value").alias("_all"),
                (F.sum(F.col("p_a") * F.col("p_b")) / F.sum(F.greatest("p_a", "p_b"))).alias("jaccard"))
     j = attach(attach(s1, s2), top)
-    return j.select("items_flagged", *_s("mean_actual"), r("mean_expected", 3).alias("mean_expected"),
-                    r("mean_excess", 3).alias("mean_excess"),
+    return j.select("items_flagged", *_s("mean_actual", "mean_expected", "mean_excess"),
                     r(F.col("_ex") / F.col("_all") * 100, 6).alias("excess_pct_of_freight"),
                     r(F.col("_top") / F.col("items_flagged") * 100, 6).alias("top_sellers_flag_pct"),
                     *_s("flagged_by_both_pct", "jaccard"))
@@ -200,14 +196,14 @@ def aud05_concentration(spark, sf):
 
     def top(df):
         c = df.groupBy("seller_id").agg(F.count(F.lit(1)).alias("c"))
-        c = attach(c.withColumn("rk", F.row_number().over(Window.orderBy(F.desc("c"), "seller_id"))), k)
+        c = attach(global_running(c, [F.desc("c"), F.asc("seller_id")], index_col="rk"), k)
         return c.filter(F.col("rk") <= F.col("k")).select("seller_id", F.lit(1).alias("_in"))
 
     def share(df, sellers, name):
-        return df.join(F.broadcast(sellers), "seller_id", "left").agg(
+        return df.join(sellers, "seller_id", "left").agg(
             r(F.avg(F.coalesce("_in", F.lit(0))) * 100, 6).alias(name))
     bf, bi = top(f), top(a)
-    parts = [f.agg(r(F.median("markup"), 6).alias("median_markup")), share(f, bf, "by_flags_pct_of_flags"),
+    parts = [exact_quantile(f, "markup", 0.5, "_m").select(r("_m", 6).alias("median_markup")), share(f, bf, "by_flags_pct_of_flags"),
              share(a, bf, "by_flags_pct_of_items"), share(a, bi, "by_items_pct_of_items"),
              share(f, bi, "by_items_pct_of_flags")]
     out = parts[0]
@@ -339,13 +335,14 @@ FROM f_audit GROUP BY 1"""
 
 
 def _seller_table(a):
-    return a.groupBy("seller_id").agg(
+    g = agg_with_quantiles(a, ["seller_id"], [
         F.count(F.lit(1)).alias("items"), F.sum("fo_a").alias("n_unusual"),
         F.sum(F.col("fo_a") * F.col("fo_b")).alias("n_both"),
         r(F.coalesce(F.sum(F.when(F.col("fo_a") == 1, F.col("excess"))), F.lit(0.0)), 6).alias("excess"),
-        r(F.median(F.when(F.col("fo_a") == 1, F.col("markup"))), 6).alias("markup"), r(F.avg("fo_a"), 6).alias("rate"),
+        r(F.avg("fo_a"), 6).alias("rate"),
         r(F.coalesce(F.sum(F.when(F.col("fo_a") == 1, F.col("excess"))), F.lit(0.0)) / F.sum("freight_value"), 6)
-        .alias("excess_share"))
+        .alias("excess_share")], {"_mk": (F.when(F.col("fo_a") == 1, F.col("markup")), 0.5)})
+    return g.select("seller_id", "items", "n_unusual", "n_both", "excess", r("_mk", 6).alias("markup"), "rate", "excess_share")
 
 
 @query("aud10_seller_drilldown", _SELLER_SQL)
@@ -476,9 +473,10 @@ def aud11_weekly_monitor(spark, sf, min_orders: int = 5):
     _, test = split(market(spark, sf))
     t = test.withColumn("day", F.to_date("order_purchase_timestamp"))
     d = E.flag_top_share(t, "s", 0.1, "order_id", keys=["day"])
-    wk = (d.groupBy(F.to_date(F.date_trunc("week", "order_purchase_timestamp")).alias("week"))
-          .agg(F.count(F.lit(1)).alias("orders"), F.sum("y").alias("late"), F.median("promised_days").alias("promise"),
-               F.sum(F.col("flag") * F.col("y")).alias("caught")).filter(F.col("orders") >= min_orders))
+    d = d.withColumn("week", F.to_date(F.date_trunc("week", "order_purchase_timestamp")))
+    wk = agg_with_quantiles(d, ["week"], [F.count(F.lit(1)).alias("orders"), F.sum("y").alias("late"),
+                                          F.sum(F.col("flag") * F.col("y")).alias("caught")],
+                            {"promise": ("promised_days", 0.5)}).filter(F.col("orders") >= min_orders)
     frame = Window.orderBy("week").rowsBetween(-4, -1)            # one row per week: a small table
     prev = F.sort_array(F.collect_list("promise").over(frame))
     n = F.size("prev")
@@ -547,10 +545,9 @@ def top06_best_origins(spark, sf, min_lines: int = 15, k: int = 10):
     m = market(spark, sf)
     it = item_star(m).filter(F.col("customer_state").isNotNull() & F.col("seller_state").isNotNull())
     il = it.join(order_master(m).select("order_id", "delivery_days"), "order_id", "left")
-    lanes = (il.groupBy("customer_state", "seller_state")
-             .agg(F.count(F.lit(1)).alias("lines"), F.median("delivery_days").alias("med_days"),
-                  F.median("freight_value").alias("med_freight"), F.median("distance_km").alias("med_km"))
-             .filter(F.col("lines") >= min_lines))
+    lanes = agg_with_quantiles(il, ["customer_state", "seller_state"], [F.count(F.lit(1)).alias("lines")], {
+        "med_days": ("delivery_days", 0.5), "med_freight": ("freight_value", 0.5), "med_km": ("distance_km", 0.5)})
+    lanes = lanes.filter(F.col("lines") >= min_lines)
     ranked = lanes.withColumn("rank", F.row_number().over(
         Window.partitionBy("customer_state").orderBy("med_days", "seller_state")))
     same = F.col("customer_state") == F.col("seller_state")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import clip, cut, r
 from ..operators import evaluation as E
-from ..operators.ranking import attach
+from ..operators.ranking import attach, exact_quantile, exact_quantiles
 from ..registry import query
 from ..sources.fixtures import market
 from .core import item_features, memo, order_features
@@ -125,7 +125,8 @@ def spl04_stratified_group_holdout(spark, sf, k: int = 5):
     order takes its majority stratum (ties to the lower), and every k-th order of a stratum in md5 order
     is held out (about 1/k).  Ranks within a stratum use the two-phase running count."""
     it = item_features(market(spark, sf)).select("order_id", "freight_value")
-    e = it.agg(F.percentile("freight_value", [0.2, 0.4, 0.6, 0.8]).alias("q"))
+    e = exact_quantiles(it, {f"q{k}": ("freight_value", k / 5) for k in range(1, 5)}).select(
+        F.array(*[f"q{k}" for k in range(1, 5)]).alias("q"))
     s = attach(it, e).withColumn("stratum", F.size(F.filter("q", lambda x: x < F.col("freight_value"))))
     g = (s.groupBy("order_id", "stratum").agg(F.count(F.lit(1)).alias("n"))
          .groupBy("order_id").agg(F.max_by("stratum", F.struct(F.col("n"), -F.col("stratum"))).alias("stratum"),
@@ -154,7 +155,8 @@ def spl05_rolling_windows(spark, sf):
     hold-out); train on all orders up to each start minus the embargo."""
     w = E.rolling_windows(scored_orders(market(spark, sf)), "purchase_ts", [0.5, 0.6, 0.7, 0.8], 30.0)
     s = _summary(w, "window", "role")
-    med = w.groupBy("window", "role").agg(r(F.median("promised_days"), 6).alias("median_promise"))
+    med = exact_quantile(w, "promised_days", 0.5, "_m", keys=["window", "role"]).select(
+        "window", "role", r("_m", 6).alias("median_promise"))
     return s.join(med, ["window", "role"])
 
 

@@ -10,7 +10,7 @@ from ..functions.columns import (clip, cut, epoch_seconds, expm1_floor0, floor_d
                                  ratio)
 from ..functions.geo import lane, normalise_zip, region_table
 from ..operators.mart import pct
-from ..operators.ranking import global_running
+from ..operators.ranking import agg_with_quantiles, exact_quantiles, global_running
 from ..registry import query
 from ..sources.fixtures import market
 from .core import (item_features, item_frame, item_star, order_features, order_master, platform_loads,
@@ -350,11 +350,12 @@ def win14_binned_median_trend(spark, sf, bins: int = 12):
     lowest edge included), median distance and median freight per bin."""
     it = item_star(market(spark, sf)).filter(F.col("distance_km").isNotNull() & F.col("freight_value").isNotNull())
     qs = [j / bins for j in range(bins + 1)]
-    e = it.agg(F.array_distinct(F.percentile("distance_km", qs)).alias("edges"))
+    e = exact_quantiles(it, {f"q{j}": ("distance_km", q) for j, q in enumerate(qs)}).select(
+        F.array_distinct(F.array(*[f"q{j}" for j in range(bins + 1)])).alias("edges"))
     j = (it.withColumn("_one", F.lit(1)).join(F.broadcast(e.withColumn("_one", F.lit(1))), "_one")
          .withColumn("bin", F.greatest(F.size(F.filter("edges", lambda x: x < F.col("distance_km"))), F.lit(1))))
-    return j.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), r(F.median("distance_km"), 6).alias("median_x"),
-                                r(F.median("freight_value"), 6).alias("median_y"))
+    g = agg_with_quantiles(j, ["bin"], [F.count(F.lit(1)).alias("n")], {"mx": ("distance_km", 0.5), "my": ("freight_value", 0.5)})
+    return g.select("bin", "n", r("mx", 6).alias("median_x"), r("my", 6).alias("median_y"))
 
 
 @query("prj16_region_map", """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import cut, frac_days, micros, r
 from ..operators import mart as M
 from ..operators.mart import pct
+from ..operators.ranking import agg_with_quantiles, exact_quantile
 from ..registry import query
 from ..sources.fixtures import market
 from .core import dated_delivered, delivered_orders, item_star, order_features, order_master
@@ -142,11 +143,11 @@ FROM f_item_star
 def agg28_freight_headline(spark, sf):
     """AGG-28: freight share of GMV, median / mean ratio, share above 25%, free-shipping share."""
     items = item_star(_m(spark, sf))
-    f = _freight_population(items).agg(
-        r(F.median("freight_ratio") * 100, 3).alias("median_freight_ratio"),
+    f = agg_with_quantiles(_freight_population(items), [], [
         r(F.avg("freight_ratio") * 100, 3).alias("mean_freight_ratio"),
         r(pct(F.col("freight_ratio") > 0.25), 3).alias("pct_high_freight"),
-        r(pct(F.col("freight_value") == 0), 3).alias("pct_free_shipping"))
+        r(pct(F.col("freight_value") == 0), 3).alias("pct_free_shipping")], {"_med": ("freight_ratio", 0.5)})
+    f = f.withColumn("median_freight_ratio", r(F.col("_med") * 100, 3)).drop("_med")
     g = items.agg(r(F.sum("freight_value") / (F.sum("freight_value") + F.sum("price")) * 100, 3)
                   .alias("freight_pct_gmv"))
     return _one_row_pair(f, g)
@@ -169,9 +170,9 @@ FROM f WHERE price_band IS NOT NULL GROUP BY 1
 def agg29_price_band(spark, sf):
     """AGG-29 / PRJ-12: price bands (right-closed): median freight, median burden %, lines."""
     f = _freight_population(item_star(_m(spark, sf))).withColumn("price_band", cut("price", PRICE_EDGES, PRICE_LABELS))
-    return (f.filter(F.col("price_band").isNotNull()).groupBy("price_band")
-            .agg(F.median("freight_value").alias("median_freight"),
-                 r(F.median("freight_ratio") * 100, 1).alias("median_burden"), F.count(F.lit(1)).alias("n")))
+    g = agg_with_quantiles(f.filter(F.col("price_band").isNotNull()), ["price_band"], [F.count(F.lit(1)).alias("n")],
+                           {"median_freight": ("freight_value", 0.5), "mr": ("freight_ratio", 0.5)})
+    return g.select("price_band", "median_freight", r(F.col("mr") * 100, 1).alias("median_burden"), "n")
 
 
 @query("agg30_category_burden", """
@@ -183,10 +184,10 @@ GROUP BY 1 HAVING count(*) >= 200
 def agg30_category_burden(spark, sf, min_n: int = 200):
     """AGG-30 / PRJ-22: per category median burden, freight and price, categories with at least ``min_n`` lines."""
     f = _freight_population(item_star(_m(spark, sf))).filter(F.col("category").isNotNull())
-    g = f.groupBy("category").agg(r(F.median("freight_ratio") * 100, 1).alias("median_burden"),
-                                  F.median("freight_value").alias("median_freight"),
-                                  F.median("price").alias("median_price"), F.count(F.lit(1)).alias("n"))
-    return g.filter(F.col("n") >= min_n)
+    g = agg_with_quantiles(f, ["category"], [F.count(F.lit(1)).alias("n")], {
+        "mr": ("freight_ratio", 0.5), "median_freight": ("freight_value", 0.5), "median_price": ("price", 0.5)})
+    return g.filter(F.col("n") >= min_n).select("category", r(F.col("mr") * 100, 1).alias("median_burden"),
+                                                "median_freight", "median_price", "n")
 
 
 @query("agg31_top_categories_by_freight", """
@@ -567,11 +568,18 @@ def agg45_satisfaction_link(spark, sf):
 
 
 # ---------------------------------------------------------------- consolidation and overpayment (AGG-40, AGG-41)
+def _middle(values):
+    """Median of the few values of one order, from their sorted array."""
+    v = F.sort_array(values)
+    n = F.size(v)
+    return F.when(n > 0, (F.element_at(v, ((n + 1) / 2).cast("int")) + F.element_at(v, (n / 2 + 1).cast("int"))) / 2)
+
+
 def _per_order_freight(items):
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("product_id").alias("n_products"),
         F.count_distinct("seller_id").alias("n_sellers"), F.sum("freight_value").alias("total"),
-        F.median("freight_value").alias("per_line"), F.count_distinct("freight_value").alias("distinct_values"))
+        _middle(F.collect_list("freight_value")).alias("per_line"), F.count_distinct("freight_value").alias("distinct_values"))
 
 
 _PER_ORDER_SQL = """
@@ -592,10 +600,10 @@ def agg40_consolidation(spark, sf):
     """AGG-40: orders of n copies of one product from one seller (n = 2..6): median total and per-line freight,
     against the linear reference n x median single-line freight."""
     g = _per_order_freight(_m(spark, sf).items)
-    single = g.filter(F.col("n") == 1).agg(F.median("total").alias("single"))
+    single = exact_quantile(g.filter(F.col("n") == 1), "total", 0.5, "single")
     same = g.filter((F.col("n") > 1) & (F.col("n_products") == 1) & (F.col("n_sellers") == 1) & (F.col("n") <= 6))
-    tab = same.groupBy("n").agg(F.count(F.lit(1)).alias("orders"), r(F.median("total"), 4).alias("median_total"),
-                                r(F.median("per_line"), 4).alias("median_per_line"))
+    tab = agg_with_quantiles(same, ["n"], [F.count(F.lit(1)).alias("orders")], {"mt": ("total", 0.5), "ml": ("per_line", 0.5)})
+    tab = tab.select("n", "orders", r("mt", 4).alias("median_total"), r("ml", 4).alias("median_per_line"))
     return (tab.withColumn("_one", F.lit(1)).join(F.broadcast(single.withColumn("_one", F.lit(1))), "_one")
             .select("n", "orders", "median_total", "median_per_line",
                     r(F.col("single") * F.col("n"), 4).alias("linear_reference")))
@@ -618,14 +626,15 @@ def agg41_overpayment(spark, sf):
     items = _m(spark, sf).items
     g = _per_order_freight(items)
     mm = g.withColumn("overpay", F.greatest(F.col("total") - F.col("per_line") * F.col("n_sellers"), F.lit(0.0)))
-    a = mm.agg(F.count(F.when(F.col("n") > 1, F.lit(1))).alias("multi_line_orders"),
+    a = agg_with_quantiles(mm, [], [
+               F.count(F.when(F.col("n") > 1, F.lit(1))).alias("multi_line_orders"),
                r(pct(F.col("n") > 1), 3).alias("multi_line_pct"),
                r(F.avg(F.when(F.col("n") > 1, (F.col("distinct_values") == 1).cast("int"))) * 100, 3)
                .alias("same_freight_pct"),
                # exact decimal sum (order-independent); inputs have at most three decimals
                F.sum(F.when(F.col("n") > 1, F.col("overpay").cast("decimal(18,3)"))).cast("double").alias("_op"),
-               F.median(F.when((F.col("n") > 1) & (F.col("overpay") > 0), F.col("overpay"))).alias("median_overpay"),
-               F.sum("total").alias("_all"))
+               F.sum("total").alias("_all")],
+               {"median_overpay": (F.when((F.col("n") > 1) & (F.col("overpay") > 0), F.col("overpay")), 0.5)})
     return a.select("multi_line_orders", "multi_line_pct", "same_freight_pct", r("_op", 2).alias("overpay_total"),
                     r(F.col("_op") / F.col("_all") * 100, 3).alias("overpay_pct"), "median_overpay")
 
@@ -638,9 +647,9 @@ FROM f_item_star WHERE distance_km IS NOT NULL AND customer_state IS NOT NULL GR
 def agg42_destination_spend(spark, sf, min_lines: int = 300):
     """AGG-42: freight spend and median burden by destination state (lines >= min_lines)."""
     it = item_star(_m(spark, sf)).filter(F.col("distance_km").isNotNull() & F.col("customer_state").isNotNull())
-    g = it.groupBy("customer_state").agg(F.count(F.lit(1)).alias("lines"), r(F.sum("freight_value"), 2).alias("spend"),
-                                         r(F.median(F.col("freight_ratio") * 100), 3).alias("median_burden"))
-    return g.filter(F.col("lines") >= min_lines)
+    g = agg_with_quantiles(it, ["customer_state"], [F.count(F.lit(1)).alias("lines"), r(F.sum("freight_value"), 2).alias("spend")],
+                           {"mb": (F.col("freight_ratio") * 100, 0.5)})
+    return g.filter(F.col("lines") >= min_lines).select("customer_state", "lines", "spend", r("mb", 3).alias("median_burden"))
 
 
 # ---------------------------------------------------------------- seller tenure and panel (AGG-43, AGG-44)
@@ -726,10 +735,9 @@ def agg46_promise_timeline(spark, sf, min_orders: int = 5):
     ts = F.col("order_purchase_timestamp")
     w = o.select(F.date_add(F.to_date(F.date_trunc("week", ts)), 6).alias("week_ending"), "promised_days",
                  "clf_target", F.to_date(ts).alias("_day"))
-    g = w.groupBy("week_ending").agg(F.count(F.lit(1)).alias("orders"), F.median("promised_days").alias("median"),
-                                     F.percentile("promised_days", 0.25).alias("p25"),
-                                     F.percentile("promised_days", 0.75).alias("p75"),
-                                     F.avg("clf_target").alias("late_rate"), F.max("_day").alias("_last"))
+    g = agg_with_quantiles(w, ["week_ending"], [F.count(F.lit(1)).alias("orders"), F.avg("clf_target").alias("late_rate"),
+                                                F.max("_day").alias("_last")],
+                           {"median": ("promised_days", 0.5), "p25": ("promised_days", 0.25), "p75": ("promised_days", 0.75)})
     g = g.withColumn("_last", F.max("_last").over(Window.partitionBy()))
     return (g.filter((F.col("week_ending") <= F.col("_last")) & (F.col("orders") >= min_orders))
             .select("week_ending", "orders", *[r(c, 6).alias(c) for c in ("median", "p25", "p75", "late_rate")]))
@@ -743,10 +751,10 @@ FROM f_order_features GROUP BY 1 HAVING count(*) >= 100
 def agg47_monthly_late_promise(spark, sf, min_orders: int = 100):
     """AGG-47: monthly late rate and median promise of delivered orders (months with >= min_orders)."""
     o = order_features(_m(spark, sf), with_loads=False)
-    g = o.groupBy(F.date_format("order_purchase_timestamp", "yyyy-MM").alias("month")).agg(
-        F.count(F.lit(1)).alias("orders"), r(F.avg("clf_target"), 6).alias("late_rate"),
-        r(F.median("promised_days"), 6).alias("promised_days"))
-    return g.filter(F.col("orders") >= min_orders)
+    g = agg_with_quantiles(
+        o.select(F.date_format("order_purchase_timestamp", "yyyy-MM").alias("month"), "clf_target", "promised_days"), ["month"],
+        [F.count(F.lit(1)).alias("orders"), r(F.avg("clf_target"), 6).alias("late_rate")], {"mp": ("promised_days", 0.5)})
+    return g.filter(F.col("orders") >= min_orders).select("month", "orders", "late_rate", r("mp", 6).alias("promised_days"))
 
 
 @query("agg48_freight_drift", """
@@ -759,11 +767,11 @@ def agg48_freight_drift(spark, sf, min_n: int = 300):
     """AGG-48: monthly median freight per chargeable kg (kg floored at 0.1) and mean freight."""
     from .core import item_features
     it = item_features(_m(spark, sf))
-    g = it.groupBy(F.date_format("order_purchase_timestamp", "yyyy-MM").alias("month")).agg(
-        F.count(F.lit(1)).alias("n"),
-        r(F.median(F.col("freight_value") / F.greatest("chargeable_kg", F.lit(0.1))), 6).alias("per_kg"),
-        r(F.avg("freight_value"), 6).alias("mean_freight"))
-    return g.filter(F.col("n") >= min_n)
+    x = it.select(F.date_format("order_purchase_timestamp", "yyyy-MM").alias("month"), "freight_value",
+                  (F.col("freight_value") / F.greatest("chargeable_kg", F.lit(0.1))).alias("_kg"))
+    g = agg_with_quantiles(x, ["month"], [F.count(F.lit(1)).alias("n"), r(F.avg("freight_value"), 6).alias("mean_freight")],
+                           {"mk": ("_kg", 0.5)})
+    return g.filter(F.col("n") >= min_n).select("month", "n", r("mk", 6).alias("per_kg"), "mean_freight")
 
 
 @query("agg49_late_by_installment_band", """
@@ -836,10 +844,9 @@ def agg54_freight_ratio_by_lateness(spark, sf):
     from ..functions.columns import ratio
     fr = m.items.groupBy("order_id").agg(F.avg(ratio("freight_value", "price")).alias("avg_freight_ratio"))
     x = dated_delivered(m).select("order_id", "is_late").join(fr, "order_id", "left")
-    return x.groupBy("is_late").agg(F.count(F.lit(1)).alias("orders"),
-                                    r(F.median("avg_freight_ratio"), 6).alias("median_ratio"),
-                                    r(F.percentile("avg_freight_ratio", 0.25), 6).alias("p25_ratio"),
-                                    r(F.percentile("avg_freight_ratio", 0.75), 6).alias("p75_ratio"))
+    g = agg_with_quantiles(x, ["is_late"], [F.count(F.lit(1)).alias("orders")], {
+        "median_ratio": ("avg_freight_ratio", 0.5), "p25_ratio": ("avg_freight_ratio", 0.25), "p75_ratio": ("avg_freight_ratio", 0.75)})
+    return g.select("is_late", "orders", *[r(c, 6).alias(c) for c in ("median_ratio", "p25_ratio", "p75_ratio")])
 
 
 @query("agg55_basket_size", """

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import haversine_km, r
-from ..operators.ranking import attach
+from ..operators.ranking import attach, exact_quantiles
 from ..registry import query
 from ..sources.fixtures import market
 from .core import memo
@@ -357,33 +357,27 @@ CATEGORICAL = ["category", "seller_state", "customer_state"]
 def drift_stats(train):
     """SCO-6: numeric inputs on the log1p scale (mean, population-free sample sd, 3-sd band, share of training
     rows outside it), counts (max), categorical level counts.  One aggregation pass each."""
-    parts = []
+    aggs = []
     for c in NUMERIC_LOG:
         v = F.log1p(F.greatest(F.col(c), F.lit(0.0)))
-        s = train.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.count(v).alias("n"))
-        s = s.select(F.lit(c).alias("column"), F.lit("log1p").alias("scale"), "mean", "std", "n",
-                     (F.col("mean") - 3 * F.col("std")).alias("low"), (F.col("mean") + 3 * F.col("std")).alias("high"),
-                     F.lit(None).cast("double").alias("max"))
-        parts.append(s)
+        aggs += [F.avg(v).alias(f"{c}__mean"), F.stddev_samp(v).alias(f"{c}__std"), F.count(v).alias(f"{c}__n")]
     for c in COUNTS:
-        parts.append(train.agg(F.lit(c).alias("column"), F.lit("count").alias("scale"),
-                               F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("std"),
-                               F.count(c).alias("n"), F.lit(None).cast("double").alias("low"),
-                               F.lit(None).cast("double").alias("high"), F.max(c).cast("double").alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count(c).alias(f"{c}__n"), F.max(c).cast("double").alias(f"{c}__max")]
+    none = F.lit(None).cast("double")
+    rows = [F.struct(F.lit(c).alias("column"), F.lit("log1p").alias("scale"), F.col(f"{c}__mean").alias("mean"),
+                     F.col(f"{c}__std").alias("std"), F.col(f"{c}__n").alias("n"),
+                     (F.col(f"{c}__mean") - 3 * F.col(f"{c}__std")).alias("low"),
+                     (F.col(f"{c}__mean") + 3 * F.col(f"{c}__std")).alias("high"), none.alias("max")) for c in NUMERIC_LOG]
+    rows += [F.struct(F.lit(c).alias("column"), F.lit("count").alias("scale"), none.alias("mean"), none.alias("std"),
+                      F.col(f"{c}__n").alias("n"), none.alias("low"), none.alias("high"), F.col(f"{c}__max").alias("max"))
+             for c in COUNTS]
+    return train.agg(*aggs).select(F.explode(F.array(*rows)).alias("e")).select("e.*")
 
 
 def level_counts(train):
     """SCO-6: training rows per level of each categorical input (long form)."""
-    parts = [train.groupBy(F.lit(c).alias("column"), F.col(c).cast("string").alias("level"))
-             .agg(F.count(F.lit(1)).alias("n")) for c in CATEGORICAL]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in CATEGORICAL]))
+    return train.select(each.alias("e")).groupBy("e.column", "e.level").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _drift_sql_numeric():
@@ -485,13 +479,11 @@ def sco08_rare_level_notes(spark, sf, min_frequency: int = 20):
 def sco12_input_ranges(spark, sf):
     """SCO-12: input ranges and defaults: 0.1% and 99.9% quantiles and the median of each numeric input."""
     train, _ = item_split(market(spark, sf))
-    parts = [train.agg(F.lit(c).alias("column"), r(F.percentile(c, 0.001), 6).alias("p001"),
-                       r(F.percentile(c, 0.999), 6).alias("p999"), r(F.median(c), 6).alias("median"))
-             for c in NUMERIC_LOG + COUNTS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    cols = NUMERIC_LOG + COUNTS
+    q = exact_quantiles(train, {f"{c}__{n}": (c, p) for c in cols for n, p in (("p001", 0.001), ("p999", 0.999), ("median", 0.5))})
+    return q.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[r(f"{c}__{n}", 6).alias(n) for n in ("p001", "p999", "median")]) for c in cols])
+    ).alias("e")).select("e.*")
 
 
 # ---------------------------------------------------------------- SCO-3 percentile, SCO-9/10 what-if grids
@@ -509,7 +501,8 @@ def sco03_score_percentile(spark, sf):
     (``np.interp``): the quantile array is one broadcast row, the bracket is found with ``filter``."""
     _, test = split(market(spark, sf))
     qs = [k / 100.0 for k in range(101)]
-    ref = test.agg(F.percentile("s", qs).alias("qs"))
+    ref = exact_quantiles(test, {f"q{k}": ("s", q) for k, q in enumerate(qs)}).select(
+        F.array(*[f"q{k}" for k in range(101)]).alias("qs"))
     x = attach(test.select("order_id", "s"), ref)
     i = F.size(F.filter("qs", lambda v: v <= F.col("s")))
     lo, hi = F.element_at("qs", i.cast("int")), F.element_at("qs", (i + 1).cast("int"))
@@ -531,12 +524,18 @@ def sco09_promise_what_if(spark, sf, line: float = 0.3):
     smallest promise whose risk falls below the line."""
     _, test = split(market(spark, sf))
     from ..functions.columns import clip
-    g = test.select("order_id", "distance_km", "same_state", F.explode(F.sequence(F.lit(3), F.lit(60))).alias("promise"))
-    raw = (F.lit(0.05) + F.coalesce("distance_km", F.lit(1000.0)) / F.lit(10000.0)
-           + (F.lit(30.0) - F.col("promise").cast("double")) / F.lit(100.0) - F.lit(0.02) * F.col("same_state"))
-    g = g.withColumn("risk", r(clip(raw, 0.0, 1.0), 3))
-    return g.groupBy("order_id").agg(F.min(F.when(F.col("risk") < line, F.col("promise"))).alias("smallest_safe_promise"),
-                                     r(F.max("risk"), 6).alias("risk_at_3"), r(F.min("risk"), 6).alias("risk_at_60"))
+    def risk(promise):
+        raw = (F.lit(0.05) + F.coalesce("distance_km", F.lit(1000.0)) / F.lit(10000.0)
+               + (F.lit(30.0) - promise.cast("double")) / F.lit(100.0) - F.lit(0.02) * F.col("same_state"))
+        return r(clip(raw, 0.0, 1.0), 3)
+
+    # the grid stays inside the order's row: nothing is exploded or shuffled
+    grid = F.transform(F.sequence(F.lit(3), F.lit(60)), lambda p: F.struct(p.alias("promise"), risk(p).alias("risk")))
+    g = test.select("order_id", grid.alias("g"))
+    safe = F.filter("g", lambda x: x["risk"] < line)
+    return g.select("order_id", F.array_min(F.transform(safe, lambda x: x["promise"])).alias("smallest_safe_promise"),
+                    r(F.array_max(F.transform("g", lambda x: x["risk"])), 6).alias("risk_at_3"),
+                    r(F.array_min(F.transform("g", lambda x: x["risk"])), 6).alias("risk_at_60"))
 
 
 @query("sco10_freight_curves", """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import nan_max, r
 from ..operators import stats as S
 from ..operators.mart import pct
+from ..operators.ranking import agg_with_quantiles, exact_quantiles
 from ..registry import query
 from ..sources.fixtures import market
 from .core import delivered_orders, item_star
@@ -111,8 +112,8 @@ FROM c WHERE lines >= 300
 def sta04_price_burden_over_categories(spark, sf, min_lines: int = 300):
     """STA-4: correlation of log median price and median burden across categories with >= min_lines lines."""
     it = item_star(market(spark, sf)).filter(F.col("category").isNotNull())
-    c = it.groupBy("category").agg(F.count("order_item_id").alias("lines"), F.median("price").alias("mp"),
-                                   F.median("freight_ratio").alias("mr"))
+    c = agg_with_quantiles(it, ["category"], [F.count("order_item_id").alias("lines")],
+                           {"mp": ("price", 0.5), "mr": ("freight_ratio", 0.5)})
     c = c.filter(F.col("lines") >= min_lines)
     return c.agg(F.count(F.lit(1)).alias("categories"), r(F.corr(F.log("mp"), F.col("mr")), 6).alias("corr_price_burden"))
 
@@ -195,7 +196,7 @@ def sta05_seller_autocorrelation(spark, sf):
     for c in LAG_COLS:
         parts.append(lv.agg(F.lit(c).alias("metric"), F.lit("all").alias("variant"), F.count(F.lit(1)).alias("n"),
                             r(F.corr(f"{c}_prev", c), 6).alias("r")))
-    q = lv.agg(F.percentile("revenue", 0.99).alias("qc"), F.percentile("revenue_prev", 0.99).alias("qp"))
+    q = exact_quantiles(lv, {"qc": ("revenue", 0.99), "qp": ("revenue_prev", 0.99)})
     trimmed = (lv.withColumn("_one", F.lit(1)).join(F.broadcast(q.withColumn("_one", F.lit(1))), "_one")
                .filter((F.col("revenue") < F.col("qc")) & (F.col("revenue_prev") < F.col("qp"))))
     parts.append(trimmed.agg(F.lit("revenue").alias("metric"), F.lit("p99_trimmed").alias("variant"),

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session gets; a cluster launcher may override any of them.
 BASE_CONF = {
@@ -57,8 +58,9 @@ def apply_session_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a fresh scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only a local session (tests) that has
+    none gets a fresh scratch folder; on a cluster a folder that one machine
+    alone sees would lose data, so the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -66,6 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cargolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later plans scan
+    it with column pruning, and a lost executor costs only its running tasks."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

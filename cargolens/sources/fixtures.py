@@ -20,12 +20,13 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (LAT_BOX, LNG_BOX, add_seconds, fixed_round, floor_days, haversine_km,
                                  micros, nan_max)
+from ..operators.ranking import agg_with_quantiles
+from ..session import stored
 from .tables import read_table
 
 
@@ -35,11 +36,11 @@ PERSIST_CONF = "spark.cargolens.persistCore"
 class Market:
     """Lazy handle on the fixture tables of one data folder.
 
-    Each property is a lazy DataFrame.  With ``persist`` on (the default, see
+    Each property is a DataFrame.  With ``persist`` on (the default, see
     :data:`PERSIST_CONF`) the wide core tables (lines with geography and
-    freight, orders, and the item / order tables built on them) are persisted
-    once (memory and disk) and shared by every query built from this handle,
-    as the reference builds them once and reuses them.
+    freight, orders, and the item / order tables built on them) are written
+    once as Parquet to the cluster's shared folder when they are first used;
+    every query built from this handle then scans the columns it needs.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, persist: bool | None = None):
@@ -53,7 +54,7 @@ class Market:
         return read_table(self.spark, self.sf_dir, name)
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
+        return stored(df, "core") if self.persist else df
 
     # ------------------------------------------------------------------ small dimension views
     @cached_property
@@ -129,10 +130,11 @@ class Market:
     def zip_centroids(self) -> DataFrame:
         """AGG-1: median lat/lng per zip over in-box points (at most 100k zips: broadcastable)."""
         g = self.geolocation
-        return (g.filter(F.col("geolocation_lat").between(*LAT_BOX) & F.col("geolocation_lng").between(*LNG_BOX))
-                .groupBy(F.col("geolocation_zip_code_prefix").alias("zip"))
-                .agg(F.median("geolocation_lat").alias("lat"), F.median("geolocation_lng").alias("lng"),
-                     F.count(F.lit(1)).alias("n_points")))
+        inside = g.filter(F.col("geolocation_lat").between(*LAT_BOX) & F.col("geolocation_lng").between(*LNG_BOX))
+        return agg_with_quantiles(inside.withColumnRenamed("geolocation_zip_code_prefix", "zip"), ["zip"],
+                                  [F.count(F.lit(1)).alias("n_points")],
+                                  {"lat": ("geolocation_lat", 0.5), "lng": ("geolocation_lng", 0.5)}).select(
+            "zip", "lat", "lng", "n_points")
 
     @cached_property
     def product_features(self) -> DataFrame:
@@ -217,7 +219,7 @@ class Market:
         """f_orders: purchase, approval, carrier, delivery and promised times per order."""
         o = self.raw("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
         k = F.col("o_orderkey")
-        max_km = self.items_geo.groupBy("order_id").agg(F.max("distance_km").alias("max_km"))
+        max_km = self.items_full.groupBy("order_id").agg(F.max("distance_km").alias("max_km"))
         purchase = add_seconds(F.col("o_orderdate"), k * 7919 % 86400)
         day0 = F.date_trunc("day", purchase)
         estimated = F.timestamp_micros(micros(day0) + (k * 13 % 21 + 14) * F.lit(86_400_000_000))
@@ -298,10 +300,10 @@ _MARKETS: dict = {}
 
 
 def market(spark: SparkSession, sf_dir: str, persist: bool | None = None) -> Market:
-    """One handle per (session, folder).  The wide core tables are persisted
-    (memory and disk, recomputed from lineage if an executor is lost) unless
-    ``spark.cargolens.persistCore`` is ``false``."""
-    key = (id(spark), sf_dir, persist)
+    """One handle per (application, folder).  The wide core tables are written
+    to the shared folder unless ``spark.cargolens.persistCore`` is ``false``.
+    A handle sees the files as they were when its tables were written."""
+    key = (spark.sparkContext.applicationId, sf_dir, persist)
     m = _MARKETS.get(key)
     if m is None:
         m = _MARKETS[key] = Market(spark, sf_dir, persist)
