@@ -141,7 +141,7 @@ WITH f AS (SELECT * FROM f_audit WHERE p_a = 1),
 k AS (SELECT greatest(1, CAST(floor(0.05 * count(DISTINCT seller_id)) AS BIGINT)) AS k FROM f_audit),
 sc AS (SELECT seller_id, count(*) AS c, row_number() OVER (ORDER BY count(*) DESC, seller_id) AS rk FROM f GROUP BY 1)
 SELECT (SELECT count(*) FROM f) AS items_flagged,
-       round_even((SELECT avg(freight_value) FROM f), 6) AS mean_actual,
+       round_even((SELECT sum(freight_value::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 6) AS mean_actual,
        round_even((SELECT sum(est_a::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 6) AS mean_expected,
        round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE / count(*) FROM f), 6) AS mean_excess,
        round_even((SELECT sum(excess::DECIMAL(20, 9))::DOUBLE FROM f) / (SELECT sum(freight_value) FROM f_audit) * 100, 6)
@@ -159,7 +159,8 @@ def aud04_audit_summary(spark, sf):
     sc = f.groupBy("seller_id").agg(F.count(F.lit(1)).alias("c"))
     sc = global_running(sc, [F.desc("c"), F.asc("seller_id")], index_col="rk")
     top = attach(sc, k).agg(F.sum(F.when(F.col("rk") <= F.col("k"), F.col("c"))).alias("_top"))
-    s1 = f.agg(F.count(F.lit(1)).alias("items_flagged"), F.avg("freight_value").alias("mean_actual"),
+    s1 = f.agg(F.count(F.lit(1)).alias("items_flagged"),
+               (F.sum(F.col("freight_value").cast("decimal(20,9)")).cast("double") / F.count(F.lit(1))).alias("mean_actual"),
                # exact decimal sums: the means do not depend on the summation order
                (F.sum(F.col("est_a").cast("decimal(20,9)")).cast("double") / F.count(F.lit(1))).alias("mean_expected"),
                (F.sum(F.col("excess").cast("decimal(20,9)")).cast("double") / F.count(F.lit(1))).alias("mean_excess"),
