@@ -35,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
     This cuts the lineage: what follows reads files that every executor sees,
@@ -43,7 +43,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
