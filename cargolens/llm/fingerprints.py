@@ -149,8 +149,10 @@ def edited_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         docs = docs.dropDuplicates(["id", "th"])
     here = follows.hint("merge").join(docs, follows["own_id"].eqNullSafe(docs["id"]) & (follows["own_th"] == docs["th"])).select(
         "id", "text", "next_id", "next_th")
-    there = docs.select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("text").alias("next_text"))
-    both = here.hint("merge").join(there, F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_th") == F.col("_th")))
+    # the same plan on both sides (no renaming below the exchange), so that the texts are shuffled by id once
+    both = here.hint("merge").alias("here").join(docs.alias("there"), (
+        F.col("here.next_id").eqNullSafe(F.col("there.id"))) & (F.col("here.next_th") == F.col("there.th")))
+    both = both.select(F.col("here.id").alias("id"), F.col("here.text").alias("text"), F.col("there.text").alias("next_text"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
