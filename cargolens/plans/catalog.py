@@ -11,3 +11,5 @@ from . import q_audit  # noqa: F401
 from . import q_stream  # noqa: F401
 from . import q_scoring  # noqa: F401
 from . import q_models  # noqa: F401
+
+q_quality.register_facts()

@@ -24,6 +24,7 @@ from .q_eval import item_split, split
 from .q_features import tariff
 
 INF = math.inf
+# Band edges and labels.
 AUDIT_EDGES = [0, 50, 100, 200, 500, INF]
 AUDIT_LABELS = ["<50", "50-100", "100-200", "200-500", "500+"]
 FLAG_Q = 0.95
@@ -233,6 +234,7 @@ def aud06_flag_rate_by_category(spark, sf, min_n: int = 100, k: int = 10):
     return g.orderBy(F.desc("_fr"), "category").limit(k).select("category", r("_fr", 6).alias("flag_rate"), "n")
 
 
+# Band edges and labels.
 QUOTE_EDGES = [0, 25, 50, 100, 200, 500, INF]
 QUOTE_LABELS = ["<25", "25-50", "50-100", "100-200", "200-500", "500+"]
 
@@ -264,6 +266,7 @@ def aud07_quote_range(spark, sf):
         .alias("share_inside"))
 
 
+# Band edges and labels.
 PROMISE_EDGES = [0, 14, 21, 28, 35, INF]
 PROMISE_LABELS = ["< 14", "14-20", "21-27", "28-34", "35+"]
 
@@ -393,6 +396,7 @@ def agg51_state_table(spark, sf):
     return j.unionByName(nat)
 
 
+# Band edges and labels.
 DIST_EDGES = [0, 300, 800, 1500, INF]
 DIST_LABELS = ["<300 km", "300-800 km", "800-1500 km", "1500+ km"]
 KG_EDGES = [0, 1, 5, 15, INF]
@@ -619,21 +623,65 @@ def dq16_one_to_one_scores(spark, sf):
 
 
 @query("snk03_records_round_trip", """
-SELECT count(*) AS rows, count(DISTINCT order_id) AS orders, 0 AS mismatched_keys FROM f_itest
+SELECT count(*) AS rows, count(DISTINCT order_id) AS orders, 0 AS mismatched_keys, 0 AS rescored_differently,
+       (SELECT count(*) FROM (SELECT DISTINCT category FROM f_itest)) AS mart_rows FROM f_itest
 """)
 def snk03_records_round_trip(spark, sf):
-    """SNK-1 / SNK-2 / SNK-3: the hold-out records written to the shared checkpoint folder (Parquet, one
-    mart-style table), read back and compared per key; a one-row summary document is written as JSON."""
+    """SNK-1 / SNK-2 / SNK-3: the hold-out records written to the shared folder, read back, compared per key and
+    scored again (rows whose estimate differs); a mart table as one CSV file and a summary document as JSON."""
     import os
     import uuid
 
     from ..session import checkpoint_dir
-    from ..sources.files import round_trip, write_document
+    from ..sources.files import read_document, round_trip, write_document, write_table
     m = market(spark, sf)
     _, test = item_split(m)
     base = os.path.join(checkpoint_dir(spark), "exports", uuid.uuid4().hex)
     bad = round_trip(test.select("order_id", "order_item_id", "freight_value"), os.path.join(base, "records"),
                      ["order_id", "order_item_id"])
+    keys, inputs = ["order_id", "order_item_id"], ["chargeable_kg", "distance_km", "same_state"]
+    again = os.path.join(base, "inputs")
+    write_table(test.select(*keys, *inputs), again)
+    one = test.select(*keys, tariff(*inputs).alias("_a"))
+    two = spark.read.parquet(again).select(*keys, tariff(*inputs).alias("_b"))
+    differs = one.join(two, keys, "full").agg(F.count(F.when(~F.col("_a").eqNullSafe(F.col("_b")), F.lit(1))).alias("rescored_differently"))
+    mart = test.groupBy("category").agg(F.count(F.lit(1)).alias("lines"))
+    write_table(mart, os.path.join(base, "mart"), "csv", single_file=True)
+    rows = spark.read.option("header", True).csv(os.path.join(base, "mart")).agg(F.count(F.lit(1)).alias("mart_rows"))
     summary = test.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"))
     write_document(summary, os.path.join(base, "summary"))
-    return attach(summary, bad.agg(F.count(F.lit(1)).alias("mismatched_keys")))
+    back = read_document(spark, os.path.join(base, "summary"), summary.schema)
+    return attach(attach(attach(back, bad.agg(F.count(F.lit(1)).alias("mismatched_keys"))), differs), rows)
+
+
+@query("src3_upload", """
+WITH u AS (SELECT order_id % 10 = 3 AS bad, * FROM f_itest)
+SELECT count(*) FILTER (WHERE NOT bad) AS rows, count(*) FILTER (WHERE bad) AS rejects,
+       round_even(sum(price::DECIMAL(18, 4)) FILTER (WHERE NOT bad)::DOUBLE, 2) AS price_sum,
+       count(*) FILTER (WHERE NOT bad AND order_id % 7 = 0) AS bad_weights,
+       count(*) FILTER (WHERE NOT bad AND order_id % 11 = 0) AS default_ids
+FROM u
+""")
+def src3_upload(spark, sf):
+    """SRC-3: the hold-out lines written as a user's CSV (aliased columns, bad numbers, missing ids) to the shared
+    folder and loaded permissively: kept rows, rejects without a charge, numbers that became null, default ids."""
+    import os
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.files import read_upload, write_table
+    _, test = item_split(market(spark, sf))
+    k = F.col("order_id")
+    up = test.select(
+        F.when(k % 11 != 0, k.cast("string")).alias("order_id"), F.col("price").cast("string").alias("price"),
+        F.when(k % 10 == 3, F.lit("n/a")).otherwise(F.col("freight_value").cast("string")).alias("freight_value"),
+        F.when(k % 7 == 0, F.lit("heavy")).otherwise(F.coalesce(F.col("weight_kg"), F.lit(1.0)).cast("string")).alias("weight_kg"),
+        F.coalesce(F.col("volume_cm3"), F.lit(1.0)).cast("string").alias("volume_cm3"), "seller_state", "customer_state",
+        F.lit("01310").alias("seller_zip_code_prefix"), F.lit("01310").alias("customer_zip_code_prefix"))
+    path = os.path.join(checkpoint_dir(spark), "uploads", uuid.uuid4().hex)
+    write_table(up, path, "csv")
+    rows, rejects, _ = read_upload(spark, path)
+    a = rows.agg(F.count(F.lit(1)).alias("rows"), r(F.sum(F.col("price").cast("decimal(18,4)")).cast("double"), 2).alias("price_sum"),
+                 F.count(F.when(F.col("weight_kg").isNull(), F.lit(1))).alias("bad_weights"),
+                 F.count(F.when(F.col("order_id").startswith("row "), F.lit(1))).alias("default_ids"))
+    return attach(a, rejects.agg(F.count(F.lit(1)).alias("rejects")))

@@ -177,6 +177,20 @@ def dq15_split_integrity(spark, sf):
                     r((F.col("_tmin") - F.col("_tmax")) / F.lit(86400.0), 6).alias("gap_days"))
 
 
+@query("jon08_unseen_products", """
+SELECT (SELECT count(*) FROM f_itest t WHERE NOT EXISTS (SELECT 1 FROM f_itrain r WHERE r.product_id = t.product_id)) AS lines_unseen_product,
+       round_even((SELECT avg((EXISTS (SELECT 1 FROM f_itrain r WHERE r.product_id = t.product_id))::INT) FROM f_itest t), 6) AS product_seen_share
+""")
+def jon08_unseen_products(spark, sf):
+    """JON-8: hold-out lines whose product never occurs in training (anti join) and the share of seen ones."""
+    train, test = item_split(market(spark, sf))
+    known = train.select("product_id").distinct()
+    unseen = test.join(known, "product_id", "left_anti").agg(F.count(F.lit(1)).alias("lines_unseen_product"))
+    seen = test.join(known.withColumn("_hit", F.lit(1)), "product_id", "left").agg(
+        r(F.avg(F.coalesce("_hit", F.lit(0))), 6).alias("product_seen_share"))
+    return attach(unseen, seen)
+
+
 @query("jon08_unseen_and_overlap", """
 SELECT (SELECT count(*) FROM f_test t WHERE NOT EXISTS (SELECT 1 FROM f_train r WHERE r.seller_id = t.seller_id))
            AS test_orders_unseen_seller,
@@ -464,6 +478,7 @@ def met01_regression_metrics(spark, sf):
     return attach(n, m.select(*[r(c, 4).alias(c) for c in m.columns]))
 
 
+# Band edges and labels.
 PRICE_EDGES = [0, 30, 60, 100, 200, 500, float("inf")]
 PRICE_LABELS = ["<30", "30-60", "60-100", "100-200", "200-500", "500+"]
 

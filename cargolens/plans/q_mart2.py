@@ -153,6 +153,7 @@ def agg28_freight_headline(spark, sf):
     return _one_row_pair(f, g)
 
 
+# Band edges and labels.
 PRICE_EDGES = [0, 30, 60, 100, 200, 500, INF]
 PRICE_LABELS = ["<30", "30-60", "60-100", "100-200", "200-500", "500+"]
 
@@ -203,6 +204,7 @@ def agg31_top_categories_by_freight(spark, sf, min_n: int = 50, k: int = 10):
 
 
 # ---------------------------------------------------------------- determinism cells (AGG-32..34)
+# Band edges and labels.
 W_EDGES = [0, 300, 500, 750, 1000, 1500, 2000, 3000, 5000, 10000, INF]
 V_EDGES = [0, 1000, 2000, 4000, 8000, 16000, 32000, INF]
 D_EDGES = [0, 50, 100, 200, 300, 500, 750, 1000, 1500, 2000, INF]
@@ -371,6 +373,7 @@ def _rel(m):
 
 
 # band definitions: (column, inner edges, labels, lower outer edge rule, upper outer edge rule)
+# Band edges and labels.
 DRIVER_BANDS = {
     "delivery": ("delivery_days", [0, 5, 10, 15, 20, 30], ["0-5", "6-10", "11-15", "16-20", "21-30", ">30"],
                  None, 1.0),

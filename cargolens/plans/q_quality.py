@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import LAT_BOX, LNG_BOX, r
 from ..operators import quality as Q
 from ..operators.mart import pct
-from ..registry import query
+from ..operators.quality import gate
+from ..registry import ORACLE, QUERIES, query
 from ..sources.fixtures import market
 from .core import item_star, order_master
 
@@ -273,3 +274,47 @@ def dq12_facts(spark, sf):
               F.max("delivery_days").alias("max_delivery_days")),
     ]
     return side_by_side(parts)
+
+
+# one-row reports that make up the facts document
+FACT_QUERIES = ("dq12_facts", "agg15_corridor", "agg16_repeat_rate", "win04_repeat_gap", "agg20_seller_items",
+                "win06_seller_concentration", "agg22_top10_shares", "agg25_installment_stats", "agg28_freight_headline",
+                "agg45_satisfaction_link", "agg43_seller_tenure", "dq05_value_extremes", "dq08_zip_spread", "sta04_price_burden_over_categories",
+                "sta06_at_risk_rate", "aud04_audit_summary", "met01_regression_metrics", "met02_average_precision", "met04_roc_auc",
+                "met05_threshold_metrics", "sta08_linear_tariff", "str02_log_summary")
+
+
+def facts_document(spark, sf):
+    """DQ-12: the facts document in full, long form (report, fact, value): every number of the one-row reports."""
+    parts = []
+    for name in FACT_QUERIES:
+        df = QUERIES[name](spark, sf)
+        numbers = [f.name for f in df.schema.fields if f.dataType.typeName() in ("integer", "long", "double", "decimal")]
+        parts.append(df.select(F.explode(F.array(*[F.struct(F.lit(name).alias("report"), F.lit(c).alias("fact"),
+                                                            F.col(c).cast("double").alias("value")) for c in numbers])).alias("e")).select("e.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.filter(F.col("value").isNotNull())
+
+
+def register_facts():
+    """Registered after the reports it reads, with an oracle made of theirs."""
+    cast = "SELECT '{0}' AS report, fact, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({1})) ON COLUMNS(*) INTO NAME fact VALUE value)"
+    ORACLE["dq12_facts_document"] = "\nUNION ALL ".join(cast.format(n, ORACLE[n].strip().rstrip(";")) for n in FACT_QUERIES)
+    QUERIES["dq12_facts_document"] = facts_document
+
+
+@query("dq13_gate", """
+SELECT 'n_items' AS fact, count(*)::DOUBLE AS value, count(*)::DOUBLE AS expected, 0.0::DOUBLE AS tol, true AS ok FROM lineitem
+UNION ALL SELECT 'n_orders', count(*), count(*), 0.0, true FROM orders
+UNION ALL SELECT 'n_payments', count(*) + count(*) FILTER (WHERE o_orderkey % 3 = 0), count(*) + count(*) FILTER (WHERE o_orderkey % 3 = 0), 0.0, true FROM orders
+""")
+def dq13_gate(spark, sf):
+    """DQ-13: gate on the facts: counts of the derived tables must equal those of the raw tables; the job fails on a
+    mismatch.  The expected values are three counts."""
+    m = market(spark, sf)
+    raw = m.raw("orders").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("o_orderkey") % 3 == 0, F.lit(1))).alias("two")).first()
+    lines = m.raw("lineitem").count()
+    facts = dq12_facts(spark, sf).select("n_items", "n_orders", "n_payments")
+    return gate(facts, {"n_items": lines, "n_orders": raw["n"], "n_payments": raw["n"] + raw["two"]})

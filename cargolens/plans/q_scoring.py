@@ -116,18 +116,21 @@ def state_centres(m):
     return z.groupBy("state").agg(F.median("lat").alias("c_lat"), F.median("lng").alias("c_lng"))
 
 
+def nearest_zips(zips):
+    """For every five-digit prefix (100,000 at most) the known zip of its 3-digit region that is numerically
+    nearest, ties to the lower one: a bounded table, built once and joined on the zip itself."""
+    z = zips.select(F.col("zip").alias("_z"), F.floor(F.col("zip") / 100).alias("_region"),
+                    F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), F.col("state").alias("_zstate"))
+    every = zips.sparkSession.range(100_000).select(F.col("id").alias("_prefix"), F.floor(F.col("id") / 100).alias("_region"))
+    return every.join(F.broadcast(z), "_region").groupBy("_prefix").agg(
+        F.min_by(F.struct("_z", "_lat", "_lng", "_zstate"), F.struct(F.abs(F.col("_z") - F.col("_prefix")), F.col("_z"))).alias("b"))
+
+
 def locate(probes, zips, centres, who: str):
     """JON-13: probe (pid, zip, state) -> (lat, lng, state, from_zip, notes): the same zip if known, else the
     numerically nearest zip in the same 3-digit region (ties to the lower zip), else the state centre; a zip
-    in another state overrides the state.  Candidates come from an equi-join on the region, so each probe
-    meets at most the zips of one region."""
-    p = probes.withColumn("_region", F.floor(F.col("zip") / 100))
-    z = zips.select(F.col("zip").alias("_z"), F.floor(F.col("zip") / 100).alias("_region"),
-                    F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), F.col("state").alias("_zstate"))
-    cand = p.filter(F.col("zip").isNotNull()).join(F.broadcast(z), "_region")
-    best = cand.groupBy("pid").agg(F.min_by(F.struct("_z", "_lat", "_lng", "_zstate"),
-                                            F.struct(F.abs(F.col("_z") - F.col("zip")), F.col("_z"))).alias("b"))
-    j = (p.join(best, "pid", "left")
+    in another state overrides the state.  A probe is one row throughout."""
+    j = (probes.join(F.broadcast(nearest_zips(zips)), F.col("zip") == F.col("_prefix"), "left")
          .join(F.broadcast(centres.select(F.col("state").alias("_cs"), "c_lat", "c_lng")),
                F.col("state") == F.col("_cs"), "left"))
     found = F.col("b").isNotNull()
@@ -135,14 +138,14 @@ def locate(probes, zips, centres, who: str):
     near = F.format_string("%05d", F.col("b._z").cast("int"))
     notes = F.array_compact(F.array(
         F.when(F.col("zip").isNotNull() & ~found,
-               F.concat(F.lit(f"{who} zip "), zs, F.lit(" is not in the zip table: using the centre of "),
+               F.concat(F.lit(f"{who} zip "), zs, F.lit(" is unknown and stands at the centre of "),
                         F.col("state"), F.lit("."))),
         F.when(found & (F.col("b._z") != F.col("zip")),
-               F.concat(F.lit(f"{who} zip "), zs, F.lit(" is not in the zip table: using the nearest one, "), near,
+               F.concat(F.lit(f"{who} zip "), zs, F.lit(" is unknown; its closest known neighbour is "), near,
                         F.lit("."))),
         F.when(found & (F.col("b._zstate") != F.col("state")),
                F.concat(F.lit(f"{who} zip "), near, F.lit(" is in "), F.col("b._zstate"), F.lit(", not "),
-                        F.col("state"), F.lit(": using "), F.col("b._zstate"), F.lit(".")))))
+                        F.col("state"), F.lit("; the state is taken as "), F.col("b._zstate"), F.lit(".")))))
     return j.select("pid",
                     F.when(found, F.col("b._lat")).otherwise(F.col("c_lat")).alias("lat"),
                     F.when(found, F.col("b._lng")).otherwise(F.col("c_lng")).alias("lng"),
@@ -163,11 +166,11 @@ SELECT p.pid, CASE WHEN b.z IS NOT NULL THEN b.lat ELSE sc.c_lat END AS lat,
        CASE WHEN b.z IS NOT NULL THEN b.lng ELSE sc.c_lng END AS lng,
        CASE WHEN b.z IS NOT NULL THEN b.zstate ELSE p.state END AS state, b.z IS NOT NULL AS from_zip, b.z AS nearest,
        list_filter([CASE WHEN p.zip IS NOT NULL AND b.z IS NULL THEN '{who} zip ' || lpad(CAST(p.zip AS VARCHAR), 5, '0')
-                         || ' is not in the zip table: using the centre of ' || p.state || '.' END,
+                         || ' is unknown and stands at the centre of ' || p.state || '.' END,
                     CASE WHEN b.z IS NOT NULL AND b.z <> p.zip THEN '{who} zip ' || lpad(CAST(p.zip AS VARCHAR), 5, '0')
-                         || ' is not in the zip table: using the nearest one, ' || lpad(CAST(b.z AS VARCHAR), 5, '0') || '.' END,
+                         || ' is unknown; its closest known neighbour is ' || lpad(CAST(b.z AS VARCHAR), 5, '0') || '.' END,
                     CASE WHEN b.z IS NOT NULL AND b.zstate <> p.state THEN '{who} zip ' || lpad(CAST(b.z AS VARCHAR), 5, '0')
-                         || ' is in ' || b.zstate || ', not ' || p.state || ': using ' || b.zstate || '.' END],
+                         || ' is in ' || b.zstate || ', not ' || p.state || '; the state is taken as ' || b.zstate || '.' END],
                    lambda x: x IS NOT NULL) AS notes
 FROM {probe_view} p
 LEFT JOIN (SELECT p2.pid, arg_min(zt.zip, (abs(zt.zip - p2.zip), zt.zip)) AS z,
@@ -227,9 +230,9 @@ def resolve_route(records, zips, centres):
     def where(frm, st):
         return F.when(F.col(frm), F.lit("zip code")).otherwise(F.concat(F.lit("centre of "), F.col(st)))
     dnote = (F.when(F.col("distance_given") & F.col("distance_in").isNull(),
-                    F.lit("Distance unknown: the models use the training median."))
+                    F.lit("No distance is known, so the median of the training lines stands in."))
              .when(~F.col("distance_given") & ~(F.col("s_from_zip") & F.col("c_from_zip")),
-                   F.concat(F.lit("Distance measured from the seller's "), where("s_from_zip", "s_state"),
+                   F.concat(F.lit("The distance runs from the seller's "), where("s_from_zip", "s_state"),
                             F.lit(" to the customer's "), where("c_from_zip", "c_state"), F.lit("."))))
     return j.select("id", F.col("s_state").alias("seller_state"), F.col("c_state").alias("customer_state"),
                     dist.alias("distance_km"), (F.col("s_state") == F.col("c_state")).cast("int").alias("same_state"),
@@ -272,8 +275,8 @@ d AS (SELECT *, CASE WHEN distance_given AND distance_in IS NOT NULL THEN distan
                      ELSE 2 * 6371.0 * asin(sqrt(pow(sin((radians(c_lat) - radians(s_lat)) / 2), 2)
                           + cos(radians(s_lat)) * cos(radians(c_lat)) * pow(sin((radians(c_lng) - radians(s_lng)) / 2), 2)))
                 END AS dist,
-             CASE WHEN distance_given AND distance_in IS NULL THEN 'Distance unknown: the models use the training median.'
-                  WHEN NOT distance_given AND NOT (s_from AND c_from) THEN 'Distance measured from the seller''s '
+             CASE WHEN distance_given AND distance_in IS NULL THEN 'No distance is known, so the median of the training lines stands in.'
+                  WHEN NOT distance_given AND NOT (s_from AND c_from) THEN 'The distance runs from the seller''s '
                        || CASE WHEN s_from THEN 'zip code' ELSE 'centre of ' || s_state END || ' to the customer''s '
                        || CASE WHEN c_from THEN 'zip code' ELSE 'centre of ' || c_state END || '.' END AS dnote FROM j)
 SELECT id, s_state AS seller_state, c_state AS customer_state, round_even(dist, 6) AS distance_km,

@@ -3,10 +3,13 @@ streaming jobs in ``cargolens.streaming.monitor``, checked against SQL."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import r
-from ..registry import query
+from ..registry import ORACLE, query
+from ..session import checkpoint_dir, stored
 from ..sources.fixtures import market
 from ..streaming import monitor as MON
 
@@ -26,6 +29,8 @@ lg AS (SELECT CAST(ts AS TIMESTAMP) AS timestamp, CAST(floor(event_id / 4) AS BI
               CASE WHEN event_type <> 'error' THEN list_filter([CASE WHEN value > 200 THEN 'distance_km' END,
                                                                CASE WHEN value > 400 THEN 'weight_kg' END],
                                                               lambda x: x IS NOT NULL) END AS drift_inputs,
+              CASE WHEN event_type IN ('purchase', 'signup') THEN ['Update the delivery estimate', 'Check carrier tracking',
+                   'Confirm dispatch with seller'][((CAST(json_extract(props, '$.k') AS INTEGER) % 3) + 3) % 3 + 1] END AS suggested_follow_up,
               CAST(event_id * 37 % 600 + 20 AS DOUBLE) AS latency_ms
        FROM events)"""
 
@@ -62,6 +67,17 @@ def str01_drift_by_input(spark, sf):
     return d.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "input", "n")
 
 
+@query("str01_follow_ups", f"""
+WITH {_LOG_SQL}
+SELECT strftime(date_trunc('day', timestamp), '%Y-%m-%d') AS day, suggested_follow_up, count(*) AS n
+FROM lg WHERE suggested_follow_up IS NOT NULL GROUP BY 1, 2
+""")
+def str01_follow_ups(spark, sf):
+    """STR-1 (batch twin): scored orders per day and suggested follow-up."""
+    d = MON.follow_ups_agg(_log(spark, sf))
+    return d.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "suggested_follow_up", "n")
+
+
 @query("str02_log_summary", f"""
 WITH {_LOG_SQL},
 c AS (SELECT count(*) FILTER (WHERE status = 200 AND "row" = 0) AS requests, count(*) FILTER (WHERE status <> 200) AS rejected,
@@ -176,21 +192,75 @@ SELECT strftime(date_trunc('day', timestamp), '%Y-%m-%d') AS day, kind, count(*)
 FROM lg GROUP BY 1, 2
 """)
 def snk05_log_round_trip(spark, sf):
-    """SNK-4 / SNK-5: the log written as JSON lines (plus one malformed line per rejected request) to the
+    """SNK-4 / SNK-5: the log appended as JSON lines by day (plus a malformed line per rejected request) to the
     shared checkpoint folder, read back with its schema skipping bad lines, and the STR-1 totals rebuilt."""
     import os
-    import uuid
 
-    from ..session import checkpoint_dir
-    from ..sources.files import read_log
+    from ..sources.files import read_log, write_log
     lg = _log(spark, sf)
     path = os.path.join(checkpoint_dir(spark), "logs", uuid.uuid4().hex)
-    good = lg.select(F.to_json(F.struct(*lg.columns)).alias("value"))
+    write_log(lg, path)
     junk = lg.filter(F.col("status") == 422).select(F.concat(F.lit("not json "), F.col("request_id").cast("string"))
                                                     .alias("value"))
-    good.unionByName(junk).write.mode("overwrite").text(path)
+    junk.write.mode("append").text(os.path.join(path, "day=1970-01-01"))
     back = read_log(spark, path)
     t = MON.totals_agg(back)
     return t.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "kind", "rows", "requests", "rejected",
                     "predictions", "with_drift", r("fair_sum", 6).alias("fair_sum"), "unusual",
                     r("risk_sum", 6).alias("risk_sum"), "on_list")
+
+
+# ---------------------------------------------------------------- the same monitors as streams
+def _stream(spark, sf):
+    """The log as a stream over the table's file or files, and fresh folders for output and checkpoint."""
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    landing = stored(market(spark, sf).raw("events"), "landing")
+    return MON.log_stream(spark, landing.inputFiles()[0].rsplit("/", 1)[0], 8), f"{base}/out", f"{base}/checkpoint"
+
+
+def _twin(name):
+    """The oracle of a stream is that of its batch twin."""
+    def deco(fn):
+        ORACLE[fn.__name__] = ORACLE[name]
+        return query(fn.__name__)(fn)
+    return deco
+
+
+@_twin("str01_log_totals")
+def str01_stream_totals(spark, sf):
+    """STR-1: the daily totals by a stream in update mode; equal to the batch twin row by row."""
+    t = MON.stream_totals(*_stream(spark, sf))
+    return t.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "kind", "rows", "requests", "rejected",
+                    "predictions", "with_drift", r("fair_sum", 6).alias("fair_sum"), "unusual",
+                    r("risk_sum", 6).alias("risk_sum"), "on_list")
+
+
+@_twin("str03_dedupe_and_split")
+def str03_stream_split(spark, sf):
+    """STR-3: duplicates dropped within the watermark and rejected rows split off by a stream."""
+    d = MON.stream_split(*_stream(spark, sf))
+    return d.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("request_id").alias("requests"))
+
+
+@_twin("str04_sliding_load")
+def str04_stream_sliding(spark, sf):
+    """STR-4: the sliding 7-day load by a stream in update mode."""
+    s = MON.stream_sliding(*_stream(spark, sf))
+    return s.select(F.date_format("w.start", "yyyy-MM-dd").alias("window_start"),
+                    F.date_format("w.end", "yyyy-MM-dd").alias("window_end"), "load")
+
+
+@_twin("str05_weekly_promise_alert")
+def str05_stream_alert(spark, sf):
+    """STR-5: the weekly promise alert by a stream of delivered orders."""
+    from ..functions.columns import frac_days
+    o = market(spark, sf).orders.filter(F.col("order_status") == "delivered").select(
+        F.to_date(F.date_trunc("week", "order_purchase_timestamp")).alias("week"),
+        frac_days("order_estimated_delivery_date", "order_purchase_timestamp").alias("promise"))
+    landing = stored(o, "landing")
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    stream = (spark.readStream.schema(landing.schema).option("maxFilesPerTrigger", 8)
+              .parquet(landing.inputFiles()[0].rsplit("/", 1)[0]))
+    a = MON.stream_weekly_alert(stream, f"{base}/out", f"{base}/checkpoint")
+    return a.select(F.date_format("week", "yyyy-MM-dd").alias("week"), "orders", r("promise", 6).alias("promise"),
+                    r("trailing", 6).alias("trailing"), "alert")

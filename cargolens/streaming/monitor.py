@@ -41,6 +41,12 @@ def drift_by_input_agg(log: DataFrame, window: str = "1 day") -> DataFrame:
             .groupBy(F.window("timestamp", window).alias("w"), "input").agg(F.count(F.lit(1)).alias("n")))
 
 
+def follow_ups_agg(log: DataFrame, window: str = "1 day") -> DataFrame:
+    """STR-1: scored orders per window and suggested follow-up."""
+    return (log.filter(F.col("suggested_follow_up").isNotNull())
+            .groupBy(F.window("timestamp", window).alias("w"), "suggested_follow_up").agg(F.count(F.lit(1)).alias("n")))
+
+
 def sliding_load_agg(log: DataFrame, length: str = "7 days", slide: str = "1 day") -> DataFrame:
     """STR-4: scored rows per sliding 7-day window, advanced daily (the trailing-load feature kept current)."""
     return (log.filter(F.col("status") == 200)
@@ -54,34 +60,66 @@ def dedupe(log: DataFrame, streaming: bool = False) -> DataFrame:
     return log.dropDuplicates(["request_id", "row"])
 
 
-def log_stream(spark: SparkSession, events_path: str, max_files: int = 1) -> DataFrame:
-    """The log as a stream: Parquet files landing in the folder ``events_path`` read with ``readStream``
-    and mapped to log lines."""
-    ev = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(events_path))
-    return log_from_events(ev)
+def log_stream(spark: SparkSession, events_path: str, max_files: int = 1, only: str | None = None) -> DataFrame:
+    """The log as a stream: Parquet files landing in the folder ``events_path`` (``only``: those names) read with
+    ``readStream`` and mapped to log lines."""
+    ev = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files)
+    if only:
+        ev = ev.option("pathGlobFilter", only)
+    return log_from_events(ev.parquet(events_path))
 
 
-def run_to_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "complete"):
-    """Run a streaming aggregation to completion on the available input (``availableNow``) into an
-    in-memory table; returns the table as a DataFrame."""
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def run_updates(df: DataFrame, out: str, checkpoint: str, mode: str = "update", body=None) -> DataFrame:
+    """Run a stream on the available input (``availableNow``).  Each micro-batch writes the rows that changed (or what
+    ``body`` makes of them) to its own ``epoch=<id>`` folder, so a repeated batch replaces its output; the watermark trims
+    the state.  Returns what was written, with its epoch."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        (body(batch) if body else batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = (df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.parquet(out)
 
 
-def run_to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
-    """Run a stream to a Parquet sink (exactly-once with the checkpoint) on the available input."""
-    q = (df.writeStream.outputMode(mode).format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The last version of each key among the updates of a stream."""
+    values = [c for c in rows.columns if c not in (*keys, "epoch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("epoch").cast("long")).alias("v")).select(*keys, "v.*")
+
+
+def stream_totals(log: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """STR-1 as a stream: windowed totals in update mode."""
+    rows = run_updates(totals_agg(log.withWatermark("timestamp", WATERMARK)), out, checkpoint)
+    return latest(rows, ["w", "kind"])
+
 
+def stream_sliding(log: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """STR-4 as a stream: the sliding load in update mode."""
+    return latest(run_updates(sliding_load_agg(log.withWatermark("timestamp", WATERMARK)), out, checkpoint), ["w"])
 
-def stream_totals(spark: SparkSession, events_path: str, checkpoint: str, name: str = "log_totals") -> DataFrame:
-    """STR-1 as a stream: watermark, windowed totals in update mode, materialised in memory."""
-    log = log_stream(spark, events_path).withWatermark("timestamp", WATERMARK)
-    return run_to_memory(totals_agg(log), name, checkpoint, "complete")
+
+def stream_split(log: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """STR-3 as a stream: one row per (request, row) within the watermark, with its outcome; append mode."""
+    outcome = F.when(F.col("status") == 422, F.lit("rejected")).otherwise(F.lit("scored")).alias("outcome")
+    return run_updates(dedupe(log, streaming=True).select("request_id", "row", outcome), out, checkpoint, "append")
+
+
+def stream_weekly_alert(promises: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """STR-5 as a stream of (week, promise): each micro-batch is appended to a store and the alert is computed again from
+    the weekly medians of the store, a small table; returns the last alert table."""
+    from ..operators.ranking import agg_with_quantiles
+    spark = promises.sparkSession
+
+    def alert(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/store/epoch={epoch}")
+        store = batch.sparkSession.read.schema(batch.schema.add("epoch", "integer")).parquet(f"{out}/store")
+        weekly = agg_with_quantiles(store, ["week"], [F.count(F.lit(1)).alias("orders")], {"promise": ("promise", 0.5)})
+        weekly_alert_batch(weekly).write.mode("overwrite").parquet(f"{out}/alerts/epoch={epoch}")
+
+    q = (promises.writeStream.foreachBatch(alert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return latest(spark.read.parquet(f"{out}/alerts"), ["week"])
 
 
 def weekly_alert_batch(weekly: DataFrame) -> DataFrame:
@@ -97,5 +135,3 @@ def weekly_alert_batch(weekly: DataFrame) -> DataFrame:
     return (w.withColumn("trailing", mid).drop("_prev")
             .withColumn("alert", F.coalesce(F.abs(F.col("promise") / F.col("trailing") - 1) > 0.2, F.lit(False))))
 
-
-__all__ = ["EVENTS_SCHEMA", "log_from_events"]

@@ -16,22 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def score_batch(records: DataFrame, states: DataFrame):
-    """The shared body of the batch twin and of each micro-batch: (scored, rejected)."""
+def score_batch(records: DataFrame, states: DataFrame, model=None):
+    """The shared body of the batch twin and of each micro-batch: (scored, rejected).  ``model`` is a saved freight
+    pipeline (:class:`operators.models.Fitted`); without one the literal tariff estimates."""
     from ..plans.q_features import tariff
     from ..plans.q_scoring import validate
     valid, rejected = validate(records, states)
-    scored = valid.withColumn("estimate", tariff("chargeable_kg", "distance_km", "same_state"))
+    if model is None:
+        scored = valid.withColumn("estimate", tariff("chargeable_kg", "distance_km", "same_state"))
+    else:
+        scored = model.score(valid, "_log").withColumn("estimate", F.greatest(F.expm1("_log"), F.lit(0.0))).drop("_log")
     return scored, rejected.withColumn("errors", F.concat_ws(" | ", "errors"))
 
 
 def run_scoring_stream(spark: SparkSession, landing: str, schema, states: DataFrame, out_dir: str,
-                       checkpoint: str) -> None:
+                       checkpoint: str, model=None) -> None:
     """Score everything that has landed (``availableNow``) into ``out_dir/scored`` and ``out_dir/rejected``."""
     stream = spark.readStream.schema(schema).parquet(landing)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        scored, rejected = score_batch(batch, states)
+        scored, rejected = score_batch(batch, states, model)
         scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"epoch={epoch_id}"))
         rejected.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"epoch={epoch_id}"))
 

@@ -33,12 +33,17 @@ def test_stream_totals_equal_batch_twin(spark):
     landing = tempfile.mkdtemp(prefix="cargolens-test-landing-")      # the log lands in a folder
     shutil.copy(src, os.path.join(landing, "part-0.parquet"))
     ck = tempfile.mkdtemp(prefix="cargolens-test-ckpt-")
-    streamed = MON.stream_totals(spark, landing, ck, name="t_totals")
+    streamed = MON.stream_totals(MON.log_stream(spark, landing), f"{ck}/out", f"{ck}/checkpoint")
     batch = MON.totals_agg(log_from_events(spark.read.parquet(src)))
     key = ["w", "kind"]
-    s = streamed.orderBy(*key).select(F.col("w.start").alias("ws"), "kind", "rows", "predictions", "with_drift")
-    b = batch.orderBy(*key).select(F.col("w.start").alias("ws"), "kind", "rows", "predictions", "with_drift")
+    s = streamed.orderBy(*key).select(F.col("w.start").alias("ws"), "kind", "rows", "predictions", "with_drift", "on_list")
+    b = batch.orderBy(*key).select(F.col("w.start").alias("ws"), "kind", "rows", "predictions", "with_drift", "on_list")
     assert s.collect() == b.collect()
+    ck = tempfile.mkdtemp(prefix="cargolens-test-ckpt-")
+    twice = MON.stream_split(MON.log_stream(spark, landing), f"{ck}/out", f"{ck}/checkpoint").drop("epoch")
+    once = MON.dedupe(log_from_events(spark.read.parquet(src))).select(
+        "request_id", "row", F.when(F.col("status") == 422, "rejected").otherwise("scored").alias("outcome"))
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
 
 
 def test_permissive_upload(spark, tmp_path):
@@ -69,9 +74,18 @@ def test_streaming_scoring_equals_batch(spark, tmp_path):
     landing = str(tmp_path / "landing")
     rec.repartition(3).write.parquet(landing)
     out = str(tmp_path / "out")
-    run_scoring_stream(spark, landing, rec.schema, _states(m), out, str(tmp_path / "ckpt"))
-    s_scored = spark.read.parquet(os.path.join(out, "scored"))
-    s_rej = spark.read.parquet(os.path.join(out, "rejected"))
-    b_scored, b_rej = score_batch(rec, _states(m))
-    assert s_scored.count() == b_scored.count() and s_rej.count() == b_rej.count()
+    from cargolens.operators.models import Bench, Fitted
+    from cargolens.plans.q_models import FS_A
+    from cargolens.plans.q_eval import item_split
+    bench = Bench(item_split(m)[0], FS_A, "reg_target")
+    bench.ridge(10.0).save(spark, str(tmp_path / "model"))
+    bench.close()
+    model = Fitted.load(spark, str(tmp_path / "model"))
+    run_scoring_stream(spark, landing, rec.schema, _states(m), out, str(tmp_path / "ckpt"), model)
+    s_scored = spark.read.parquet(os.path.join(out, "scored")).drop("epoch")
+    s_rej = spark.read.parquet(os.path.join(out, "rejected")).drop("epoch")
+    b_scored, b_rej = score_batch(rec, _states(m), model)
+    cols = ["id", "estimate"]
+    assert sorted(map(tuple, s_scored.select(*cols).collect())) == sorted(map(tuple, b_scored.select(*cols).collect()))
+    assert sorted(map(tuple, s_rej.select("id", "errors").collect())) == sorted(map(tuple, b_rej.select("id", "errors").collect()))
     assert s_scored.count() + s_rej.count() == rec.count()
