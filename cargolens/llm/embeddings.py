@@ -73,8 +73,8 @@ def _link(cid: np.ndarray, copies: np.ndarray, vectors: np.ndarray, found: tuple
     i, j = code // len(cid), code % len(cid)
     u = _unit(vectors)
     good = np.zeros(len(i), bool)
-    for lo in range(0, len(i), 100_000):
-        s = slice(lo, lo + 100_000)
+    for lo in range(0, len(i), 20_000):
+        s = slice(lo, lo + 20_000)
         good[s] = np.einsum("kd,kd->k", u[i[s]], u[j[s]]) >= cosine
     i, j = i[good], j[good]
     n = np.bincount(i, copies[j], len(cid)) + np.bincount(j, copies[i], len(cid))
