@@ -34,21 +34,13 @@ from .common import as_row, restored, shared_table
 
 # A short line ends after a line break, and after a blank that follows one of these.
 LAST = ".,;:!?es"
-MARK = "\x01"
 WINDOW = 2
 MIN_BYTES = 72
 
 
 def short_lines(text: Column) -> Column:
-    """The text's lines, ends included: joined they are the text again.
-
-    Plain replacements and a split at one character are several times cheaper
-    than a regular expression; a text that holds the mark itself takes that way."""
-    marked = F.replace(text, F.lit("\n"), F.lit("\n" + MARK))
-    for c in LAST:
-        marked = F.replace(marked, F.lit(c + " "), F.lit(c + " " + MARK))
-    plain = F.split(text, rf"(?<=\n)|(?<=[{LAST}] )")
-    return F.when(F.instr(text, MARK) > 0, plain).otherwise(F.split(marked, MARK))
+    """The text's lines, ends included: joined they are the text again."""
+    return F.split(text, rf"(?<=\n)|(?<=[{LAST}] )")
 
 
 def _bare(line: Column) -> Column:
@@ -63,11 +55,12 @@ def chunk_rows(df: DataFrame, key: str, text_col: str) -> DataFrame:
                           F.transform("l", F.octet_length).alias("c"), F.size("l").alias("n"))
     rolled = hashed.select("*", F.transform("h", lambda x, i: F.xxhash64(x, *[
         F.coalesce(F.get("h", i + j), F.lit(0).cast("long")) for j in range(1, WINDOW)])).alias("r"))
-    # down[i] says how the hash at i compares with the one after it; a local minimum comes after a fall and before a rise
-    steps = rolled.select(key, "h", "c", "n", F.zip_with("r", F.slice("r", F.lit(2), F.col("n")), lambda a, b: a > b).alias("down"),
-                          F.zip_with("r", F.slice("r", F.lit(2), F.col("n")), lambda a, b: a < b).alias("up"))
+    # step[i] says how the hash after i compares with that at i; a local minimum comes after a fall and before a rise.
+    # (It is used twice below: an array used once would be evaluated again for every element of the lambda.)
+    steps = rolled.select(key, "h", "c", "n", F.zip_with("r", F.slice("r", F.lit(2), F.col("n")), lambda a, b: F.when(
+        a < b, F.lit(1)).when(a > b, F.lit(-1)).otherwise(F.lit(0))).alias("step"))
     place = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i == 0) | (
-        F.coalesce(F.get("up", i), F.lit(False)) & F.get("down", i - 1) & (i >= 2) & (i <= F.col("n") - 2)))
+        (F.get("step", i) == 1) & (F.get("step", i - 1) == -1) & (i >= 2) & (i <= F.col("n") - 2)))
     starts = steps.select(key, "h", "c", "n", place.alias("s"))
     chunk = F.transform("s", lambda at, k: F.struct(
         at.alias("start"), (F.coalesce(F.get("s", k + 1), F.col("n")) - at).alias("lines")))
@@ -133,7 +126,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     stops = gone.withColumns({
         "_from": F.concat(F.array(F.lit(0)), F.transform("_gone", lambda s: s["start"] + s["lines"])),
         "_to": F.concat(F.transform("_gone", lambda s: s["start"]), F.array(F.size("_lines")))})
-    kept = F.array_join(F.flatten(F.transform("_from", lambda at, i: F.slice("_lines", at + 1, F.get("_to", i) - at))), "")
+    kept = F.array_join(F.flatten(F.zip_with("_from", "_to", lambda at, to: F.slice("_lines", at + 1, to - at))), "")
     result = stops.withColumn("_left", F.when(F.size("_gone") > 0, kept).otherwise(F.col("_text")))
     removed = {"removed_chunks": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
                "removed_chars": F.coalesce(F.length("_text") - F.length("_left"), F.lit(0)).cast("long")}

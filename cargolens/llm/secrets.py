@@ -51,8 +51,10 @@ def prefix_sums(df: DataFrame, arrays: list[str], suffix: str) -> DataFrame:
         return lambda v, b: total(F.slice(f"_t_{c}", F.lit(1), b))
 
     def before(c: str):
-        return lambda v, i: (F.get(f"_o_{c}", F.floor(i / BLOCK).cast("int"))
-                             + total(F.slice(c, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)))
+        # the offsets are named twice: an array named once would be evaluated again for every element
+        def at(i):
+            return F.get(f"_o_{c}", F.floor(i / BLOCK).cast("int"))
+        return lambda v, i: F.when(at(i).isNotNull(), at(i)) + total(F.slice(c, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK))
 
     blocks = df.withColumns({f"_t_{c}": F.transform(F.sequence(F.lit(0), F.ceil(F.size(c) / BLOCK).cast("int")), block_total(c))
                              for c in arrays})
