@@ -14,7 +14,7 @@ fingerprint by the paragraphs that came or went, without the document.
 
 Defined results: a null text counts as empty; the fingerprint of an empty text
 is zero in every lane, like only another empty one; repeated rows have equal
-fingerprints.  The next document of :func:`edited_pairs` follows in descending
+fingerprints.  The next document of :func:`edit_report` follows in descending
 order of the id (nulls last, equal ids by a hash of the text), and the first
 one follows the last.
 """
@@ -124,48 +124,57 @@ def add_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     return ready.withColumns(out).select(*df.columns, *pairs)
 
 
-def edited_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, next_text, edited): each document, the next one in descending
-    order of ids, and the text with its second half replaced by as many
-    characters from the beginning of the next (or all of it).
+def order_of(docs: DataFrame) -> DataFrame:
+    """One row for each distinct (id, th) of ``docs`` (id, th, text): how many rows it has, half of its characters, and
+    the (id, th) that comes next in descending order of ids, the first after the last.
 
-    Only ids and hashes are ordered (a two-phase global rank); the texts are
-    shuffled by id for both sides of the join, which reuses one exchange.
+    Only ids, hashes and lengths are ordered, by a two-phase global rank."""
+    keys = docs.groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows"), F.max(F.length("text")).alias("n"))
+    ranked = global_running(keys, [F.desc_nulls_last("id"), F.asc("th")], index_col="k")
+    ranked = shared_table(ranked.select("id", "th", "rows", F.floor(F.col("n") / 2).cast("int").alias("half"), "k",
+                                        (F.col("k") % F.col("_total_n") + 1).alias("next_k")), "order")
+    after = ranked.select(F.col("id").alias("next_id"), F.col("th").alias("next_th"), F.col("k").alias("_k"))
+    return shared_table(ranked.join(after, F.col("next_k") == F.col("_k")).select(
+        F.col("id").alias("own_id"), F.col("th").alias("own_th"), "rows", "half", "next_id", "next_th"), "follows")
+
+
+def edit_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Fingerprints of each document and of its edited text -- its second half replaced by as many characters from the
+    beginning of the next document, or all of it -- and how alike the fingerprint is to the edited text's and to the
+    next document's.
+
+    The whole texts are shuffled once, by id; both joins read that exchange.  A document sends the one before it only
+    its fingerprint and the characters that one needs.
     """
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     docs = docs.select("id", F.xxhash64("text").alias("th"), "text")
-    keys = docs.groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows"))
-    ranked = global_running(keys, [F.desc_nulls_last("id"), F.asc("th")], index_col="k")
-    ranked = shared_table(ranked.select("id", "th", "rows", "k", (F.col("k") % F.col("_total_n") + 1).alias("next_k")), "order")
-    after = ranked.select(F.col("id").alias("next_id"), F.col("th").alias("next_th"), F.col("k").alias("_k"))
-    follows = ranked.join(after, F.col("next_k") == F.col("_k"))
-    # a repeated row is followed by its own repeat, the last of them by the next document
-    follows = follows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    last = F.col("copy") == F.col("rows")
-    follows = shared_table(follows.select(
-        F.col("id").alias("own_id"), F.col("th").alias("own_th"), F.when(last, F.col("next_id")).otherwise(F.col("id")).alias("next_id"),
-        F.when(last, F.col("next_th")).otherwise(F.col("th")).alias("next_th")), "follows")
-    if (ranked.agg(F.max("rows")).first()[0] or 0) > 1:
+    order = order_of(docs)
+    repeats = (order.agg(F.max("rows")).first()[0] or 0) > 1
+    if repeats:
         docs = docs.dropDuplicates(["id", "th"])
-    here = follows.hint("merge").join(docs, follows["own_id"].eqNullSafe(docs["id"]) & (follows["own_th"] == docs["th"])).select(
-        "id", "text", "next_id", "next_th")
-    # the same plan on both sides (no renaming below the exchange), so that the texts are shuffled by id once
-    both = here.hint("merge").alias("here").join(docs.alias("there"), (
-        F.col("here.next_id").eqNullSafe(F.col("there.id"))) & (F.col("here.next_th") == F.col("there.th")))
-    both = both.select(F.col("here.id").alias("id"), F.col("here.text").alias("text"), F.col("there.text").alias("next_text"))
+    # (no renaming below the exchange of the texts: both sides must have the same plan to share it)
+    one = docs.alias("d")
+    here = order.hint("merge").join(one, F.col("own_id").eqNullSafe(F.col("d.id")) & (F.col("own_th") == F.col("d.th"))).select(
+        "own_id", "own_th", "rows", F.col("d.text").alias("text"))
+    given = order.hint("merge").join(docs.alias("d"), F.col("next_id").eqNullSafe(F.col("d.id")) & (F.col("next_th") == F.col("d.th"))).select(
+        "own_id", "own_th", F.col("d.text").alias("text"), F.substring(F.col("d.text"), F.lit(1), F.col("half")).alias("head"))
+    given = add_fingerprints(given, {"after": F.col("text")}).select(
+        F.col("own_id").alias("g_id"), F.col("own_th").alias("g_th"), "head", "after")
+    both = here.hint("merge").join(given, F.col("own_id").eqNullSafe(F.col("g_id")) & (F.col("own_th") == F.col("g_th")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    return both.select(F.col("id").alias(id_col), "text", "next_text", edited.alias("edited"))
-
-
-def edit_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of each document and of its edited text, and how alike the
-    fingerprint is to the edited text's and to the next document's."""
-    pairs = edited_pairs(df, id_col, text_col)
-    rows = pairs.select(id_col, F.length("text").cast("long").alias("n_chars"),
-                        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "text", "next_text", "edited")
-    prints = add_fingerprints(rows, {"own": F.col("text"), "new": F.col("edited"), "after": F.col("next_text")})
-    prints = add_likeness(prints.drop("text", "next_text", "edited"), {"near_edited": ("own", "new"), "near_next": ("own", "after")})
-    return prints.select(id_col, "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
-                         as_text(F.col("new")).alias("edited_fingerprint"), "near_edited", "near_next")
+    # a repeated row is followed by its own repeat, the last of them by the next document
+    itself = F.lit(False)
+    if repeats:
+        both = both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+        itself = F.col("copy") < F.col("rows")
+    head = F.when(itself, F.substring(F.col("text"), F.lit(1), half)).otherwise(F.col("head"))
+    rows = both.select(F.col("own_id").alias(id_col), "text", "after", itself.alias("itself"),
+                       F.concat(F.substring(F.col("text"), F.lit(1), n - half), head).alias("edited"))
+    prints = add_fingerprints(rows, {"own": F.col("text"), "new": F.col("edited")})
+    prints = prints.withColumn("after", F.when(F.col("itself"), F.col("own")).otherwise(F.col("after")))
+    prints = add_likeness(prints, {"near_edited": ("own", "new"), "near_next": ("own", "after")})
+    return prints.select(id_col, F.length("text").cast("long").alias("n_chars"),
+                         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                         as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),
+                         "near_edited", "near_next")
