@@ -4,13 +4,15 @@
   word and its edges) a text has, hashed to 2**20 places.  Whole texts are read.
 * Each feature is scaled by its naive Bayes log-count ratio: how much more
   often labelled toxic texts have it than the others.  Smoothing pulls rare
-  features to a ratio of 0, and those in fewer than ``MIN_TEXTS`` texts have 0.
+  features to a ratio of 0; those in fewer than ``MIN_TEXTS`` texts, or with a
+  ratio below ``MIN_RATIO`` either way, have 0.
 * A logistic regression is fitted on the scaled features, divided by the square
   root of the number of features of the text.
 
 The fit uses a bounded sample of the labelled rows (``max_toxic`` and
-``max_clean`` of them, chosen by a hash of the id) and therefore runs in one
-task; scoring covers every row and is a single pass without a shuffle.
+``max_clean`` of them, chosen by a hash of the id): Spark counts its features,
+and the regression, on those that have a ratio, runs in one task.  Scoring
+covers every row and is a single pass without a shuffle.
 
 Defined results: a null or empty text has no features and gets the score of the
 intercept; labels that are null, or whose document is missing, are ignored, of
@@ -28,12 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import prepare
+from .common import prepare, shared_table
 
 BITS = 20
 SHORTEST, LONGEST = 3, 6
 MAX_TOXIC, MAX_CLEAN = 4000, 6000
-MIN_TEXTS, SMOOTHING, ROUNDS, STEP = 5, 10.0, 100, 1.0
+MIN_TEXTS, MIN_RATIO, SMOOTHING, ROUNDS, STEP = 5, 0.5, 10.0, 100, 1.0
 CUT = 0.7
 # Texts are read in stretches of this many characters.
 STRETCH = 1 << 18
@@ -71,37 +73,28 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
-def fit(sets: list[np.ndarray], toxic: np.ndarray, odds: float) -> tuple[np.ndarray, float]:
-    """Weights by feature and the intercept; ``odds`` are those of a toxic label
-    among all labelled rows (the sample may hold more)."""
-    d, y = 1 << BITS, toxic.astype(np.float64)
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype(np.int32)
-    cols = np.concatenate(sets) if sets else np.zeros(0, np.int32)
-    p = np.bincount(cols, y[rows], d)
-    q = np.bincount(cols, minlength=d) - p
-    n1, n0 = y.sum(), len(y) - y.sum()
-    share = n1 / len(y)
-    ratio = (np.log((p + SMOOTHING * share) / (n1 + SMOOTHING * share))
-             - np.log((q + SMOOTHING * (1 - share)) / (n0 + SMOOTHING * (1 - share))))
-    ratio[p + q < MIN_TEXTS] = 0
-    scale = 1 / np.sqrt(np.maximum([len(s) for s in sets], 1))
-    keep = ratio[cols] != 0
-    used, cols = np.unique(cols[keep], return_inverse=True)
-    cols, rows = cols.ravel().astype(np.int32), rows[keep]
-    x = (ratio[used][cols] * scale[rows]).astype(np.float32)
-    w, b = np.zeros(len(used)), np.log(n1 / n0)
+def fit(sets: list[np.ndarray], sizes: np.ndarray, toxic: np.ndarray, ratio: np.ndarray, odds: float) -> tuple[np.ndarray, float]:
+    """Weights by feature and the intercept.  ``sets`` hold the features with a ratio, ``sizes`` how many a text has in
+    all; ``odds`` are those of a toxic label among all labelled rows (the sample may hold more)."""
+    y = toxic.astype(np.float64)
+    rows = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+    used, cols = np.unique(np.concatenate(sets), return_inverse=True)
+    cols = cols.ravel().astype(np.int32)
+    x = (ratio[used][cols] / np.sqrt(np.maximum(sizes, 1))[rows]).astype(np.float32)
+    prior = np.log(y.sum() / (len(y) - y.sum()))
+    w, b = np.zeros(len(used), np.float32), prior
     seen, seen_b = np.full(len(used), 1e-8), 1e-8
     for _ in range(ROUNDS):
         z = np.bincount(rows, x * w[cols], len(y)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
-        g, gb = np.bincount(cols, x * error[rows], len(used)), error.sum()
+        error = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)).astype(np.float32)
+        g, gb = np.bincount(cols, x * error[rows], len(used)), float(error.sum())
         seen += g * g
         seen_b += gb * gb
-        w -= STEP * g / np.sqrt(seen)
+        w -= (STEP * g / np.sqrt(seen)).astype(np.float32)
         b -= STEP * gb / np.sqrt(seen_b)
-    weights = np.zeros(d, np.float32)
+    weights = np.zeros(1 << BITS, np.float32)
     weights[used] = w * ratio[used]
-    return weights, float(b + np.log(odds) - np.log(n1 / n0))
+    return weights, float(b + np.log(odds) - prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -123,34 +116,56 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.broadcast(picked), F.col("_doc") == F.col("_id")).select("_id", (F.col("_y") == 1).alias("toxic"), "text")
     odds = n["toxic"] / (n["n"] - n["toxic"])
 
+    id_type = rows.schema["_id"].dataType.simpleString()
+
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([features(t) for t in b.column(2).to_pylist()], pa.list_(pa.int32()))],
                 ["_id", "toxic", "features"])
 
-    sets = rows.mapInArrow(sets_of, f"_id {rows.schema['_id'].dataType.simpleString()}, toxic boolean, features array<int>")
+    sets = shared_table(rows.mapInArrow(sets_of, f"_id {id_type}, toxic boolean, features array<int>"), "features")
+    had = sets.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0)).alias("p")).first()
+    if not 0 < had["p"] < had["n"]:                  # the labelled documents in the table are of one kind, or none
+        share = n["toxic"] / n["n"]
+        return none, float(np.log(share / (1 - share)))
+    prior, n1, n0 = had["p"] / had["n"], had["p"], had["n"] - had["p"]
+    p, q = F.col("p"), F.col("n") - F.col("p")
+    ratio = (F.log((p + SMOOTHING * prior) / F.lit(n1 + SMOOTHING * prior))
+             - F.log((q + SMOOTHING * (1 - prior)) / F.lit(n0 + SMOOTHING * (1 - prior))))
+    counted = (sets.select("toxic", F.explode("features").alias("f")).groupBy("f")
+               .agg(F.sum(F.col("toxic").cast("long")).alias("p"), F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") >= MIN_TEXTS).select("f", ratio.alias("r")).filter(F.abs("r") >= MIN_RATIO))
+    table_ = counted.toPandas()                      # at most one row a feature, 2**BITS
+    ratios = np.zeros(1 << BITS, np.float32)
+    ratios[table_["f"].to_numpy()] = table_["r"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has = shared.value != 0
+        for b in batches:
+            each = b.column(2)
+            flat, at = each.flatten().to_numpy(), each.offsets.to_numpy()
+            at = at - at[0]
+            out = [f[has[f]] for f in (flat[lo:hi] for lo, hi in zip(at, at[1:]))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(at), pa.int32()),
+                                              pa.array(out, pa.list_(pa.int32()))], ["_id", "toxic", "size", "features"])
 
     def fit_all(t: pa.Table) -> pa.Table:
         t = t.sort_by("_id")
-        y = t.column("toxic").to_numpy().astype(bool)
-        if not 0 < y.sum() < len(y):
-            share = y.mean()
-            w, b = none, float(np.log(max(share, 1e-13) / max(1 - share, 1e-13)))
-        else:
-            column = t.column("features").combine_chunks()
-            flat, at = column.flatten().to_numpy(), column.offsets.to_numpy()
-            at = at - at[0]
-            w, b = fit([flat[lo:hi] for lo, hi in zip(at, at[1:])], y, odds)
+        each = t.column("features").combine_chunks()
+        flat, at = each.flatten().to_numpy(), each.offsets.to_numpy()
+        at = at - at[0]
+        w, b = fit([flat[lo:hi] for lo, hi in zip(at, at[1:])], t.column("size").to_numpy(), t.column("toxic").to_numpy().astype(bool),
+                   shared.value, odds)
         used = np.flatnonzero(w)
         return pa.table({"feature": pa.array(np.append(used, -1), pa.int32()),
                          "weight": pa.array(np.append(w[used].astype(np.float64), b), pa.float64())})
 
-    model = sets.groupBy(F.lit(0).alias("_all")).applyInArrow(fit_all, "feature int, weight double").toPandas()
-    weights, bias = none.copy(), 0.0
+    kept = sets.mapInArrow(keep, f"_id {id_type}, toxic boolean, size int, features array<int>")
+    model = kept.groupBy(F.lit(0).alias("_all")).applyInArrow(fit_all, "feature int, weight double").toPandas()
+    weights = none.copy()
     at = model["feature"].to_numpy()
-    if not len(at):                                  # no labelled document is in the table
-        return none, float(np.log(odds))
     weights[at[at >= 0]] = model["weight"].to_numpy()[at >= 0]
     bias = float(model["weight"].to_numpy()[at < 0][0])
     return weights, bias
