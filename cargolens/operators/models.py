@@ -3,8 +3,10 @@
 A :class:`Bench` holds the training rows of one fold and one feature set.  Its
 vectors are made once for linear models and once for trees, and every model and
 every candidate of a search is fitted on them.  Iterative solvers start a Spark
-job a step, so small training sets are coalesced to few partitions
-(``ROWS_PER_TASK``); large ones keep theirs.
+job a step, and a forest's node statistics are merged over all partitions, so
+small training sets are coalesced to few of them (``ROWS_PER_TASK``); large ones
+keep theirs.  A forest's cost goes with its nodes: MLlib keeps statistics of
+every bin of every node, which is why trees have a depth here.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from .evaluation import hash_fold
 from .prep import FeatureSet, Prep, fit_prep
 
-ROWS_PER_TASK, TREE_ROWS_PER_TASK = 50_000, 5_000
+ROWS_PER_TASK = 50_000
 SEED = 42
 READERS = {m.__name__: m for m in (LogisticRegressionModel, DecisionTreeClassificationModel, RandomForestClassificationModel,
                                    LinearRegressionModel, DecisionTreeRegressionModel, RandomForestRegressionModel)}
@@ -67,16 +69,16 @@ class Bench:
         self._made: dict[bool, tuple] = {}
 
     def vectors(self, linear: bool) -> tuple[Prep, DataFrame, int, float]:
-        """(preprocessing, vectors with label and balanced weight, rows, positive rate)."""
+        """(preprocessing, vectors with label and balanced weight, rows, standard deviation of the label)."""
         if linear not in self._made:
             prep, x = fit_prep(self.train, self.fs, self.y, linear)
             x = x.select("features", F.col(self.y).cast("double").alias("label"))
-            got = x.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("rate")).first()
+            got = x.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("rate"), F.stddev_pop("label").alias("sd")).first()
             rate = min(max(float(got["rate"] or 0.0), 1e-9), 1 - 1e-9)
             x = x.withColumn("w", F.when(F.col("label") == 1, F.lit(0.5 / rate)).otherwise(F.lit(0.5 / (1 - rate))))
-            parts = max(1, math.ceil(got["n"] / (ROWS_PER_TASK if linear else TREE_ROWS_PER_TASK)))
+            parts = max(1, math.ceil(got["n"] / ROWS_PER_TASK))
             x = x.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)        # for the fits; see close()
-            self._made[linear] = prep, x, got["n"], rate
+            self._made[linear] = prep, x, got["n"], float(got["sd"] or 0.0)
         return self._made[linear]
 
     def close(self) -> None:
@@ -90,17 +92,18 @@ class Bench:
 
     # ---- freight (regression)
     def ridge(self, alpha: float) -> Fitted:
-        """Squared loss + alpha |w|^2 (MLlib averages the loss: regParam = alpha / n); closed form."""
-        n = self.vectors(True)[2]
-        est = LinearRegression(regParam=alpha / n, elasticNetParam=0.0, standardization=False, solver="normal")
+        """Squared loss + alpha |w|^2, closed form.  MLlib averages the loss over rows and measures the penalty in
+        standard deviations of the label: regParam = alpha sd / n."""
+        _, _, n, sd = self.vectors(True)
+        est = LinearRegression(regParam=alpha * sd / n, elasticNetParam=0.0, standardization=False, solver="normal")
         return self._fit(est, True, False, {"alpha": alpha})
 
     def tree_regressor(self) -> Fitted:
         return self._fit(DecisionTreeRegressor(maxDepth=12, minInstancesPerNode=5, maxBins=self._bins(), seed=SEED), False, False, {})
 
-    def forest_regressor(self, trees: int = 200, leaf: int = 5, share: float | str = 0.5, depth: int = 10) -> Fitted:
+    def forest_regressor(self, trees: int = 200, leaf: int = 5, share: float | str = 0.5, depth: int = 8) -> Fitted:
         est = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy=str(share),
-                                    maxBins=self._bins(), maxMemoryInMB=1024, seed=SEED)
+                                    maxBins=self._bins(), maxMemoryInMB=512, seed=SEED)
         return self._fit(est, False, False, {"trees": trees, "leaf": leaf, "share": share, "depth": depth})
 
     # ---- late delivery (classification)
@@ -118,7 +121,7 @@ class Bench:
     def forest_classifier(self, trees: int = 200, leaf: int = 20, share: float | str = "sqrt", depth: int = 8,
                           balanced: bool = True) -> Fitted:
         est = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy=str(share),
-                                     maxBins=self._bins(), maxMemoryInMB=1024, seed=SEED)
+                                     maxBins=self._bins(), maxMemoryInMB=512, seed=SEED)
         if balanced:
             est = est.setWeightCol("w")
         return self._fit(est, False, True, {"trees": trees, "leaf": leaf, "share": share, "depth": depth,
@@ -146,7 +149,8 @@ def stacked(train: DataFrame, fs: FeatureSet, frames: list[DataFrame], keys: lis
         benches.append(bench)
     assemble = VectorAssembler(inputCols=["p_ridge", "p_forest"], outputCol="features")
     inner = assemble.transform(oof).persist(StorageLevel.MEMORY_AND_DISK)
-    final = LinearRegression(regParam=1.0 / max(1, inner.count()), elasticNetParam=0.0, standardization=False, solver="normal").fit(inner)
+    size = inner.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("sd")).first()
+    final = LinearRegression(regParam=float(size["sd"] or 0.0) / max(1, size["n"]), elasticNetParam=0.0, standardization=False, solver="normal").fit(inner)
     inner.unpersist()
     for b in benches:
         b.close()

@@ -60,9 +60,13 @@ def global_running(df: DataFrame, order: Sequence[Column | str], sums: dict[str,
         F.sum("_sn").over(whole).alias(f"{total_prefix}n"),
         *[F.coalesce(F.sum(f"_ss_{k}").over(before), F.lit(0.0)).alias(f"_os_{k}") for k in vals],
         *[F.sum(f"_ss_{k}").over(whole).alias(f"{total_prefix}{k}") for k in vals])
+    offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in ("_slice", *keys)})
     if not keys:
         offsets = F.broadcast(offsets)          # one row per slice
-    out = local.join(offsets, ["_slice", *keys])
+    on = F.col("_slice") == F.col("_of__slice")
+    for k in keys:                              # null is a key of its own
+        on = on & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    out = local.join(offsets, on)
     return out.select(
         *[c for c in df.columns],
         (F.col("_lk") + F.col("_on")).alias(index_col),

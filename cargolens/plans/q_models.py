@@ -62,9 +62,9 @@ LATE_GROUPS = {
 FOLDS, STACK_FOLDS, SHARE = 5, 3, 0.1
 ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0)
 LOGIT_C, VOTE_WEIGHTS = (0.01, 0.1, 1.0, 10.0), (0.25, 0.5, 0.75)
-# MLlib grows trees level by level and stops at 30 levels; the unlimited depths of the grids stand as 12.
-FOREST_REG = {"leaf": (2, 5, 10, 20), "share": (0.2, 0.33, 0.5), "depth": (12, 10, 8)}
-FOREST_CLF = {"leaf": (10, 20, 50, 100, 200), "share": ("sqrt", 0.2, 0.3, 0.5), "depth": (6, 8, 10, 12), "balanced": (False, True)}
+# MLlib keeps statistics of every bin of every node, so unlimited depths stand as the largest one here.
+FOREST_REG = {"leaf": (2, 5, 10, 20), "share": (0.2, 0.33, 0.5), "depth": (6, 8, 10)}
+FOREST_CLF = {"leaf": (10, 20, 50, 100, 200), "share": ("sqrt", 0.2, 0.3, 0.5), "depth": (4, 6, 8, 10), "balanced": (False, True)}
 RIDGE_ALPHA, LATE_C, VOTE = 10.0, 1.0, 0.5
 STACK_FOREST = {"trees": 100, "leaf": 5, "share": 0.5}
 ITEM_KEYS = ["order_id", "order_item_id"]
