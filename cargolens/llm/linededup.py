@@ -3,7 +3,7 @@
 1. A text is cut into short lines: at its line breaks, and soft-wrapped after
    punctuation and after words with certain last letters, so that a passage
    inside a paragraph consists of whole lines too.
-2. A hash rolls over the line hashes (``WINDOW`` lines at a time); a chunk
+2. A hash rolls over the line hashes (two lines at a time); a chunk
    begins where it has a local minimum.  The places depend on nearby lines
    only, so equal passages get equal chunks wherever they stand, and every
    chunk has two lines at least.
@@ -34,7 +34,6 @@ from .common import as_row, restored, shared_table
 
 # A short line ends after a line break, and after a blank that follows one of these.
 LAST = ".,;:!?es"
-WINDOW = 2
 MIN_BYTES = 72
 
 
@@ -53,8 +52,8 @@ def chunk_rows(df: DataFrame, key: str, text_col: str) -> DataFrame:
     lines = df.select(key, short_lines(F.col(text_col)).alias("l"))
     hashed = lines.select(key, F.transform("l", lambda x: F.xxhash64(_bare(x))).alias("h"),
                           F.transform("l", F.octet_length).alias("c"), F.size("l").alias("n"))
-    rolled = hashed.select("*", F.transform("h", lambda x, i: F.xxhash64(x, *[
-        F.coalesce(F.get("h", i + j), F.lit(0).cast("long")) for j in range(1, WINDOW)])).alias("r"))
+    rolled = hashed.select("*", F.zip_with("h", F.slice("h", F.lit(2), F.col("n")), lambda a, b: F.xxhash64(
+        a, F.coalesce(b, F.lit(0).cast("long")))).alias("r"))
     # step[i] says how the hash after i compares with that at i; a local minimum comes after a fall and before a rise.
     # (It is used twice below: an array used once would be evaluated again for every element of the lambda.)
     steps = rolled.select(key, "h", "c", "n", F.zip_with("r", F.slice("r", F.lit(2), F.col("n")), lambda a, b: F.when(
@@ -72,8 +71,8 @@ def chunk_rows(df: DataFrame, key: str, text_col: str) -> DataFrame:
 
 
 def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(id, text_hash, spans): the chunks of each document that other documents
-    have too, in order, with ``gone`` set where the chunk is to be removed."""
+    """(id, text_hash, spans): the chunks of each document that are to be removed
+    (``gone``) or that it keeps for the others, in order."""
     docs = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     ids = docs.select("id").groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(
         F.max("n").alias("n"), F.max(F.col("id").isNull().cast("int")).alias("null")).first()
@@ -97,6 +96,8 @@ def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     runs = hits.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(by_place))
     whole = F.sum("bytes").over(Window.partitionBy("key", "run"))
     spans = (runs.withColumn("gone", F.col("dup") & (whole >= min_bytes))
+             # a repeat that stays for want of bytes takes no part in anything further
+             .filter(F.col("gone") | ~F.col("dup"))
              .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "lines", "h", "gone"))).alias("spans")))
     if names is None:
         return spans.select(F.col("key").alias("id"), "spans")
