@@ -9,6 +9,9 @@ to a wide vector, and the fingerprint is the sum of these vectors:
 * ``signs``: 128 lanes of +1 or -1, added modulo 2**16.  The angle between two
   such sums estimates the cosine of the two multisets.
 
+A fingerprint is one array of all lanes.  (Not a struct: Spark would evaluate
+a struct's fields again for every use.)
+
 Sums of lanes are homomorphic: :func:`insert` and :func:`delete` update a
 fingerprint by the paragraphs that came or went, without the document.
 
@@ -42,7 +45,7 @@ def _sum(values: str, lane) -> Column:
 
 
 def add_fingerprints(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
-    """Add a fingerprint, struct(total array<bigint>, signs array<bigint>), of each text."""
+    """Add a fingerprint, array<bigint> of the lanes, of each text."""
     return from_paragraphs(df.withColumns({f"_p_{name}": paragraphs(t) for name, t in texts.items()}),
                            {name: f"_p_{name}" for name in texts}).drop(*[f"_p_{name}" for name in texts])
 
@@ -73,11 +76,19 @@ def from_paragraphs(df: DataFrame, parts: dict[str, str]) -> DataFrame:
     prints = {}
     for name, c in parts.items():
         counts = F.flatten(F.transform(f"_s_{name}", lambda v: F.array(*[half(v) for half in halves])))
-        prints[name] = F.struct(F.col(f"_t_{name}").alias("total"), F.transform(counts, balance(F.size(c))).alias("signs"))
+        prints[name] = F.concat(F.col(f"_t_{name}"), F.transform(counts, balance(F.size(c))))
     made = summed.withColumns(prints)
     return made.select(*df.columns, *parts)
 
 
+def total(print_: Column) -> Column:
+    return F.slice(print_, 1, 2 * SEEDS)
+
+
+def signs(print_: Column) -> Column:
+    return F.slice(print_, 2 * SEEDS + 1, 64 * SIGN_SEEDS)
+
+
 def insert(a: Column, b: Column) -> Column:
     """The fingerprint of the union of two multisets."""
     return _lanes(a, b, lambda x, y: x + y)
@@ -89,20 +100,20 @@ def delete(a: Column, b: Column) -> Column:
 
 
 def _lanes(a: Column, b: Column, f) -> Column:
-    return F.struct(F.zip_with(a["total"], b["total"], lambda x, y: F.pmod(f(x, y), F.lit(_TOTAL))).alias("total"),
-                    F.zip_with(a["signs"], b["signs"], lambda x, y: F.pmod(f(x, y), F.lit(_SIGN))).alias("signs"))
+    return F.concat(F.zip_with(total(a), total(b), lambda x, y: F.pmod(f(x, y), F.lit(_TOTAL))),
+                    F.zip_with(signs(a), signs(b), lambda x, y: F.pmod(f(x, y), F.lit(_SIGN))))
 
 
 def as_text(print_: Column) -> Column:
     """Lanes as fixed-width lowercase hexadecimal digits."""
     def digits(lanes: Column, width: int) -> Column:
         return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), width, "0")), "")
-    return F.concat(digits(print_["total"], 8), digits(print_["signs"], 4))
+    return F.concat(digits(total(print_), 8), digits(signs(print_), 4))
 
 
 def centred(print_: Column) -> Column:
     """The sign sums as numbers around 0."""
-    return F.transform(print_["signs"], lambda x: F.when(x >= _SIGN // 2, x - _SIGN).otherwise(x).cast("double"))
+    return F.transform(signs(print_), lambda x: F.when(x >= _SIGN // 2, x - _SIGN).otherwise(x).cast("double"))
 
 
 def _dot(x: str, y: str) -> Column:
@@ -118,7 +129,7 @@ def add_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     out = {}
     for name, (a, b) in pairs.items():
         norm = F.sqrt(F.col(f"_n_{a}") * F.col(f"_n_{b}"))
-        out[name] = (F.when((F.col(a)["total"] == F.col(b)["total"]) & (F.col(a)["signs"] == F.col(b)["signs"]), F.lit(1.0))
+        out[name] = (F.when(F.col(a) == F.col(b), F.lit(1.0))
                      .when(norm == 0, F.lit(0.0))
                      .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(F.col(f"_d_{name}"), norm)))))
     return ready.withColumns(out).select(*df.columns, *pairs)
