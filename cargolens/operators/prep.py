@@ -125,13 +125,9 @@ class Prep:
         out = df.withColumns(names).drop(*[f"_enc_{c}" for c in self.fs.te])
         slots = list(names)
         if self.fs.cat:
-            text = out.withColumns({f"_s_{c}": F.col(c).cast("string") for c in self.fs.cat})
-            out = StringIndexerModel.from_arrays_of_labels(
-                [self.levels[c] for c in self.fs.cat], inputCols=[f"_s_{c}" for c in self.fs.cat],
-                outputCols=[f"i__{c}" for c in self.fs.cat], handleInvalid="keep").transform(text)
-            for c in self.fs.cat:                          # the pooled level is the last one
-                out = out.withMetadata(f"i__{c}", {"ml_attr": {"type": "nominal", "name": f"i__{c}",
-                                                               "vals": [*self.levels[c], "__pooled"]}})
+            out = out.withColumns({f"_s_{c}": F.col(c).cast("string") for c in self.fs.cat})
+            for c in self.fs.cat:                          # the pooled level is the last index
+                out = StringIndexerModel.from_labels(self.levels[c], f"_s_{c}", f"i__{c}", handleInvalid="keep").transform(out)
             drop = [f"_s_{c}" for c in self.fs.cat]
             if self.linear:
                 hot = OneHotEncoder(inputCols=[f"i__{c}" for c in self.fs.cat], outputCols=[f"h__{c}" for c in self.fs.cat],
