@@ -66,3 +66,35 @@ def test_short_lines_join_to_the_text(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(
         "t", short_lines(F.col("t")).alias("l"))
     assert all("".join(r.l) == r.t for r in df.collect())
+
+
+WORDS = {
+    "en": "the of and to in is that for it with as was on be at by this had not are but from or have an they which one were all "
+          "her would there their will when who him been has more if out so said what up its about into than them can only",
+    "de": "der die und in den von zu das mit sich des auf nicht eine als auch es an werden aus er hat dass sie nach wird bei "
+          "einer um am sind noch wie einem einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde wort",
+    "fr": "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se ce il sont avec ou son sa aux "
+          "cette ses mais comme nous tout fait leur bien peut dont sans deux entre encore temps jour avant chez vers fort",
+    "es": "de la que el en y a los del se las por un para con no una su al lo como pero sus le ya o este porque esta entre "
+          "cuando muy sin sobre ser tiene tambien me hasta hay donde quien desde todo nos durante todos uno les ni contra",
+    "ru": "и в не на я быть он с что а по это она этот к но они мы весь который из у то за свой весь год от так о для ты же "
+          "все тот мочь вы человек такой его сказать только или еще бы себя один как уже до время если сам когда другой",
+}
+
+
+def test_most_of_every_passage_goes_in_every_language(documents):
+    import random
+    for lang, text in WORDS.items():
+        r, vocab = random.Random(lang), text.split()
+        made = lambda n: " ".join(r.choice(vocab) + ("" if r.random() > 0.1 else ",") for _ in range(n))
+        rows, planted = [], {}
+        for k in range(60):
+            p = made(r.randint(51, 60))
+            for i in (2 * k, 2 * k + 1):
+                rows.append((i, f"{made(r.randint(20, 60))} {p} {made(r.randint(20, 60))}"))
+            planted[2 * k + 1] = p
+        got = cleaned(documents(rows))
+        share = [min(1.0, got[i].removed_chars / len(p)) for i, p in planted.items()]
+        assert min(share) > 0.7, (lang, min(share))             # none is missed or half left
+        assert sum(share) / len(share) > 0.95, (lang, sum(share) / len(share))
+        assert all(got[i].text == t for i, t in rows if i % 2 == 0)
