@@ -75,3 +75,31 @@ def test_recall_against_brute_force():
     truth = (x @ x.T) >= 0.98
     q, n, _ = embeddings.audited(graph, x, 0.98)
     assert truth[q, n].sum() >= 0.99 * truth.sum()
+
+
+class Narrow:
+    """Finds each vector itself, and the others only with a beam of at least ``enough``."""
+
+    def __init__(self, x, enough):
+        self.x, self.enough = x, enough
+
+    def within(self, queries, least, beam):
+        sim = queries @ self.x.T
+        return np.nonzero(sim >= (least if beam >= self.enough else 0.99999))
+
+    def search(self, queries, beam):
+        ids = np.argsort(-(queries @ self.x.T), axis=1)
+        return ids[:, :beam], None
+
+
+def test_audit_does_not_count_a_vector_as_its_own_link():
+    x = vectors(21, 1000, 64)
+    x[999] = x[0] + 0.01 * x[1]                                       # one link
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, n, beam = embeddings.audited(Narrow(x, 100), x, 0.98)
+    assert beam >= 100 and (0, 999) in set(zip(q.tolist(), n.tolist()))
+
+
+def test_audit_between_shards_without_links_is_of_the_nearest():
+    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (vectors(22, 1000, 64), vectors(23, 1000, 64)))
+    assert embeddings.audited(Narrow(x, 100), y, 0.98)[2] == embeddings.BEAM
