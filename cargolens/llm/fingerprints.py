@@ -6,8 +6,9 @@ to a wide vector, and the fingerprint is the sum of these vectors:
 
 * ``total``: 8 lanes of 32 hash bits, added modulo 2**32.  Equal multisets have
   equal sums whatever their order; unequal ones differ but for chance.
-* ``signs``: 128 lanes of +1 or -1, added modulo 2**16.  The angle between two
-  such sums estimates the cosine of the two multisets.
+* ``signs``: 128 lanes of +1 or -1, added modulo 2**32.  The angle between two
+  such sums estimates the cosine of the two multisets.  (As text, their low 16
+  bits.)
 
 A fingerprint is one array of all lanes.  (Not a struct: Spark would evaluate
 a struct's fields again for every use.)
@@ -33,7 +34,7 @@ from .common import shared_table
 PARAGRAPH_END = r"\n+|(?<=[.,;:!?]) +"
 SEEDS = 4                                    # hashes of a paragraph; two lanes of ``total`` each
 SIGN_SEEDS = 2                               # of these, how many also give 64 signs each
-_TOTAL, _SIGN = 2**32, 2**16
+_TOTAL, _SIGN = 2**32, 2**32
 
 
 def paragraphs(text: Column) -> Column:
@@ -108,7 +109,7 @@ def as_text(print_: Column) -> Column:
     """Lanes as fixed-width lowercase hexadecimal digits."""
     def digits(lanes: Column, width: int) -> Column:
         return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), width, "0")), "")
-    return F.concat(digits(total(print_), 8), digits(signs(print_), 4))
+    return F.concat(digits(total(print_), 8), digits(F.transform(signs(print_), lambda x: x.bitwiseAND(F.lit(2**16 - 1))), 4))
 
 
 def centred(print_: Column) -> Column:

@@ -68,3 +68,9 @@ def test_repeated_rows_null_ids_and_tables_of_none_or_one(documents):
     assert fp.edit_report(documents([])).count() == 0
     one = fp.edit_report(documents([(4, "abcd")])).first()
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0
+
+
+def test_a_paragraph_repeated_very_often_keeps_its_direction(spark):
+    df = spark.createDataFrame([("a\n" * 10, "a\n" * 40_000)], "a string, b string")
+    df = fp.add_fingerprints(df, {"x": F.col("a"), "y": F.col("b")})
+    assert fp.add_likeness(df, {"n": ("x", "y")}).first().n > 0.999
