@@ -16,6 +16,7 @@ from ..session import checkpoint_dir
 
 # Texts can be long, so Python workers get small Arrow batches.
 ARROW_ROWS = 500
+ARROW_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -31,6 +32,12 @@ def prepare(spark: SparkSession) -> None:
         sc._cargolens_sent = True
 
 
+def prepare_long(spark: SparkSession) -> None:
+    """:func:`prepare`, and batches bounded by bytes too: a batch holds one text at least, but not many long ones."""
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, licenses, linededup, mixing, ngramjoin, packing, secrets, tokencounts, toxicity
+from . import embeddings, fingerprints, licenses, linededup, mixing, ngramjoin, packing, periodic, secrets, tokencounts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length histogram with suffix sums for every context limit (no SQL: byte-pair ids)."""
     lengths = tokencounts.encoded_lengths(table(spark, sf_dir, "documents"))
     return tokencounts.context_limits(tokencounts.histogram(lengths))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of each document, with a repetition planted in every tenth (no SQL: tested against brute force)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.report(periodic.periodic_runs(periodic.planted(docs)))
