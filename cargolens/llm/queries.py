@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, licenses, linededup, mixing, ngramjoin, packing, periodic, secrets, tokencounts, toxicity
+from . import embeddings, fingerprints, licenses, linededup, mixing, ngramjoin, packing, periodic, secrets, tokencounts, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of each document, with a repetition planted in every tenth (no SQL: tested against brute force)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic.report(periodic.periodic_runs(periodic.planted(docs)))
+
+
+@_query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, written to archives and read back."""
+    read = warc.read_records(warc.write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    return read.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLE["op12_warc"] = warc.oracle()
