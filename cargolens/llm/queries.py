@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, licenses, linededup, mixing, ngramjoin, packing, periodic, secrets, tokencounts, toxicity, warc
+from . import (alignment, embeddings, fingerprints, licenses, linededup, mixing, ngramjoin, packing, periodic, secrets,
+               tokencounts, toxicity, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_warc"] = warc.oracle()
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers (no SQL: byte-pair ids; tested against brute force)."""
+    found = alignment.align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
