@@ -1,35 +1,44 @@
-"""Model families on MLlib, fitted on one preprocessing per (rows, inputs) (MDL-1..9).
+"""Model families, fitted on one preprocessing per (rows, inputs) (MDL-1..9).
 
 A :class:`Bench` holds the training rows of one fold and one feature set.  Its
 vectors are made once for linear models and once for trees, and every model and
 every candidate of a search is fitted on them.  Iterative solvers start a Spark
-job a step, and a forest's node statistics are merged over all partitions, so
-small training sets are coalesced to few of them (``ROWS_PER_TASK``); large ones
-keep theirs.  A forest's cost goes with its nodes: MLlib keeps statistics of
-every bin of every node, which is why trees have a depth here.
+job a step, so small training sets are coalesced to few partitions
+(``ROWS_PER_TASK``); large ones keep theirs.  Ridge regressions of any number of
+penalties come from one pass (:meth:`Bench.ridge_path`).  Trees and forests grow
+in parallel tasks to any depth (:mod:`.forest`) while the training set is within
+``forest.SIDE_BYTES``; a larger one goes to MLlib's row-parallel forests, with
+its node-id cache, where an unlimited depth stands as MLlib's largest, 30.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark import StorageLevel
 from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier, LogisticRegression,
                                        LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import forest as grown
 from .evaluation import hash_fold
 from .prep import FeatureSet, Prep, fit_prep
 
 ROWS_PER_TASK = 50_000
 SEED = 42
+MAX_DEPTH = 30                           # the largest that MLlib has
 READERS = {m.__name__: m for m in (LogisticRegressionModel, DecisionTreeClassificationModel, RandomForestClassificationModel,
                                    LinearRegressionModel, DecisionTreeRegressionModel, RandomForestRegressionModel)}
 
@@ -45,20 +54,39 @@ class Fitted:
     def score(self, df: DataFrame, name: str) -> DataFrame:
         """Predicted value, or probability of the positive class, as ``name``."""
         out = self.model.transform(self.prep.transform(df))
+        if isinstance(self.model, grown.Forest):
+            return out.withColumn(name, F.col("prediction")).drop(*[c for c in ("features", "prediction") if c != name])
         value = vector_to_array(F.col("probability")).getItem(1) if self.classifies else F.col("prediction")
         return out.withColumn(name, value).drop("features", "rawPrediction", "probability", "prediction")
 
     def save(self, spark: SparkSession, path: str) -> None:
         """MDL-9: preprocessing, model and metadata in one folder."""
         self.prep.save(spark, f"{path}/prep")
-        self.model.write().overwrite().save(f"{path}/model")
         meta = {"model": type(self.model).__name__, "classifies": self.classifies, "info": self.info}
+        if isinstance(self.model, grown.Forest):
+            self.model.save(spark, f"{path}/model")
+            meta["categorical"] = self.model.categorical
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
         spark.range(1).select(F.lit(json.dumps(meta)).alias("value")).write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Fitted:
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        return cls(Prep.load(spark, f"{path}/prep"), READERS[meta["model"]].load(f"{path}/model"), meta["classifies"], meta["info"])
+        model = (grown.Forest(f"{path}/model", meta["categorical"]) if "categorical" in meta
+                 else READERS[meta["model"]].load(f"{path}/model"))
+        return cls(Prep.load(spark, f"{path}/prep"), model, meta["classifies"], meta["info"])
+
+
+@dataclass
+class Linear:
+    """A linear model as plain numbers (inputs bounded by the levels of the preprocessing)."""
+    coefficients: object
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        terms = F.zip_with(vector_to_array(F.col("features")), F.array(*[F.lit(float(c)) for c in self.coefficients.toArray()]), lambda a, b: a * b)
+        return df.withColumn("prediction", F.lit(self.intercept) + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
 
 
 class Bench:
@@ -67,6 +95,8 @@ class Bench:
     def __init__(self, train: DataFrame, fs: FeatureSet, y: str):
         self.train, self.fs, self.y = train, fs, y
         self._made: dict[bool, tuple] = {}
+        self._moments: tuple | None = None
+        self._side: str | None = None
 
     def vectors(self, linear: bool) -> tuple[Prep, DataFrame, int, float]:
         """(preprocessing, vectors with label and balanced weight, rows, standard deviation of the label)."""
@@ -98,13 +128,68 @@ class Bench:
         est = LinearRegression(regParam=alpha * sd / n, elasticNetParam=0.0, standardization=False, solver="normal")
         return self._fit(est, True, False, {"alpha": alpha})
 
+    def moments(self) -> tuple[np.ndarray, int]:
+        """(X, 1, y)' (X, 1, y) and the number of rows: sums over partitions, one pass."""
+        if self._moments is None:
+            _, x, n, _ = self.vectors(True)
+
+            def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                total = None
+                for b in batches:
+                    v = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                    z = np.column_stack([v, np.ones(len(v)), b.column(1).to_numpy()])
+                    total = z.T @ z if total is None else total + z.T @ z
+                if total is not None:
+                    flat = total.ravel()
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int64()), pa.array(flat)], ["i", "v"])
+            parts = x.select(vector_to_array(F.col("features")).alias("f"), "label").mapInArrow(sums, "i long, v double")
+            got = parts.groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()      # the inputs' number squared
+            flat = np.array([r["v"] for r in got])
+            size = math.isqrt(len(flat))
+            self._moments = flat.reshape(size, size), n
+        return self._moments
+
+    def ridge_path(self, alphas: Sequence[float]) -> list[Fitted]:
+        """The closed-form ridge regression of every penalty, from one pass over the rows."""
+        prep = self.vectors(True)[0]
+        z, n = self.moments()
+        d, out = len(z) - 2, []
+        mean, my = z[d, :d] / n, z[d, d + 1] / n
+        xx, xy = z[:d, :d] - n * np.outer(mean, mean), z[:d, d + 1] - n * mean * my
+        for a in alphas:
+            w = np.linalg.lstsq(xx + a * np.eye(d), xy, rcond=None)[0]
+            out.append(Fitted(prep, Linear(Vectors.dense(w), float(my - mean @ w)), False, {"alpha": a}))
+        return out
+
+    def side(self) -> tuple[str | None, dict[int, int]]:
+        """Where tasks find the whole training set (None: too large for that), and the levels of categorical slots."""
+        prep, x, n, _ = self.vectors(False)
+        fs = prep.fs
+        numbers = len(fs.num) + len(prep.missing) + len(fs.te)
+        levels = {numbers + k: len(prep.levels[c]) + 1 for k, c in enumerate(fs.cat)}
+        if (numbers + len(levels) + 1) * 8 * n > grown.SIDE_BYTES:
+            return None, levels
+        if self._side is None:
+            self._side = grown.side_table(x)
+        return self._side, levels
+
+    def _grown(self, classifies: bool, trees: int, leaf: int, share, depth, class_weight, bootstrap: bool, info: dict) -> Fitted | None:
+        side, levels = self.side()
+        if side is None:
+            return None
+        prep, x = self.vectors(False)[:2]
+        return Fitted(prep, grown.grow_forest(x.sparkSession, side, levels, trees, leaf, share, depth, class_weight, bootstrap, SEED),
+                      classifies, info)
+
     def tree_regressor(self) -> Fitted:
-        return self._fit(DecisionTreeRegressor(maxDepth=12, minInstancesPerNode=5, maxBins=self._bins(), seed=SEED), False, False, {})
+        est = DecisionTreeRegressor(maxDepth=MAX_DEPTH, minInstancesPerNode=5, maxBins=self._bins(), cacheNodeIds=True, seed=SEED)
+        return self._grown(False, 1, 5, 1.0, None, None, False, {}) or self._fit(est, False, False, {})
 
-    def forest_regressor(self, trees: int = 200, leaf: int = 5, share: float | str = 0.5, depth: int = 8) -> Fitted:
-        est = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy=str(share),
-                                    maxBins=self._bins(), maxMemoryInMB=512, seed=SEED)
-        return self._fit(est, False, False, {"trees": trees, "leaf": leaf, "share": share, "depth": depth})
+    def forest_regressor(self, trees: int = 200, leaf: int = 5, share: float | str = 0.5, depth: int | None = None) -> Fitted:
+        info = {"trees": trees, "leaf": leaf, "share": share, "depth": depth}
+        est = RandomForestRegressor(numTrees=trees, maxDepth=depth or MAX_DEPTH, minInstancesPerNode=leaf, featureSubsetStrategy=str(share),
+                                    maxBins=self._bins(), maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=5, seed=SEED)
+        return self._grown(False, trees, leaf, share, depth, None, True, info) or self._fit(est, False, False, info)
 
     # ---- late delivery (classification)
     def logistic(self, c: float | None, balanced: bool = False) -> Fitted:
@@ -116,16 +201,19 @@ class Bench:
         return self._fit(est, True, True, {"C": c, "class_weight": "balanced" if balanced else None})
 
     def tree_classifier(self) -> Fitted:
-        return self._fit(DecisionTreeClassifier(maxDepth=12, minInstancesPerNode=20, maxBins=self._bins(), seed=SEED), False, True, {})
-
-    def forest_classifier(self, trees: int = 200, leaf: int = 20, share: float | str = "sqrt", depth: int = 8,
-                          balanced: bool = True) -> Fitted:
-        est = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy=str(share),
-                                     maxBins=self._bins(), maxMemoryInMB=512, seed=SEED)
-        if balanced:
+        est = DecisionTreeClassifier(maxDepth=MAX_DEPTH, minInstancesPerNode=20, maxBins=self._bins(), cacheNodeIds=True, seed=SEED)
+        return self._grown(True, 1, 20, 1.0, None, None, False, {}) or self._fit(est, False, True, {})
+
+    def forest_classifier(self, trees: int = 200, leaf: int = 20, share: float | str = "sqrt", depth: int | None = None,
+                          class_weight: str | None = "balanced") -> Fitted:
+        """``class_weight``: None, "balanced", or "balanced_subsample" (over the rows that a tree drew; MLlib, which weighs rows
+        before it draws, takes the balanced weights for it)."""
+        info = {"trees": trees, "leaf": leaf, "share": share, "depth": depth, "class_weight": class_weight}
+        est = RandomForestClassifier(numTrees=trees, maxDepth=depth or MAX_DEPTH, minInstancesPerNode=leaf, featureSubsetStrategy=str(share),
+                                     maxBins=self._bins(), maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=5, seed=SEED)
+        if class_weight:
             est = est.setWeightCol("w")
-        return self._fit(est, False, True, {"trees": trees, "leaf": leaf, "share": share, "depth": depth,
-                                            "class_weight": "balanced" if balanced else None})
+        return self._grown(True, trees, leaf, share, depth, class_weight, True, info) or self._fit(est, False, True, info)
 
     def _bins(self) -> int:
         """Tree bins: at least the levels of any pooled categorical input."""

@@ -9,6 +9,7 @@ checks their properties.  The two closed-form regressions have oracles.
 
 from __future__ import annotations
 
+import ast
 import hashlib
 import itertools
 import statistics
@@ -23,13 +24,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import r
 from ..operators import evaluation as E
 from ..operators.models import Bench, Fitted, stacked
+from ..operators.parallel import concurrently, spread
 from ..operators.prep import FeatureSet, fit_prep, slot_inputs
 from ..operators.ranking import attach, exact_quantiles, global_running
 from ..registry import query
 from ..session import checkpoint_dir, stored
 from ..sources.fixtures import market
 from .core import item_features, memo, order_features
-from .q_eval import item_split, split
+from .q_eval import item_split, scored_orders, split
 
 # Input columns of the feature sets and groups.
 NUM_CORE = ["weight_kg", "volume_cm3", "chargeable_kg", "distance_km"]
@@ -62,9 +64,9 @@ LATE_GROUPS = {
 FOLDS, STACK_FOLDS, SHARE = 5, 3, 0.1
 ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0)
 LOGIT_C, VOTE_WEIGHTS = (0.01, 0.1, 1.0, 10.0), (0.25, 0.5, 0.75)
-# MLlib keeps statistics of every bin of every node, so unlimited depths stand as the largest one here.
-FOREST_REG = {"leaf": (2, 5, 10, 20), "share": (0.2, 0.33, 0.5), "depth": (6, 8, 10)}
-FOREST_CLF = {"leaf": (10, 20, 50, 100, 200), "share": ("sqrt", 0.2, 0.3, 0.5), "depth": (4, 6, 8, 10), "balanced": (False, True)}
+FOREST_REG = {"leaf": (2, 5, 10, 20), "share": (0.2, 0.33, 0.5), "depth": (None, 16, 24)}
+FOREST_CLF = {"leaf": (10, 20, 50, 100, 200), "share": ("sqrt", 0.2, 0.3, 0.5), "depth": (6, 10, 16, None),
+              "class_weight": (None, "balanced", "balanced_subsample")}
 RIDGE_ALPHA, LATE_C, VOTE = 10.0, 1.0, 0.5
 STACK_FOREST = {"trees": 100, "leaf": 5, "share": 0.5}
 ITEM_KEYS = ["order_id", "order_item_id"]
@@ -77,29 +79,38 @@ def _union(frames):
     return out
 
 
-def regression_scores(train, frames: dict, fs=FS_A, alpha: float = RIDGE_ALPHA):
-    """Every freight model fitted on ``train``; (model, split, keys, reg_target, pred_log) for each frame."""
-    names, dfs = list(frames), list(frames.values())
-    bench, out = Bench(train, fs, "reg_target"), []
-
-    def add(model, scored):
-        for name, df in zip(names, scored):
-            out.append(df.select(F.lit(model).alias("model"), F.lit(name).alias("split"), *ITEM_KEYS, "reg_target", "pred_log"))
-
+def regression_scores(train, frames: dict, fs=FS_A, alpha: float = RIDGE_ALPHA, forest: dict | None = None):
+    """Every freight model fitted on ``train``; (model, split, keys, reg_target, pred_log) for each frame.  ``forest``: its
+    tuned values; the stacked one has half of its trees."""
+    names, dfs, forest = list(frames), [spread(df) for df in frames.values()], forest or {}
+    bench = Bench(train, fs, "reg_target")
     mean = train.agg(F.avg("reg_target").alias("pred_log"))
-    add("dummy (mean)", [attach(df, mean) for df in dfs])
-    for kind, fitted in (("linear", bench.ridge(0.0)), ("ridge", bench.ridge(alpha)), ("tree", bench.tree_regressor()),
-                         ("forest", bench.forest_regressor())):
-        add(kind, [fitted.score(df, "pred_log") for df in dfs])
-    add("stacking (ridge + forest)", stacked(train, fs, dfs, [*ITEM_KEYS, "reg_target"], alpha, STACK_FOREST, STACK_FOLDS))
+    bench.vectors(True), bench.vectors(False)
+
+    def linear():
+        plain, ridge = bench.ridge_path((0.0, alpha))
+        return [("linear", [plain.score(df, "pred_log") for df in dfs]), ("ridge", [ridge.score(df, "pred_log") for df in dfs])]
+
+    def grown(name, fit):
+        fitted = fit()
+        return [(name, [fitted.score(df, "pred_log") for df in dfs])]
+
+    jobs = [lambda: [("dummy (mean)", [attach(df, mean) for df in dfs])], linear, lambda: grown("tree", bench.tree_regressor),
+            lambda: grown("forest", lambda: bench.forest_regressor(**forest)),
+            lambda: [("stacking (ridge + forest)", stacked(train, fs, dfs, [*ITEM_KEYS, "reg_target"], alpha, STACK_FOREST | forest | {
+                "trees": STACK_FOREST["trees"]}, STACK_FOLDS))]]
+    out = [df.select(F.lit(model).alias("model"), F.lit(name).alias("split"), *ITEM_KEYS, "reg_target", "pred_log")
+           for got in concurrently(train.sparkSession, jobs) for model, scored in got for name, df in zip(names, scored)]
     scores = stored(_union(out), "freight_scores")
     bench.close()
     return scores
 
 
-def late_scores(train, frames: dict, fs=FS_B, kinds=None):
-    """Every late-delivery model fitted on ``train``; (model, split, order_id, y, s) for each frame."""
+def late_scores(train, frames: dict, fs=FS_B, logit: dict | None = None, forest: dict | None = None, vote: float = VOTE):
+    """Every late-delivery model fitted on ``train``; (model, split, order_id, y, s) for each frame.  ``logit``, ``forest`` and
+    ``vote`` are the tuned values."""
     bench, out = Bench(train, fs, "y"), []
+    logit, forest = logit or {"c": LATE_C}, forest or {}
 
     def add(model, scored):
         for name, df in scored.items():
@@ -108,19 +119,20 @@ def late_scores(train, frames: dict, fs=FS_B, kinds=None):
     rate = train.agg(F.avg("y").alias("s"))
     base = {n: df.drop("s") for n, df in frames.items()}
     add("dummy (prior)", {n: attach(df, rate) for n, df in base.items()})
-    kept = {}
-    for kind, fitted in (("logit", bench.logistic(None)), ("logit_l2", bench.logistic(LATE_C)), ("tree", bench.tree_classifier()),
-                         ("forest", bench.forest_classifier())):
-        kept[kind] = {n: fitted.score(df, "s").select("order_id", "y", "s") for n, df in base.items()}
-        add(kind, kept[kind])
+    bench.vectors(True), bench.vectors(False)
+    kinds = ("logit", "logit_l2", "tree", "forest")
+    fits = concurrently(train.sparkSession, [lambda: bench.logistic(None), lambda: bench.logistic(**logit), bench.tree_classifier,
+                                             lambda: bench.forest_classifier(**forest)])
+    for kind, fitted in zip(kinds, fits):
+        add(kind, {n: fitted.score(df, "s").select("order_id", "y", "s") for n, df in base.items()})
     scores = stored(_union(out), "late_scores")
     bench.close()
     one = scores.filter(F.col("model") == "logit_l2").select("split", "order_id", "y", F.col("s").alias("_a"))
     two = scores.filter(F.col("model") == "forest").select("split", "order_id", F.col("s").alias("_b"))
-    vote = one.join(two, ["split", "order_id"]).select(
+    voted = one.join(two, ["split", "order_id"]).select(
         F.lit("voting (logit + forest)").alias("model"), "split", "order_id", "y",
-        (F.lit(VOTE) * F.col("_a") + F.lit(1 - VOTE) * F.col("_b")).alias("s"))
-    return scores.unionByName(vote)
+        (F.lit(vote) * F.col("_a") + F.lit(1 - vote) * F.col("_b")).alias("s"))
+    return scores.unionByName(voted)
 
 
 REG_METRICS = ("mae_rs", "rmse_rs", "r2_rs", "mae_log", "rmse_log", "r2_log")
@@ -172,11 +184,13 @@ def late_test_scores(m):
 
 
 def freight_cv_scores(m):
-    return memo(m, "freight_cv", lambda: _union([regression_scores(tr, {f"fold {j}": va}) for j, tr, va in item_folds(m)]))
+    return memo(m, "freight_cv", lambda: _union(concurrently(m.spark, [
+        lambda j=j, tr=tr, va=va: regression_scores(tr, {f"fold {j}": va}) for j, tr, va in item_folds(m)], 2)))
 
 
 def late_cv_scores(m):
-    return memo(m, "late_cv", lambda: _union([late_scores(tr, {f"fold {j}": va}) for j, tr, va in order_folds(m)]))
+    return memo(m, "late_cv", lambda: _union(concurrently(m.spark, [
+        lambda j=j, tr=tr, va=va: late_scores(tr, {f"fold {j}": va}) for j, tr, va in order_folds(m)], 3)))
 
 
 @query("mdl_fair_freight_test")
@@ -225,15 +239,19 @@ def draws(grid: dict, n: int, seed: int = 42) -> list[dict]:
 def _search(folds, fs, y, candidates, keys, measure, better):
     """Fit every candidate on every fold; log of mean and sd of the score, best first, and who is chosen.
     ``candidates``: (family, params, fit of a bench).  Scores of all candidates of a fold are measured together."""
-    logs = []
-    for j, tr, va in folds:
-        bench = Bench(tr, fs, y)
-        va = va.drop("s")
-        name = "pred_log" if y == "reg_target" else "s"
-        scored = [fit(bench).score(va, name).select(F.lit(family).alias("family"), F.lit(params).alias("params"), *keys, y, name)
-                  for family, params, fit in candidates]
-        logs.append(measure(stored(_union(scored), "search")).withColumn("fold", F.lit(j)))
+    name = "pred_log" if y == "reg_target" else "s"
+
+    def fold(j, tr, va):
+        bench, va = Bench(tr, fs, y), spread(va.drop("s"))
+        bench.vectors(True), bench.vectors(False)
+        fits = concurrently(tr.sparkSession, [lambda fit=fit: fit(bench) for _, _, fit in candidates])
+        scored = [f.score(va, name).select(F.lit(family).alias("family"), F.lit(params).alias("params"), *keys, y, name)
+                  for (family, params, _), f in zip(candidates, fits)]
+        got = measure(stored(_union(scored), "search")).withColumn("fold", F.lit(j))
         bench.close()
+        return got
+
+    logs = concurrently(folds[0][1].sparkSession, [lambda f=f: fold(*f) for f in folds], 2)
     g = _union(logs).groupBy("family", "params").agg(F.avg("score").alias("score"), F.stddev_samp("score").alias("sd"),
                                                      F.count(F.lit(1)).alias("folds"))
     order = [F.col("score") if better == "low" else F.desc("score"), F.col("params")]
@@ -246,58 +264,139 @@ def exp04_grid_search(spark, sf, n_iter: int = 8):
     """EXP-4, freight: full grid of the ridge penalty and a random search of the forest (100 trees) over 5
     forward-chaining folds; the search log with mean fold MAE (log scale), sd and the chosen candidate."""
     m = market(spark, sf)
-    cands = [("ridge", f"alpha={a}", lambda b, a=a: b.ridge(a)) for a in ALPHAS]
+    return freight_search(m, n_iter)
+
+
+def freight_candidates(n_iter: int) -> list:
+    cands = [("ridge", f"alpha={a}", lambda b, a=a: b.ridge_path([a])[0]) for a in ALPHAS]
     cands += [("forest", " ".join(f"{k}={v}" for k, v in c.items()), lambda b, c=c: b.forest_regressor(trees=100, **c))
               for c in draws(FOREST_REG, n_iter)]
+    return cands
+
 
+def freight_search(m, n_iter: int = 8):
+    """The log of EXP-4's freight search, made once a session and data folder."""
     def mae(scores):
         return E.regression_metrics(scores, "reg_target", "pred_log", ["family", "params"]).select(
             "family", "params", F.col("mae_log").alias("score"))
-    return _search(item_folds(m), FS_A, "reg_target", cands, ITEM_KEYS, mae, "low")
+    return memo(m, f"freight_search{n_iter}", lambda: stored(
+        _search(item_folds(m), FS_A, "reg_target", freight_candidates(n_iter), ITEM_KEYS, mae, "low"), "freight_search"))
+
+
+def chosen(log) -> dict[str, dict]:
+    """The winning values of each family of a search log (a row a family comes back)."""
+    return {x["family"]: {k: ast.literal_eval(v) if v[:1] in "0123456789NTF" else v for k, v in (p.split("=") for p in x["params"].split(" "))}
+            for x in log.filter("chosen").collect()}
 
 
 @query("exp04_late_search")
 def exp04_late_search(spark, sf, n_iter: int = 20):
     """EXP-4 / MDL-7, late delivery: grid of C x class weight, random search of the forest (100 trees), then the
     voting weight of the two winners; scored by PR-AUC lift over 5 forward-chaining folds."""
-    m = market(spark, sf)
+    return late_search(market(spark, sf), n_iter)
+
+
+def late_search(m, n_iter: int = 20):
+    """The log of EXP-4's late-delivery searches, made once a session and data folder."""
     logit = [("logit_l2", f"C={c} balanced={b}", lambda x, c=c, b=b: x.logistic(c, b)) for c in LOGIT_C for b in (False, True)]
     forest = [("forest", " ".join(f"{k}={v}" for k, v in c.items()), lambda x, c=c: x.forest_classifier(trees=100, **c))
               for c in draws(FOREST_CLF, n_iter)]
 
     def lift(scores):
         return E.average_precision(scores, "y", "s", ["family", "params"]).select("family", "params", F.col("lift").alias("score"))
-    log = stored(_search(order_folds(m), FS_B, "y", logit + forest, ["order_id"], lift, "high"), "search")
-    won = {x["family"]: x["params"] for x in log.filter("chosen").collect()}         # two rows
-    best = {f: next(c for c in logit + forest if (c[0], c[1]) == (f, p)) for f, p in won.items()}
-    logs = []
-    for j, tr, va in order_folds(m):
+
+    def votes(best, tr, va):
         bench, va = Bench(tr, FS_B, "y"), va.drop("s")
         both = best["forest"][2](bench).score(best["logit_l2"][2](bench).score(va, "_a"), "_b")
-        votes = stored(both.select("order_id", "y", F.explode(F.array(*[F.struct(
+        got = lift(stored(both.select("order_id", "y", F.explode(F.array(*[F.struct(
             F.lit("voting").alias("family"), F.lit(f"w_logit={w}").alias("params"), (w * F.col("_a") + (1 - w) * F.col("_b")).alias("s"))
-            for w in VOTE_WEIGHTS])).alias("v")).select("order_id", "y", "v.*"), "votes")
-        logs.append(lift(votes))
+            for w in VOTE_WEIGHTS])).alias("v")).select("order_id", "y", "v.*"), "votes"))
         bench.close()
-    g = _union(logs).groupBy("family", "params").agg(F.avg("score").alias("score"), F.stddev_samp("score").alias("sd"),
-                                                     F.count(F.lit(1)).alias("folds"))
-    rank = F.row_number().over(Window.partitionBy("family").orderBy(F.desc("score"), "params"))
-    return log.unionByName(g.select("family", "params", r("score", 4).alias("score"), r("sd", 4).alias("sd"), "folds",
-                                    (rank == 1).alias("chosen")))
+        return got
+
+    def build():
+        log = stored(_search(order_folds(m), FS_B, "y", logit + forest, ["order_id"], lift, "high"), "search")
+        won = {x["family"]: x["params"] for x in log.filter("chosen").collect()}     # two rows
+        best = {f: next(c for c in logit + forest if (c[0], c[1]) == (f, p)) for f, p in won.items()}
+        logs = concurrently(m.spark, [lambda tr=tr, va=va: votes(best, tr, va) for _, tr, va in order_folds(m)], 3)
+        g = _union(logs).groupBy("family", "params").agg(F.avg("score").alias("score"), F.stddev_samp("score").alias("sd"),
+                                                         F.count(F.lit(1)).alias("folds"))
+        rank = F.row_number().over(Window.partitionBy("family").orderBy(F.desc("score"), "params"))
+        return stored(log.unionByName(g.select("family", "params", r("score", 4).alias("score"), r("sd", 4).alias("sd"), "folds",
+                                               (rank == 1).alias("chosen"))), "late_search")
+    return memo(m, f"late_search{n_iter}", build)
+
+
+@query("exp11_tuned_freight")
+def exp11_tuned_freight(spark, sf):
+    """EXP-11 / MDL-2 / MDL-5 / MDL-6, freight: every model with the values that EXP-4's search chose, on the time hold-out."""
+    m = market(spark, sf)
+    best = chosen(freight_search(m))
+    train, test = item_split(m)
+    scores = regression_scores(train, {"test": test}, alpha=best["ridge"]["alpha"], forest=best["forest"])
+    return _rounded(reg_table(scores), ["model"], REG_METRICS)
+
+
+@query("exp11_tuned_late")
+def exp11_tuned_late(spark, sf):
+    """EXP-11 / MDL-3 / MDL-5 / MDL-7, late delivery: every model with the values (C, class weights, forest, voting weight)
+    that EXP-4's searches chose, on the time hold-out."""
+    m = market(spark, sf)
+    train, test = split(m)
+    scores = late_scores(train, {"test": test}, **tuned_late(m))
+    return _rounded(clf_table(scores), ["model"], CLF_METRICS)
+
+
+def tuned_late(m) -> dict:
+    best = chosen(late_search(m))
+    return {"logit": {"c": best["logit_l2"]["C"], "balanced": best["logit_l2"]["balanced"]}, "forest": best["forest"],
+            "vote": best["voting"]["w_logit"]}
+
+
+@query("spl05_rolling_refit")
+def spl05_rolling_refit(spark, sf):
+    """SPL-5: rolling-origin evaluation.  For each of four windows every late-delivery model is fitted again on all orders
+    before the window (minus the embargo) and measured in it: PR-AUC, lift, ROC-AUC, precision and recall of the riskiest
+    10%, and the low-review (1-2 stars) rates of flagged and other orders with a review."""
+    m = market(spark, sf)
+    windows = stored(E.rolling_windows(scored_orders(m), "purchase_ts", [0.5, 0.6, 0.7, 0.8], 30.0).drop("s", "start", "end"), "windows")
+    low = m.reviews.groupBy("order_id").agg(
+        (F.max_by("review_score", F.struct("review_creation_date", "review_id")) <= 2).cast("int").alias("low"))
+
+    def refit(w):
+        tr, te = (windows.filter((F.col("window") == w) & (F.col("role") == role)).drop("window", "role") for role in ("train", "test"))
+        return late_scores(tr, {f"W{w}": te})
+
+    scores = _union(concurrently(spark, [lambda w=w: refit(w) for w in range(1, 5)], 2)).withColumnRenamed("split", "window")
+    scores = stored(scores, "window_scores")
+    keys = ["window", "model"]
+    flagged = E.flag_top_share(scores, "s", SHARE, "order_id", keys=keys).join(low, "order_id", "left")
+    rates = flagged.groupBy(*keys).agg(
+        F.avg(F.when(F.col("flag") == 1, F.col("low"))).alias("low_rate_flagged"),
+        F.avg(F.when(F.col("flag") == 0, F.col("low"))).alias("low_rate_not_flagged"),
+        F.try_divide(F.sum(F.when(F.col("flag") == 1, F.col("low"))), F.sum("low")).alias("share_low_flagged"))
+    sizes = windows.groupBy(F.concat(F.lit("W"), F.col("window")).alias("window")).agg(
+        F.sum((F.col("role") == "train").cast("long")).alias("train_orders"), F.sum((F.col("role") == "test").cast("long")).alias("test_orders"),
+        F.avg(F.when(F.col("role") == "test", F.col("y"))).alias("late_rate"))
+    table = clf_table(scores, keys).join(rates, keys).join(F.broadcast(sizes), "window")        # four rows
+    metrics = ["late_rate", "pr_auc", "lift", "roc_auc", "precision", "recall", "low_rate_flagged", "low_rate_not_flagged", "share_low_flagged"]
+    return table.select(*keys, "train_orders", "test_orders", *[r(c, 4).alias(c) for c in metrics])
 
 
 @query("exp05_ablation_regression")
 def exp05_ablation_regression(spark, sf):
     """EXP-5 / PRE-4: every nested feature set (the last one target-encoded, cross-fitted) with a fixed forest (100 trees)
     on the 5 forward folds: metrics, paired gain in MAE over the previous set, its mean and sd."""
-    parts = []
-    for j, tr, va in item_folds(market(spark, sf)):
-        for i, (name, fs) in enumerate(FS_REG.items()):
-            bench = Bench(tr, fs, "reg_target")
-            scored = bench.forest_regressor(trees=100).score(va, "pred_log")
-            parts.append(stored(E.regression_metrics(scored, "reg_target", "pred_log").select(
-                F.lit(i).alias("step"), F.lit(name).alias("feature_set"), F.lit(j).alias("fold"), "mae_rs", "rmse_rs", "r2_rs"), "ablation"))
-            bench.close()
+    def one(i, name, fs, j, tr, va):
+        bench = Bench(tr, fs, "reg_target")
+        scored = bench.forest_regressor(trees=100).score(spread(va), "pred_log")
+        got = stored(E.regression_metrics(scored, "reg_target", "pred_log").select(
+            F.lit(i).alias("step"), F.lit(name).alias("feature_set"), F.lit(j).alias("fold"), "mae_rs", "rmse_rs", "r2_rs"), "ablation")
+        bench.close()
+        return got
+
+    folds = item_folds(market(spark, sf))
+    parts = concurrently(spark, [lambda a=(i, name, fs, *f): one(*a) for f in folds for i, (name, fs) in enumerate(FS_REG.items())])
     u = _union(parts)
     u = u.withColumn("gain", F.lag("mae_rs").over(Window.partitionBy("fold").orderBy("step")) - F.col("mae_rs"))
     return u.groupBy("step", "feature_set").agg(*[r(F.avg(c), 4).alias(c) for c in ("mae_rs", "rmse_rs", "r2_rs", "gain")],
@@ -316,15 +415,16 @@ def exp06_forward_selection(spark, sf):
     folds = [(j, *[stored(df.join(loads, "order_id", "left"), "fold") for df in (tr, va.drop("s"))]) for j, tr, va in order_folds(m)]
 
     def lifts(fs):
-        parts = []
-        for j, tr, va in folds:
-            bench = Bench(tr, fs, "y")
+        def fold(j, tr, va):
+            bench, parts = Bench(tr, fs, "y"), []
             for family, fitted in (("logit", bench.logistic(0.1)),
                                    ("forest", bench.forest_classifier(trees=100, leaf=50, share=0.3, depth=10))):
                 parts.append(fitted.score(va, "s").select(F.lit(family).alias("family"), F.lit(j).alias("fold"), "order_id", "y", "s"))
-            rows = stored(_union(parts[-2:]), "lifts")
-            parts[-2:] = [rows]
+            rows = stored(_union(parts), "lifts")
             bench.close()
+            return rows
+
+        parts = concurrently(spark, [lambda f=f: fold(*f) for f in folds], FOLDS)
         got = E.average_precision(_union(parts), "y", "s", ["family", "fold"]).collect()     # 10 rows
         return {f: [x["lift"] for x in sorted(got, key=lambda x: x["fold"]) if x["family"] == f] for f in ("logit", "forest")}
 
@@ -373,31 +473,42 @@ def exp10_train_cv_test(spark, sf):
     return _union(out)
 
 
-@query("exp12_permutation_importance")
-def exp12_permutation_importance(spark, sf, repeats: int = 5):
-    """EXP-12: permutation importance on every raw column of the L2 logistic model on the test window: each column is
-    shuffled ``repeats`` times by joining rows in one md5 order to values in another; mean and sd of the drop in PR-AUC.
-    All shuffles are scored and measured in one pass."""
-    m = market(spark, sf)
-    test = split(m)[1].drop("s")
-    fitted = late_model(m)
-    columns = FS_B.inputs
-    keyed = stored(global_running(test.select("order_id", "y", *columns, E.tie_key("order_id", 1).alias("_h")), ["_h"],
+def permutation_drops(fitted: Fitted, test, columns, id_col, y, score, measure, repeats):
+    """Mean and sd of how much worse ``measure`` (small is bad) gets when a raw column is shuffled: rows in one md5 order are
+    joined to values in another, ``repeats`` times a column.  All shuffles are scored and measured in one pass."""
+    keyed = stored(global_running(test.select(id_col, y, *columns, E.tie_key(id_col, 1).alias("_h")), ["_h", id_col],
                                   index_col="_place").drop("_h", "_total_n"), "keyed")
     parts = [keyed.withColumn("_what", F.lit("")).withColumn("_turn", F.lit(0))]
     for turn in range(1, repeats + 1):
-        donor = global_running(test.select(*columns, E.tie_key("order_id", 100 + turn).alias("_h")), ["_h"],
-                               index_col="_place").drop("_h", "_total_n")
+        donor = global_running(test.select(*columns, id_col, E.tie_key(id_col, 100 + turn).alias("_h")), ["_h", id_col],
+                               index_col="_place").drop("_h", "_total_n", id_col)
         pairs = stored(keyed.join(donor.select("_place", *[F.col(c).alias(f"_v_{c}") for c in columns]), "_place"), "pairs")
         for c in columns:
             parts.append(pairs.withColumn(c, F.col(f"_v_{c}")).drop(*[f"_v_{x}" for x in columns])
                          .withColumn("_what", F.lit(c)).withColumn("_turn", F.lit(turn)))
-    scored = stored(fitted.score(_union(parts), "s").select("_what", "_turn", "order_id", "y", "s"), "shuffled")
-    ap = E.average_precision(scored, "y", "s", ["_what", "_turn"]).select("_what", "_turn", "pr_auc")
-    drop = attach(ap.filter(F.col("_turn") > 0), ap.filter(F.col("_turn") == 0).agg(F.max("pr_auc").alias("_base"))).withColumn(
-        "drop", F.col("_base") - F.col("pr_auc"))
-    return drop.groupBy(F.col("_what").alias("column")).agg(r(F.avg("drop"), 6).alias("pr_auc_drop"),
-                                                           r(F.stddev_pop("drop"), 6).alias("sd"), F.count(F.lit(1)).alias("repeats"))
+    scored = stored(fitted.score(spread(_union(parts)), score).select("_what", "_turn", id_col, y, score), "shuffled")
+    got = measure(scored).select("_what", "_turn", F.col("m"))
+    drop = attach(got.filter(F.col("_turn") > 0), got.filter(F.col("_turn") == 0).agg(F.max("m").alias("_base"))).withColumn(
+        "drop", F.col("_base") - F.col("m"))
+    return drop.groupBy(F.col("_what").alias("column")).agg(r(F.avg("drop"), 6).alias("importance"), r(F.stddev_pop("drop"), 6).alias("sd"),
+                                                            F.count(F.lit(1)).alias("repeats"))
+
+
+@query("exp12_permutation_importance")
+def exp12_permutation_importance(spark, sf, repeats: int = 5):
+    """EXP-12: permutation importance on every raw column in the test window, of the L2 logistic model (drop in PR-AUC) and
+    of the freight forest (rise in MAE on the log scale): mean and sd of ``repeats`` shuffles."""
+    m = market(spark, sf)
+    late = permutation_drops(late_model(m), split(m)[1].drop("s"), FS_B.inputs, "order_id", "y", "s", lambda x: E.average_precision(
+        x, "y", "s", ["_what", "_turn"]).withColumnRenamed("pr_auc", "m"), repeats)
+    train, test = item_split(m)
+    bench = Bench(train, FS_A, "reg_target")
+    forest = bench.forest_regressor()
+    bench.close()
+    test = test.withColumn("_line", F.concat_ws("-", *ITEM_KEYS))
+    freight = permutation_drops(forest, test, FS_A.inputs, "_line", "reg_target", "pred_log", lambda x: x.groupBy("_what", "_turn").agg(
+        (-F.avg(F.abs(F.col("reg_target") - F.col("pred_log")))).alias("m")), repeats)
+    return late.select(F.lit("late").alias("problem"), "*").unionByName(freight.select(F.lit("freight").alias("problem"), "*"))
 
 
 _TARIFF_SQL = """
@@ -473,12 +584,17 @@ def spl07_random_vs_time(spark, sf):
     items = item_features(m)
     splits = {f"{g}-grouped": tuple(items.withColumn("_f", E.hash_fold(c, 5)).filter(cond).drop("_f") for cond in (F.col("_f") != 0, F.col("_f") == 0))
               for g, c in (("order", "order_id"), ("product", "product_id"))} | {"time-ordered": item_split(m)}
-    for name, (tr, te) in splits.items():
+
+    def freight_parts(name, tr, te):
         bench = Bench(tr, FS_A, "reg_target")
+        te = spread(te)
         parts = [fit.score(te, "pred_log").select(F.lit(k).alias("model"), F.lit(name).alias("split"), "reg_target", "pred_log")
-                 for k, fit in (("ridge", bench.ridge(RIDGE_ALPHA)), ("forest", bench.forest_regressor()))]
-        out.append(stored(_union(parts), "scores"))
+                 for k, fit in (("ridge", bench.ridge_path([RIDGE_ALPHA])[0]), ("forest", bench.forest_regressor()))]
+        got = stored(_union(parts), "scores")
         bench.close()
+        return got
+
+    out = concurrently(spark, [lambda n=n, f=f: freight_parts(n, *f) for n, f in splits.items()])
     freight = _rounded(reg_table(_union(out), ["model", "split"]), ["model", "split"], ("mae_rs", "r2_rs"))
     orders = order_features(m, with_loads=False).withColumn("y", F.col("clf_target")).withColumn("_f", E.hash_fold("customer_unique_id", 5))
     splits = {"customer-grouped": (orders.filter(F.col("_f") != 0), orders.filter(F.col("_f") == 0)), "time-ordered": split(m)}

@@ -9,7 +9,9 @@ checkpoint folder used to cut long lineages.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,9 @@ BASE_CONF = {
 }
 
 
+_SHIPPING = threading.Lock()
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "cargolens", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
@@ -75,6 +80,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """For operators with Arrow functions: this package on every executor (Spark's file server hands out the archive)."""
+    sc = spark.sparkContext
+    with _SHIPPING:                                       # fits run in several threads
+        if not getattr(sc, "_cargolens_shipped", False):
+            package = os.path.dirname(os.path.abspath(__file__))
+            root, name = os.path.split(package)
+            archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="cargolens-")), f"{name}-core")
+            sc.addPyFile(shutil.make_archive(archive, "zip", root, name))
+            sc._cargolens_shipped = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later plans scan
     it with column pruning, and a lost executor costs only its running tasks."""
