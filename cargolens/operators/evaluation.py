@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import r
-from .ranking import attach, exact_quantile, global_running
+from .ranking import attach, exact_quantile, exact_quantiles, global_running
 
 DAY_S = 86400.0
 
@@ -70,10 +70,7 @@ def forward_folds(df: DataFrame, ts: str, id_col: str, k: int = 5, embargo_days:
 def rolling_windows(df: DataFrame, ts: str, starts_q: Sequence[float], embargo_days: float = 30.0) -> DataFrame:
     """SPL-5: rolling-origin windows; window w tests on (start_w, start_{w+1}] (the last up to the latest
     time) and trains on everything up to start_w minus the embargo.  Starts are time quantiles."""
-    qs = [exact_quantile(df, ts, q, f"s{i}") for i, q in enumerate(starts_q)]
-    st = qs[0]
-    for q in qs[1:]:
-        st = attach(st, q)
+    st = exact_quantiles(df, {f"s{i}": (ts, q) for i, q in enumerate(starts_q)})
     st = attach(st, df.agg(F.max(ts).alias("_end")))
     nw = len(starts_q)
     windows = st.select(F.explode(F.array(*[

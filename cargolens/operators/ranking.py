@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
+ACCURACY = 10_000                        # of the sketches that bracket quantiles
+
 
 def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -75,38 +77,86 @@ def global_running(df: DataFrame, order: Sequence[Column | str], sums: dict[str,
         *[F.col(f"{total_prefix}{k}") for k in vals])
 
 
+def _on_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of keys with their copies named ``prefix`` + key."""
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return on
+
+
+def _beside(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``df`` with the columns of its group's row in ``groups``."""
+    if not keys:
+        return attach(df, groups)
+    renamed = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    return df.join(renamed, _on_keys(keys, "_g_"), how).drop(*[f"_g_{k}" for k in keys])
+
+
 def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str | Column, float]], keys: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles (linear interpolation between order statistics, as pandas
-    / ``percentile``) of several columns, one row per ``keys`` (or one row).
-
-    ``wanted`` maps an output name to (column, quantile).  All columns go through
-    one table of distinct values and their counts and one keyed two-phase running
-    count, so no task collects all values of a column or of a hot group, however
-    many quantiles are asked for.  Groups without any value have no row.
+    / ``percentile``) of several columns, one row per ``keys`` (or one row), by
+    bracketed selection; the columns are never sorted.
+
+    ``wanted`` maps an output name to (column, quantile).  A mergeable sketch of
+    each group and column gives two values around each quantile, with twice the
+    sketch's error as margin.  Another pass counts the values below the bracket,
+    finds its neighbours and keeps, by distinct value, only what lies inside: at
+    most about 4 / ``ACCURACY`` of the rows for each quantile, and equal values
+    combine before the shuffle.  The exact rank is picked there.  A rank outside
+    its bracket would be an error.  Groups without any value have no row.
     """
     keys = list(keys)
     cols: dict[str, Column] = {}
-    of: dict[str, int] = {}
-    for name, (c, _) in wanted.items():
+    asked: dict[str, list[float]] = {}
+    for c, q in wanted.values():
         text = c if isinstance(c, str) else str(c)
         cols.setdefault(text, F.col(c) if isinstance(c, str) else c)
-        of[name] = list(cols).index(text)
-    long = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("c"), v.cast("double").alias("v")) for i, v in enumerate(cols.values())])).alias("_e"))
-    vc = (long.filter(F.col("_e.v").isNotNull()).groupBy(*keys, F.col("_e.c").alias("_col"), F.col("_e.v").alias("_v"))
-          .agg(F.count(F.lit(1)).alias("_n")))
-    run = global_running(vc, [F.asc("_v")], {"_cum": "_n"}, keys=[*keys, "_col"])
+        if float(q) not in asked.setdefault(text, []):
+            asked[text].append(float(q))
+    base = df.select(*keys, *[c.cast("double").alias(f"_c{i}") for i, c in enumerate(cols.values())])
+    margin = 2.0 / ACCURACY
+    slots = [(i, j, q) for i, text in enumerate(cols) for j, q in enumerate(asked[text])]
+    sketch = base.groupBy(*keys).agg(*[F.count(f"_c{i}").alias(f"_n{i}") for i in range(len(cols))], *[F.percentile_approx(
+        f"_c{i}", F.array(*[F.lit(x) for q in asked[text] for x in (max(0.0, q - margin), min(1.0, q + margin))]), F.lit(ACCURACY)).alias(f"_b{i}")
+        for i, text in enumerate(cols)])
+    rows = _beside(base, sketch, keys)
+    ends = {(i, j): (F.get(f"_b{i}", F.lit(2 * j)), F.get(f"_b{i}", F.lit(2 * j + 1))) for i, j, _ in slots}
+    sums, kept = [], []
+    for s, (i, j, q) in enumerate(slots):
+        (low, high), v = ends[i, j], F.col(f"_c{i}")
+        sums += [F.count(F.when(v < low, F.lit(1))).alias(f"_below{s}"), F.max(F.when(v < low, v)).alias(f"_prev{s}"),
+                 F.min(F.when(v > high, v)).alias(f"_next{s}"), F.count(F.when((v >= low) & (v <= high), F.lit(1))).alias(f"_inside{s}")]
+        kept.append(F.when((v >= low) & (v <= high), F.struct(F.lit(s).alias("s"), v.alias("v"))))
+    groups = _beside(rows.groupBy(*keys).agg(*sums), sketch.drop(*[f"_b{i}" for i in range(len(cols))]), keys)
+    inside = rows.select(*keys, F.explode(F.array_compact(F.array(*kept))).alias("_e")).groupBy(
+        *keys, F.col("_e.s").alias("_s"), F.col("_e.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*keys, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    counted = _beside(inside.withColumn("_cum", F.sum("_n").over(upto)), groups, keys)
     start = F.col("_cum") - F.col("_n")
-    picks, out = [], []
-    for name, (_, q) in wanted.items():
-        h = (F.col("_total__cum") - 1) * F.lit(float(q))      # positions count rows, not distinct values
-        mine = F.col("_col") == of[name]
-        for end, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            picks.append(F.max(F.when(mine & (start <= at) & (at < F.col("_cum")), F.col("_v"))).alias(f"_{end}_{name}"))
-        picks.append(F.max(F.when(mine, h - F.floor(h))).alias(f"_part_{name}"))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((low + F.col(f"_part_{name}") * (high - low)).alias(name))
-    return run.groupBy(*keys).agg(*picks).select(*keys, *out)
+    picks, at = [], {}
+    for s, (i, j, q) in enumerate(slots):
+        h = (F.col(f"_n{i}") - 1) * F.lit(q)
+        at[s] = {"lo": F.floor(h), "hi": F.ceil(h)}, h - F.floor(h)
+        for end, place in at[s][0].items():
+            rel = place - F.col(f"_below{s}")
+            picks.append(F.max(F.when((F.col("_s") == s) & (start <= rel) & (rel < F.col("_cum")), F.col("_v"))).alias(f"_{end}{s}"))
+    found = _beside(groups, counted.groupBy(*keys).agg(*picks), keys, "left")
+    out = []
+    for name, (c, q) in wanted.items():
+        text = c if isinstance(c, str) else str(c)
+        s = next(k for k, (i, j, x) in enumerate(slots) if i == list(cols).index(text) and x == float(q))
+        ends_of, part = at[s]
+        value = {}
+        for end, place in ends_of.items():
+            below, after = F.col(f"_below{s}"), F.col(f"_below{s}") + F.col(f"_inside{s}")
+            value[end] = (F.when(place == below - 1, F.col(f"_prev{s}")).when(place == after, F.col(f"_next{s}"))
+                          .when((place >= below) & (place < after), F.col(f"_{end}{s}"))
+                          .when(F.col(f"_n{slots[s][0]}") > 0, F.raise_error(F.lit(f"{name}: rank outside its bracket")).cast("double")))
+        out.append((value["lo"] + part * (value["hi"] - value["lo"])).alias(name))
+    if keys:
+        found = found.filter(sum((F.col(f"_n{i}") for i in range(len(cols))), F.lit(0)) > 0)
+    return found.select(*keys, *out)
 
 
 def agg_with_quantiles(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],

@@ -1,6 +1,7 @@
 """Scalable operators against brute force on small fixtures."""
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from cargolens.operators import evaluation as E
@@ -73,3 +74,23 @@ def test_time_blocks_match_array_split(spark):
     df = spark.createDataFrame([(i, float(i // 2)) for i in range(n)], "order_id long, purchase_ts double")
     sizes = sorted(E.time_blocks(df, "purchase_ts", "order_id", 6).groupBy("block").count().collect())
     assert [x["count"] for x in sizes] == [len(b) for b in np.array_split(np.arange(n), 6)]
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_bracketed_quantiles_are_exact(spark, monkeypatch, accuracy):
+    from cargolens.operators import ranking
+    monkeypatch.setattr(ranking, "ACCURACY", accuracy)
+    df = spark.range(20_000).repartition(7).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 700)).alias("k"),
+        F.when(F.col("id") % 11 > 0, F.pow((F.col("id") * 7919) % 10007, F.lit(1.5))).alias("v"), (F.col("id") % 5).alias("ties"))
+    qs = (0.0, 0.013, 0.25, 0.5, 0.9, 1.0)
+    wanted = {f"{c}{i}": (c, q) for c in ("v", "ties") for i, q in enumerate(qs)}
+    want = df.groupBy("k").agg(*[F.percentile(c, q).alias(n) for n, (c, q) in wanted.items()])
+    got = {r.k: r for r in ranking.exact_quantiles(df, wanted, ["k"]).collect()}
+    rows = want.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        assert [got[r.k][n] for n in wanted] == pytest.approx([r[n] for n in wanted])
+    one = ranking.exact_quantiles(df, wanted).first()
+    all_ = df.agg(*[F.percentile(c, q).alias(n) for n, (c, q) in wanted.items()]).first()
+    assert [one[n] for n in wanted] == pytest.approx([all_[n] for n in wanted])
