@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import attach
+from ..operators.ranking import attach, global_running
 from .common import as_row, restored, shared_table
 
 # A short line ends after a line break, after a blank that follows one of these, and after full-width punctuation.
@@ -89,9 +89,13 @@ def repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         named = docs.select(F.col("id").cast("long").alias("key"), "text")
         names = None
     else:
-        distinct = docs.groupBy("id", "text_hash").agg(F.any_value("text").alias("text"))
-        stored = shared_table(distinct.withColumn("key", F.monotonically_increasing_id()), "documents")
-        named, names = stored.select("key", "text"), stored.select("key", "id", "text_hash")
+        # documents by rank of (id, text hash), nulls last: only these are put in order, the texts are joined by them
+        order = [F.asc_nulls_last("id"), F.asc_nulls_last("text_hash")]
+        ranked = global_running(docs.select("id", "text_hash").distinct(), order, index_col="key")
+        names = shared_table(ranked.select("key", "id", "text_hash"), "documents")
+        texts = docs.groupBy("id", "text_hash").agg(F.any_value("text").alias("text"))
+        ranks = names.select("key", F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+        named = texts.join(ranks, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("key", "text")
     chunks = shared_table(chunk_rows(named, "key", "text"), "chunks", "snappy")
     shared = (chunks.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"))
               .filter(F.col("first") != F.col("last")).select(F.col("h").alias("_h"), "first"))

@@ -1,3 +1,4 @@
+import pytest
 from words import documents, prose  # noqa: F401
 
 from cargolens.llm.linededup import line_dedup
@@ -53,11 +54,22 @@ def test_edge_rows(spark, documents):
 def test_repeated_and_null_ids(documents):
     text = prose(2, 200)
     out = line_dedup(documents([(1, text), (1, text), (2, text)])).collect()
-    assert sorted((r.doc_id, len(r.text) > 0) for r in out) in ([(1, True), (1, True), (2, False)], [(1, False), (1, False), (2, True)])
+    assert sorted((r.doc_id, len(r.text) > 0) for r in out) == [(1, True), (1, True), (2, False)]
     out = line_dedup(documents([(None, text), (None, text + " " + prose(3, 50)), (2, prose(4, 90))])).collect()
     assert len(out) == 3 and sum(text in (r.text or "") for r in out) == 1
 
 
+@pytest.mark.parametrize("other", [[], [(None, "unrelated words")], [(99, "one"), (99, "two")], [(None, None)]])
+def test_the_smallest_id_keeps_whatever_other_ids_are(documents, other):
+    text = prose(6, 150)
+    rows = [(i, f"{prose(100 + i, 30)}\n{text}") for i in (7, 3, 0, 11, 5)] + other
+    kept = [r.doc_id for r in line_dedup(documents(rows)).collect() if text in (r.text or "")]
+    assert kept == [0]
+    # a null id comes after all others
+    out = line_dedup(documents([(None, text), (4, f"{text}\n{prose(7, 40)}"), *other])).collect()
+    assert [r.doc_id for r in out if text in (r.text or "")] == [4]
+
+
 def test_short_lines_join_to_the_text(spark):
     from pyspark.sql import functions as F
 
