@@ -190,9 +190,9 @@ def _load_probes(m: Market):
     o_all = m.orders.select("order_id", micros("order_purchase_timestamp").alias("t_us"))
     f = item_frame(m).filter(F.col("order_delivered_customer_date").isNotNull()
                              & F.col("order_estimated_delivery_date").isNotNull())
-    main = f.groupBy("order_id").agg(
+    main = _cached(m, "load_probes", lambda: f.groupBy("order_id").agg(
         F.max_by("seller_id", F.struct(F.col("price"), -F.col("order_item_id"))).alias("seller_id"),
-        F.first(micros("order_purchase_timestamp")).alias("t_us"))
+        F.first(micros("order_purchase_timestamp")).alias("t_us")))
     return o_all, main
 
 

@@ -39,6 +39,23 @@ def test_trailing_counts_half_open(spark):
     assert out == brute
 
 
+def test_trailing_counts_by_key_over_many_slices(spark):
+    """A key with half of the rows spans several slices; null is a key; equal instants; a key without events."""
+    rng = np.random.default_rng(11)
+    keys = ["hot"] * 600 + ["a", "b", None, "c"] * 150
+    ev = [(k, int(t)) for k, t in zip(keys, rng.integers(0, 400, len(keys))) if k != "c"]
+    probes = [(k, i, int(t)) for i, (k, t) in enumerate(zip(keys, rng.integers(0, 450, len(keys))))]
+    e = spark.createDataFrame([*ev, ("a", None)], "k string, t_us long").repartition(5)
+    p = spark.createDataFrame(probes, "k string, probe_id long, t_us long").repartition(3)
+    out = {x.probe_id: (x.k, x.n, x.m) for x in trailing_counts(e, p, {"n": (50, 0), "m": (200, 50)}, keys=["k"]).collect()}
+
+    def count(k, lo, hi):
+        return sum(1 for a, t in ev if a == k and lo <= t < hi)
+    assert out == {i: (k, count(k, t - 50, t), count(k, t - 200, t - 50)) for k, i, t in probes}
+    alone = {x.probe_id: x.n for x in trailing_counts(e.limit(0), p.limit(20), {"n": (50, 0)}, keys=["k"]).collect()}
+    assert len(alone) == 20 and set(alone.values()) == {0}
+
+
 def test_ranking_metrics_brute_force(spark):
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 400)
