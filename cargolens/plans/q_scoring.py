@@ -4,13 +4,15 @@ SCO-3, SCO-6..10, SCO-12, UDF-4)."""
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import haversine_km, r
 from ..operators.ranking import attach, exact_quantiles
-from ..registry import query
+from ..registry import ORACLE, query
+from ..session import checkpoint_dir, stored
 from ..sources.fixtures import market
 from .core import memo
 from .q_audit import audited
@@ -587,3 +589,54 @@ def str06_scoring_batch_twin(spark, sf):
     b = rejected.agg(F.lit("rejected").alias("outcome"), F.count(F.lit(1)).alias("n"),
                      F.lit(None).cast("double").alias("mean_estimate"))
     return a.unionByName(b)
+
+
+def _landed(spark, m):
+    """The hold-out records as a landing folder, and fresh folders for output and checkpoint."""
+    records = stored(freight_records(m).repartition(16), "landing")
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    return records, records.inputFiles()[0].rsplit("/", 1)[0], f"{base}/out", f"{base}/checkpoint"
+
+
+ORACLE["str06_stream_scoring"] = ORACLE["str06_scoring_batch_twin"]
+
+
+@query("str06_stream_scoring")
+def str06_stream_scoring(spark, sf):
+    """STR-6: the hold-out records validated, priced and logged by a stream; counts and means from what it wrote."""
+    from ..streaming.scoring import run_scoring_stream
+    m = market(spark, sf)
+    records, landing, out, check = _landed(spark, m)
+    run_scoring_stream(spark, landing, records.schema, _states(m), out, check, files=4)
+    log = spark.read.schema("id string, status int, fair_freight double, epoch int").parquet(f"{out}/log")
+    outcome = F.when(F.col("status") == 200, F.lit("scored")).otherwise(F.lit("rejected"))
+    return log.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"), r(F.avg("fair_freight"), 6).alias("mean_estimate"))
+
+
+@query("str06_stream_saved_model", f"""
+WITH {_RECORDS_SQL}
+SELECT CASE WHEN len(errors) = 0 THEN 'scored' ELSE 'rejected' END AS outcome, count(*) AS n, CAST(0 AS BIGINT) AS differing
+FROM v GROUP BY 1
+""")
+def str06_stream_saved_model(spark, sf):
+    """STR-6 / SNK-4: the stream with a saved pipeline (ridge), loaded from its folder; rows whose estimate in the log differs
+    from the batch scores of the same model, or that only one of the two has."""
+    from ..operators.models import Bench, Fitted
+    from ..streaming.scoring import run_scoring_stream, score_batch
+    from .q_models import FS_A
+    m = market(spark, sf)
+    records, landing, out, check = _landed(spark, m)
+    bench = Bench(item_split(m)[0], FS_A, "reg_target")
+    bench.ridge(10.0).save(spark, f"{out}/model")
+    bench.close()
+    model = Fitted.load(spark, f"{out}/model")
+    run_scoring_stream(spark, landing, records.schema, _states(m), out, check, model, files=4)
+    log = spark.read.schema("id string, status int, fair_freight double, epoch int").parquet(f"{out}/log")
+    scored, rejected = score_batch(records, _states(m), model)
+    batch = scored.select("id", F.lit(200).alias("_status"), "estimate").unionByName(
+        rejected.select("id", F.lit(422).alias("_status"), F.lit(None).cast("double").alias("estimate")))
+    both = log.join(batch, "id", "full")
+    same = F.col("status").eqNullSafe(F.col("_status")) & (F.col("fair_freight").eqNullSafe(F.col("estimate")) | F.coalesce(
+        F.abs(F.col("fair_freight") - F.col("estimate")) < 1e-9, F.lit(False)))
+    outcome = F.when(F.coalesce("status", "_status") == 200, F.lit("scored")).otherwise(F.lit("rejected"))
+    return both.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~same, F.lit(1))).alias("differing"))

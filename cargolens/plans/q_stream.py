@@ -102,20 +102,17 @@ def str02_log_summary(spark, sf, last_n: int = 1000):
     unusual rates, mean risk, list rate (null when the denominator is 0) and latency p50 / p95 / max of the
     last 1000 requests (a top-k by time: the limit is the feature)."""
     lg = _log(spark, sf)
-    ok = F.col("status") == 200
-    c = lg.agg(F.count(F.when(ok & (F.col("row") == 0), F.lit(1))).alias("requests"),
-               F.count(F.when(~ok, F.lit(1))).alias("rejected"),
-               F.count(F.when(ok & (F.col("kind") == "freight"), F.lit(1))).alias("n_f"),
-               F.count(F.when(ok & (F.col("kind") == "late"), F.lit(1))).alias("n_l"),
-               F.count(F.when(F.col("has_drift"), F.lit(1))).alias("with_drift"), F.sum("fair_freight").alias("fair_sum"),
-               F.count("verdict").alias("with_charge"),
-               F.count(F.when(F.col("verdict").isin("unusual_both", "unusual_forest_only"), F.lit(1))).alias("unusual"),
-               F.count(F.when(F.col("verdict") == "unusual_both", F.lit(1))).alias("both"),
-               F.sum("risk").alias("risk_sum"), F.count(F.when(F.col("on_review_list"), F.lit(1))).alias("on_list"))
-    lat = (lg.filter(ok & (F.col("row") == 0)).orderBy(F.desc("timestamp"), F.desc("request_id")).limit(last_n)
-           .agg(F.count(F.lit(1)).alias("lat_n"), r(F.median("latency_ms"), 1).alias("p50"),
-                r(F.percentile("latency_ms", 0.95), 1).alias("p95"), r(F.max("latency_ms"), 1).alias("lat_max")))
+    added = MON.counted_flags(lg)
+    c = added.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in MON.COUNTS], *[F.sum(x).alias(x) for x in MON.SUMS])
+    last = added.filter("requests = 1").orderBy(F.desc("t_us"), F.desc("request_id")).limit(last_n)
+    return _summary(c, last)
+
+
+def _summary(c, last):
+    """STR-2: rates from the counts, latencies of the last requests."""
     from ..operators.ranking import attach
+    lat = last.agg(F.count(F.lit(1)).alias("lat_n"), r(F.median("latency_ms"), 1).alias("p50"),
+                   r(F.percentile("latency_ms", 0.95), 1).alias("p95"), r(F.max("latency_ms"), 1).alias("lat_max"))
     j = attach(c, lat)
     n = F.col("n_f") + F.col("n_l")
 
@@ -235,6 +232,12 @@ def str01_stream_totals(spark, sf):
                     r("risk_sum", 6).alias("risk_sum"), "on_list")
 
 
+@_twin("str02_log_summary")
+def str02_stream_summary(spark, sf, last_n: int = 1000):
+    """STR-2: the monitoring summary by a stream whose state holds counts and the last 1000 requests of each endpoint."""
+    return _summary(*MON.stream_summary(*_stream(spark, sf), last_n))
+
+
 @_twin("str03_dedupe_and_split")
 def str03_stream_split(spark, sf):
     """STR-3: duplicates dropped within the watermark and rejected rows split off by a stream."""
@@ -250,6 +253,27 @@ def str04_stream_sliding(spark, sf):
                     F.date_format("w.end", "yyyy-MM-dd").alias("window_end"), "load")
 
 
+@query("str04_stream_loads", "SELECT order_id, platform_load_7d FROM f_order_loads")
+def str04_stream_loads(spark, sf, files: int = 8):
+    """STR-4: orders arrive in order of time, year after year, and every one of the model table leaves with the platform's
+    7-day load at its moment; equal to JON-10."""
+    from ..functions.columns import micros
+    from .core import order_features
+    m = market(spark, sf)
+    scored = order_features(m, with_loads=False).select("order_id", F.lit(True).alias("_scored"))
+    rows = m.orders.join(scored, "order_id", "left").select(
+        "order_id", micros("order_purchase_timestamp").alias("t_us"), F.coalesce("_scored", F.lit(False)).alias("scored"),
+        F.year("order_purchase_timestamp").alias("_y"))
+    rows = stored(rows, "orders")
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    years = sorted(x["_y"] for x in rows.filter(F.col("_y").isNotNull()).select("_y").distinct().collect())   # bounded by the calendar
+    for y in years:                                       # each year's files land after those of the year before
+        rows.filter(F.col("_y") == y).drop("_y").repartition(files).write.mode("append").parquet(f"{base}/landing")
+    stream = (spark.readStream.schema("order_id long, t_us long, scored boolean").option("maxFilesPerTrigger", files)
+              .parquet(f"{base}/landing"))
+    return MON.stream_loads(stream, f"{base}/out", f"{base}/checkpoint").select("order_id", F.col("load").alias("platform_load_7d"))
+
+
 @_twin("str05_weekly_promise_alert")
 def str05_stream_alert(spark, sf):
     """STR-5: the weekly promise alert by a stream of delivered orders."""

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .log import EVENTS_SCHEMA, log_from_events
 
 WATERMARK = "1 day"
@@ -105,21 +106,119 @@ def stream_split(log: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return run_updates(dedupe(log, streaming=True).select("request_id", "row", outcome), out, checkpoint, "append")
 
 
-def stream_weekly_alert(promises: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """STR-5 as a stream of (week, promise): each micro-batch is appended to a store and the alert is computed again from
-    the weekly medians of the store, a small table; returns the last alert table."""
+def weekly_medians(counts: DataFrame) -> DataFrame:
+    """(week, orders, promise): exact medians from value counts (week, promise, n) of any number of batches."""
     from ..operators.ranking import agg_with_quantiles
-    spark = promises.sparkSession
+    merged = stored(counts.groupBy("week", "promise").agg(F.sum("n").alias("n")), "week-counts")
+    each = merged.select("week", "promise", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_i"))
+    return agg_with_quantiles(each, ["week"], [F.count(F.lit(1)).alias("orders")], {"promise": ("promise", 0.5)})
 
-    def alert(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/store/epoch={epoch}")
-        store = batch.sparkSession.read.schema(batch.schema.add("epoch", "integer")).parquet(f"{out}/store")
-        weekly = agg_with_quantiles(store, ["week"], [F.count(F.lit(1)).alias("orders")], {"promise": ("promise", 0.5)})
-        weekly_alert_batch(weekly).write.mode("overwrite").parquet(f"{out}/alerts/epoch={epoch}")
 
-    q = (promises.writeStream.foreachBatch(alert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def stream_weekly_alert(promises: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """STR-5 as a stream of (week, promise), incrementally: a micro-batch adds its value counts by week, and only the weeks
+    it has rows of get their medians again, from the merged counts of these weeks (partitions of the store).  The alert is
+    computed on the small weekly table.  A repeated batch replaces its own counts and medians."""
+    spark = promises.sparkSession
+    columns = "promise double, n long, epoch int, week date"
+
+    def update(batch: DataFrame, epoch: int) -> None:
+        own = f"{out}/counts/epoch={epoch}"
+        batch.groupBy("week", "promise").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("week").parquet(own)
+        store = batch.sparkSession.read.schema(columns).parquet(f"{out}/counts")
+        # bounded by the calendar
+        weeks = [x.week for x in store.filter(F.col("epoch") == epoch).select("week").distinct().collect()]
+        weekly_medians(store.filter(F.col("week").isin(weeks) & (F.col("epoch") <= epoch))).write.mode("overwrite").parquet(
+            f"{out}/weekly/epoch={epoch}")
+
+    q = (promises.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return weekly_alert_batch(latest(spark.read.parquet(f"{out}/weekly"), ["week"]))
+
+
+def counted_flags(log: DataFrame) -> DataFrame:
+    """STR-2: every log line as what it adds to each count and sum of the summary (``COUNTS``)."""
+    ok, kind, verdict = F.col("status") == 200, F.col("kind"), F.col("verdict")
+    flags = {"requests": ok & (F.col("row") == 0), "rejected": ~ok, "n_f": ok & (kind == "freight"), "n_l": ok & (kind == "late"),
+             "with_drift": F.col("has_drift"), "with_charge": verdict.isNotNull(),
+             "unusual": verdict.isin("unusual_both", "unusual_forest_only"), "both": verdict == "unusual_both",
+             "on_list": F.col("on_review_list")}
+    return log.select(
+        "endpoint", "request_id", "latency_ms", F.unix_micros("timestamp").alias("t_us"),
+        *[F.coalesce(v, F.lit(False)).cast("long").alias(k) for k, v in flags.items()],
+        *[F.coalesce(v, F.lit(0.0)).alias(k) for k, v in (("fair_sum", F.col("fair_freight")), ("risk_sum", F.col("risk")))])
+
+
+COUNTS = ["requests", "rejected", "n_f", "n_l", "with_drift", "with_charge", "unusual", "both", "on_list"]
+SUMS = ["fair_sum", "risk_sum"]
+SHARDS = 32                              # of an endpoint: its state is spread over that many keys
+
+
+def _summary_state(last_n: int):
+    """State of one endpoint and shard: the running counts, and of its last ``last_n`` requests time, id and latency."""
+    def update(key, parts, state):
+        import numpy as np
+        import pandas as pd
+        old = state.get if state.exists else (*[0] * len(COUNTS), *[0.0] * len(SUMS), [], [], [])
+        total, recent = list(old[:-3]), [np.asarray(x) for x in old[-3:]]
+        for rows in parts:
+            for i, c in enumerate(COUNTS + SUMS):
+                total[i] += rows[c].sum()
+            new = rows[rows["requests"] == 1]
+            t, q, ms = (np.concatenate([a, new[c].to_numpy()]) for a, c in zip(recent, ("t_us", "request_id", "latency_ms")))
+            at = np.lexsort((q, t))[::-1][:last_n]
+            recent = [t[at], q[at], ms[at]]
+        now = (*[int(x) for x in total[:len(COUNTS)]], *[float(x) for x in total[len(COUNTS):]],
+               [int(x) for x in recent[0]], [int(x) for x in recent[1]], [float(x) for x in recent[2]])
+        state.update(now)
+        yield pd.DataFrame([(*key, *now)], columns=["endpoint", "shard", *COUNTS, *SUMS, "t_us", "request_id", "latency_ms"])
+    return update
+
+
+def stream_summary(log: DataFrame, out: str, checkpoint: str, last_n: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """STR-2 as a stream with arbitrary state: (counts, last requests).  Every endpoint's lines are spread over shards by
+    request id; the state of a shard is a row of counts and at most ``last_n`` requests, whatever the length of the log, and
+    the last ``last_n`` of all are among these."""
+    from ..session import ship_package
+    ship_package(log.sparkSession)
+    held = ", ".join([*[f"{c} long" for c in COUNTS], *[f"{c} double" for c in SUMS],
+                      "t_us array<long>", "request_id array<long>", "latency_ms array<double>"])
+    sharded = counted_flags(log).withColumn("shard", F.pmod(F.xxhash64("request_id"), F.lit(SHARDS)).cast("int"))
+    states = sharded.groupBy("endpoint", "shard").applyInPandasWithState(
+        _summary_state(last_n), f"endpoint string, shard int, {held}", held, "update", "NoTimeout")
+    now = stored(latest(run_updates(states, out, checkpoint), ["endpoint", "shard"]), "summary")
+    counts = now.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS], *[F.sum(c).alias(c) for c in SUMS])
+    each = now.select(F.explode(F.arrays_zip("t_us", "request_id", "latency_ms")).alias("e")).select("e.*")
+    return counts, each.orderBy(F.desc("t_us"), F.desc("request_id")).limit(last_n)
+
+
+BLOCK_DAYS = 32                          # of the store of orders: a folder of a batch
+
+
+def stream_loads(orders: DataFrame, out: str, checkpoint: str, days: int = 7) -> DataFrame:
+    """STR-4 as a stream joined to the current load: ``orders`` (order_id, t_us, scored) arrive in order of time, and every
+    scored one gets ``load``, the number of orders in [t - days, t).  A micro-batch is added to a store by blocks of days and
+    counted against the days it can reach back to, so its work grows with the batch and those days only.  A repeated batch replaces
+    its rows.  An order that comes after later ones is counted for the batches from its own on."""
+    from ..operators.loads import trailing_counts
+    day_us = 86_400_000_000
+    spark = orders.sparkSession
+
+    def update(batch: DataFrame, epoch: int) -> None:
+        block = F.floor(F.col("t_us") / F.lit(BLOCK_DAYS * day_us)).cast("long")
+        batch.withColumn("block", block).write.mode("overwrite").partitionBy("block").parquet(f"{out}/store/epoch={epoch}")
+        store = batch.sparkSession.read.schema("order_id long, t_us long, scored boolean, epoch int, block long").parquet(f"{out}/store")
+        own = store.filter(F.col("epoch") == epoch)
+        first = own.agg(F.min("t_us").alias("t")).first()["t"]
+        if first is None:
+            return
+        since = first - days * day_us
+        near = store.filter((F.col("epoch") <= epoch) & (F.col("block") >= since // (BLOCK_DAYS * day_us)) & (F.col("t_us") >= since))
+        loads = trailing_counts(near, own.filter("scored"), {"load": (days * day_us, 0)}, probe_id="order_id")
+        loads.write.mode("overwrite").parquet(f"{out}/loads/epoch={epoch}")
+
+    q = (orders.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest(spark.read.parquet(f"{out}/alerts"), ["week"])
+    return spark.read.schema("order_id long, load long, epoch int").parquet(f"{out}/loads").drop("epoch")
 
 
 def weekly_alert_batch(weekly: DataFrame) -> DataFrame:

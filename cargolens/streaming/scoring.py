@@ -30,14 +30,22 @@ def score_batch(records: DataFrame, states: DataFrame, model=None):
 
 
 def run_scoring_stream(spark: SparkSession, landing: str, schema, states: DataFrame, out_dir: str,
-                       checkpoint: str, model=None) -> None:
-    """Score everything that has landed (``availableNow``) into ``out_dir/scored`` and ``out_dir/rejected``."""
-    stream = spark.readStream.schema(schema).parquet(landing)
+                       checkpoint: str, model=None, files: int | None = None) -> None:
+    """Score everything that has landed (``availableNow``) into ``out_dir/scored`` and ``out_dir/rejected``, with a log line
+    for each record in ``out_dir/log``; ``files``: at most that many files a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(landing)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         scored, rejected = score_batch(batch, states, model)
-        scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"epoch={epoch_id}"))
-        rejected.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"epoch={epoch_id}"))
+        written = {}
+        for name, rows in (("scored", scored), ("rejected", rejected)):
+            path = os.path.join(out_dir, name, f"epoch={epoch_id}")
+            rows.write.mode("overwrite").parquet(path)
+            written[name] = spark.read.schema(rows.schema).parquet(path)
+        log = written["scored"].select("id", F.lit(200).alias("status"), F.col("estimate").alias("fair_freight")).unionByName(
+            written["rejected"].select("id", F.lit(422).alias("status"), F.lit(None).cast("double").alias("fair_freight")))
+        log.write.mode("overwrite").parquet(os.path.join(out_dir, "log", f"epoch={epoch_id}"))
 
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
