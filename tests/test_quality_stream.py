@@ -46,6 +46,46 @@ def test_stream_totals_equal_batch_twin(spark):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
 
 
+def test_stream_summary_over_many_batches(spark, tmp_path):
+    """The state keeps the last requests over micro-batches that come in any order, and a second run adds nothing."""
+    events = spark.read.parquet(os.path.join(SMOKE, "events.parquet"))
+    landing = str(tmp_path / "landing")
+    events.repartition(6).write.parquet(landing)
+    args = (str(tmp_path / "out"), str(tmp_path / "checkpoint"), 7)
+    log = log_from_events(events)
+    want = MON.counted_flags(log)
+    last = want.filter("requests = 1").orderBy(F.desc("t_us"), F.desc("request_id")).limit(7)
+    for _ in range(2):
+        counts, recent = MON.stream_summary(MON.log_stream(spark, landing, 2), *args)
+        got = counts.first()
+        assert [got[c] for c in MON.COUNTS] == list(want.agg(*[F.sum(c) for c in MON.COUNTS]).first())
+        assert abs(got.risk_sum - want.agg(F.sum("risk_sum")).first()[0]) < 1e-6
+        assert sorted(x.request_id for x in recent.collect()) == sorted(x.request_id for x in last.collect())
+
+
+def test_stream_loads_and_weekly_alert_by_batch(spark, tmp_path):
+    day = 86_400_000_000
+    orders = [(i, i * day // 3, i % 4 != 0) for i in range(120)]
+    landing = str(tmp_path / "orders")
+    for k in range(0, 120, 40):                            # three batches in order of time
+        spark.createDataFrame(orders[k:k + 40], "order_id long, t_us long, scored boolean").coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema("order_id long, t_us long, scored boolean").option("maxFilesPerTrigger", 1).parquet(landing)
+    loads = MON.stream_loads(stream, str(tmp_path / "loads"), str(tmp_path / "c1"))
+    assert {x.order_id: x.load for x in loads.collect()} == {
+        i: sum(1 for _, u, _ in orders if t - 7 * day <= u < t) for i, t, s in orders if s}
+    import datetime
+    weeks = [datetime.date(2024, 1, 1) + datetime.timedelta(days=7 * w) for w in range(8)]
+    rows = [(w, float((i * 7 + k * 3) % 11 + (5 if i == 6 else 0))) for i, w in enumerate(weeks) for k in range(9)]
+    spark.createDataFrame(rows, "week date, promise double").repartition(4).write.parquet(str(tmp_path / "promises"))
+    stream = spark.readStream.schema("week date, promise double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "promises"))
+    got = MON.stream_weekly_alert(stream, str(tmp_path / "alerts"), str(tmp_path / "c2"))
+    weekly = spark.createDataFrame(rows, "week date, promise double").groupBy("week").agg(
+        F.count(F.lit(1)).alias("orders"), F.median("promise").alias("promise"))
+    want = MON.weekly_alert_batch(weekly)
+    cols = ["week", "orders", "promise", "trailing", "alert"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
 def test_permissive_upload(spark, tmp_path):
     from cargolens.sources.files import read_upload
     p = tmp_path / "up.csv"
