@@ -5,8 +5,10 @@
    tokens with letters and digits are further candidates.
 2. Candidates are hashed, and the hashes counted over the corpus by distinct
    repositories and owners, in three aggregations that combine before they
-   shuffle.  A value that more than ``max_owners`` owners have is a copied
-   example; one that few owners have looks live, unless it spells a placeholder.
+   shuffle.  A value that more than ``max_owners`` owners or more than
+   ``max_repositories`` repositories have is a copied example, also where one
+   owner has it in all its repositories; another looks live, unless it spells a
+   placeholder.
 3. A live-looking bare token becomes a span of its own kind; the three base
    kinds always stay and are told apart by the counts of live ones.
 
@@ -30,6 +32,7 @@ BARE = r"[A-Za-z0-9+/_=-]{20,}"
 LEAST_VALUE = 12
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your_|xxxx|(.)\1{7}"
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 20
 BLOCK = 256
 
 
@@ -113,7 +116,8 @@ def as_text(spans_: Column) -> Column:
 
 
 def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                repository_col: str = "doc_id", max_owners: int = MAX_OWNERS) -> DataFrame:
+                repository_col: str = "doc_id", max_owners: int = MAX_OWNERS,
+                max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """(id, base, all_spans, n_live, n_copied): one row for each row of ``df``;
     ``n_live`` and ``n_copied`` count the base spans by the ownership of their values."""
     rows = df.select(F.col(id_col).alias("id"), F.col(owner_col).alias("owner"), F.col(repository_col).alias("repository"),
@@ -125,8 +129,9 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     each = each.select("row", "owner", "repository", "s", F.sha2(F.col("s.value"), 256).alias("hash"))
     owned = ownership(each.select("hash", "owner", "repository"))
     owned = shared_table(owned.select(F.col("hash").alias("_hash"), "owners", "repositories"), "owned")
+    specific = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     graded = each.join(owned, F.col("hash") == F.col("_hash")).select(
-        "row", "s", ((F.col("owners") <= max_owners) & ~F.col("s.value").rlike(PLACEHOLDER)).alias("live"))
+        "row", "s", (specific & ~F.col("s.value").rlike(PLACEHOLDER)).alias("live"))
     is_base = F.col("s.kind") < 3
     per_row = graded.groupBy(F.col("row").alias("_row")).agg(
         F.collect_list(F.when(~is_base & F.col("live"), F.col("s"))).alias("added"),

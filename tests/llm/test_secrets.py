@@ -42,6 +42,15 @@ def test_ownership_tells_examples_from_live_ones(documents):
     assert got[2].spans == f"bare:2:{2 + len(bare)}" and got[2].n_assign == 0
     assert (got[30].n_live, got[30].n_copied) == (0, 1)
 
+def test_a_value_in_many_repositories_of_one_owner_is_copied(documents):
+    wide, narrow = "Kp3vT8sXq1Lm9Zr5", "Hd6yB2wNc7Jf4Gt0"
+    rows = [(i, f"password = {wide} {'Wide' + wide * 2}", "a") for i in range(secrets.MAX_REPOSITORIES + 1)]
+    rows += [(100 + i, f"password = {narrow} {'Few' + narrow * 2}", "a") for i in range(secrets.MAX_REPOSITORIES)]
+    rows += [(100, f"password = {narrow} {'Few' + narrow * 2}", "a")] * 3         # repeated rows are one repository
+    got = scan(documents(rows))
+    assert {(got[i].n_live, got[i].n_copied, "bare" in got[i].spans) for i in range(secrets.MAX_REPOSITORIES + 1)} == {(0, 1, False)}
+    assert {(r.n_live, r.n_copied, "bare" in r.spans) for i, r in got.items() if i >= 100} == {(1, 0, True)}
+
 def test_edges(documents):
     df = documents([(1, None, None), (2, "", None), (None, "token=abcdefghijkl1"), (4, "AKIA" * 20_000), (5, "token=abcdefghijkl1"),
                     (5, "token=abcdefghijkl1")], extra=[("base", "x"), ("row", "y"), ("hash", "z")])
