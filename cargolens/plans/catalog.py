@@ -9,6 +9,7 @@ from . import q_features  # noqa: F401
 from . import q_eval  # noqa: F401
 from . import q_audit  # noqa: F401
 from . import q_stream  # noqa: F401
+from . import q_drift  # noqa: F401
 from . import q_scoring  # noqa: F401
 from . import q_models  # noqa: F401
 

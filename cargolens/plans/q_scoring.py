@@ -364,7 +364,7 @@ def drift_stats(train):
     rows outside it), counts (max), categorical level counts.  One aggregation pass each."""
     aggs = []
     for c in NUMERIC_LOG:
-        v = F.log1p(F.greatest(F.col(c), F.lit(0.0)))
+        v = F.when(F.col(c).isNotNull(), F.log1p(F.greatest(F.col(c), F.lit(0.0))))
         aggs += [F.avg(v).alias(f"{c}__mean"), F.stddev_samp(v).alias(f"{c}__std"), F.count(v).alias(f"{c}__n")]
     for c in COUNTS:
         aggs += [F.count(c).alias(f"{c}__n"), F.max(c).cast("double").alias(f"{c}__max")]
@@ -388,7 +388,7 @@ def level_counts(train):
 def _drift_sql_numeric():
     parts = []
     for c in NUMERIC_LOG:
-        v = f"ln(1 + greatest({c}, 0.0))"
+        v = f"CASE WHEN {c} IS NOT NULL THEN ln(1 + greatest({c}, 0.0)) END"
         parts.append(f"SELECT '{c}' AS \"column\", 'log1p' AS scale, avg({v}) AS mean, stddev_samp({v}) AS std, "
                      f"count({v}) AS n, avg({v}) - 3 * stddev_samp({v}) AS low, avg({v}) + 3 * stddev_samp({v}) AS high, "
                      f"NULL::DOUBLE AS max FROM f_itrain")
@@ -427,7 +427,7 @@ def drift_flags(rows, stats, levels, min_frequency: int = 20):
     x = attach(rows, wide.select(*[F.col(c).alias(f"_st_{c}") for c in NUMERIC_LOG + COUNTS]))
     flags = []
     for c in NUMERIC_LOG:
-        v = F.log1p(F.greatest(F.col(c), F.lit(0.0)))
+        v = F.when(F.col(c).isNotNull(), F.log1p(F.greatest(F.col(c), F.lit(0.0))))
         dev = (v - F.col(f"_st_{c}.mean")) / F.col(f"_st_{c}.std")
         flags.append(F.when(F.abs(dev) > 3, F.lit(c)))
     for c in COUNTS:
@@ -449,7 +449,7 @@ WITH st AS ({_drift_sql_numeric()}),
 lv AS ({" UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS level, count(*) AS n FROM f_itrain GROUP BY 2"
                            for c in CATEGORICAL)}),
 x AS (SELECT t.*,
-        list_filter([{", ".join(f"CASE WHEN abs((ln(1 + greatest(t.{c}, 0.0)) - (SELECT mean FROM st WHERE \"column\" = '{c}'))"
+        list_filter([{", ".join(f"CASE WHEN t.{c} IS NOT NULL AND abs((ln(1 + greatest(t.{c}, 0.0)) - (SELECT mean FROM st WHERE \"column\" = '{c}'))"
                                 f" / (SELECT std FROM st WHERE \"column\" = '{c}')) > 3 THEN '{c}' END" for c in NUMERIC_LOG)},
                      {", ".join(f"CASE WHEN t.{c} > (SELECT max FROM st WHERE \"column\" = '{c}') THEN '{c}' END" for c in COUNTS)},
                      {", ".join(f"CASE WHEN NOT EXISTS (SELECT 1 FROM lv WHERE lv.col = '{c}' AND lv.level = CAST(t.{c} AS VARCHAR))"

@@ -46,6 +46,24 @@ def test_stream_totals_equal_batch_twin(spark):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
 
 
+def test_drift_warnings(spark):
+    """Both sides of the band, counts, unseen and missing levels; a missing number is neither counted nor flagged."""
+    from cargolens.plans.q_drift import drift_profile, drift_warnings
+    schema = "id int, a double, b double, n int, s string"
+    train = spark.createDataFrame([(i, float(10 + i % 5), float(i % 3), 1 + i % 2, "SP") for i in range(60)] + [(60, None, None, None, "RJ")], schema)
+    scales = {"a": "log1p", "b": "raw", "n": "count"}
+    p = {x.column: x for x in drift_profile(train, scales).collect()}
+    assert (p["a"].n, p["n"].max, p["a"].train_share_outside) == (60, 2.0, 0.0) and 8 < p["a"].low < 10 < p["a"].high < 18
+    rows = spark.createDataFrame([(1, 12.0, 1.0, 2, "SP"), (2, 1234.5, -9.0, 3, "XX"), (3, None, None, None, None)], schema)
+    got = {x.id: x for x in drift_warnings(rows, train, scales, ["s"]).collect()}
+    assert got[1].drift_inputs == [] and got[3].drift_inputs == ["s"]
+    assert got[2].drift_inputs == ["a", "b", "n", "s"]
+    assert got[2].warnings[0].startswith("a = 1,234.50 is above the training mean + 3 sd on the log scale (")
+    assert got[2].warnings[1].startswith("b = -9.00 is below the training mean - 3 sd (")
+    assert got[2].warnings[2:] == ["n = 3 is above the largest value seen in training (2)",
+                                   "s 'XX' was not seen in training: the model treats it as a rare value"]
+
+
 def test_stream_summary_over_many_batches(spark, tmp_path):
     """The state keeps the last requests over micro-batches that come in any order, and a second run adds nothing."""
     events = spark.read.parquet(os.path.join(SMOKE, "events.parquet"))
