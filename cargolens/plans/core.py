@@ -201,8 +201,8 @@ def platform_loads(m: Market) -> DataFrame:
     (denominator floored at 1, clipped to [0, 3]) for every delivered, dated order."""
     o_all, main = _load_probes(m)
     probes = main.select(F.col("order_id").alias("probe_id"), "t_us")
-    plat = trailing_counts(o_all, probes, {"platform_load_7d": (7 * DAY_US, 0),
-                                           "load_28d": (35 * DAY_US, 7 * DAY_US)})
+    plat = _cached(m, "platform_loads", lambda: trailing_counts(o_all, probes, {
+        "platform_load_7d": (7 * DAY_US, 0), "load_28d": (35 * DAY_US, 7 * DAY_US)}))
     surge = F.col("platform_load_7d") / F.greatest(F.col("load_28d") / F.lit(4.0), F.lit(1.0))
     return plat.select(F.col("probe_id").alias("order_id"), "platform_load_7d",
                        F.least(F.greatest(surge, F.lit(0.0)), F.lit(3.0)).alias("platform_surge_7d"))
@@ -213,7 +213,7 @@ def seller_loads(m: Market) -> DataFrame:
     o_all, main = _load_probes(m)
     so = m.items.select("order_id", "seller_id").distinct().join(o_all, "order_id")
     sp = main.select("seller_id", F.col("order_id").alias("probe_id"), "t_us")
-    sel = trailing_counts(so, sp, {"seller_load_7d": (7 * DAY_US, 0)}, keys=["seller_id"])
+    sel = _cached(m, "seller_loads", lambda: trailing_counts(so, sp, {"seller_load_7d": (7 * DAY_US, 0)}, keys=["seller_id"]))
     return sel.select(F.col("probe_id").alias("order_id"), F.coalesce("seller_load_7d", F.lit(0)).alias("seller_load_7d"))
 
 

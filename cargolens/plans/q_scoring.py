@@ -302,7 +302,9 @@ def similar_items(queries, candidates, n: int = 5):
 
     A banded equi-join: candidates are keyed by (category, state, weight band of width ln 1.5, distance band
     of 150 km); each query explodes only the bands its tolerance can reach, so only pairs that can satisfy
-    the theta conditions are formed -- never all pairs of a category."""
+    the theta conditions are formed -- never all pairs of a category.  Each task keeps the best ``n`` of its pairs of a
+    query before the shuffle (the rank limit is applied on both sides of it), so a query's window holds at most ``n`` rows
+    a task.  A hot cell still has all its pairs compared once."""
     kgb = F.floor(F.log(F.col("chargeable_kg") + 0.1) / LN15)
     c = candidates.filter(F.col("distance_km").isNotNull() & F.col("chargeable_kg").isNotNull()).select(
         F.col("key").alias("c_key"), "category", "customer_state", F.col("seller_state").alias("c_seller_state"),
