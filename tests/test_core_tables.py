@@ -1,8 +1,11 @@
-"""The core tables are joined and grouped by order without moving lines."""
+"""The core tables are joined and grouped by order without moving lines; the audit table is written once."""
+
+import re
 
 from pyspark.sql import functions as F
 
 from cargolens.plans import core
+from cargolens.plans.q_audit import audited
 from cargolens.sources.fixtures import Market, market
 from conftest import SMOKE
 
@@ -42,6 +45,11 @@ def test_equal_lines_and_a_product_twice_keep_the_line_numbers(spark, tmp_path):
     assert numbers.exceptAll(raw.withColumn("last", F.col("last").cast("int"))).isEmpty()
 
 
+def test_audit_reports_scan_a_written_table(spark):
+    a = audited(market(spark, SMOKE))
+    assert len(re.findall(r"FileScan", _plan(a))) == 1
+
+
 def test_order_tables_are_in_buckets(spark):
     m = market(spark, SMOKE)
     for df in (core.item_star(m), core.order_master(m), core.item_frame(m)):
