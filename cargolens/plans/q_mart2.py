@@ -14,7 +14,7 @@ from ..operators.mart import pct
 from ..operators.ranking import agg_with_quantiles, exact_quantile
 from ..registry import query
 from ..sources.fixtures import market
-from .core import dated_delivered, delivered_orders, item_star, order_features, order_master
+from .core import _cached, dated_delivered, delivered_orders, item_star, order_features, order_master
 
 INF = math.inf
 
@@ -690,17 +690,23 @@ def agg43_seller_tenure(spark, sf, min_months: int = 3):
 
 
 def seller_month_panel(m, min_months: int = 3):
-    base = _seller_base(m)
-    eligible = (base.groupBy("seller_id").agg(F.count_distinct("purchase_month").alias("k"))
-                .filter(F.col("k") >= min_months).select("seller_id"))
-    p = base.join(eligible, "seller_id", "left_semi")          # JON-7: semi join, no collect + isin
-    return p.groupBy("seller_id", "purchase_month").agg(
-        F.sum("price").alias("revenue"), F.count_distinct("order_id").alias("n_orders"),
-        F.count("order_item_id").alias("n_items"), F.avg("review_score").alias("avg_review_score"),
-        F.avg("is_late_ts").alias("late_rate"),
-        # mean of exact integer microseconds: the sum is order-independent, so the result is repeatable
-        (F.sum("delivery_us") / F.count("delivery_us") / F.lit(86_400_000_000.0)).alias("avg_delivery_days"),
-        F.avg("freight_value").alias("avg_freight"))
+    """One row per seller and month, written once: several reports read it, some of them many times.  A seller's lines of
+    an order are summed first, where they stand (buckets of the order); they move once, by seller and month."""
+    def build():
+        sums = {"revenue": F.sum("price"), "n_items": F.count("order_item_id"), "_freight": F.sum("freight_value"),
+                "_freights": F.count("freight_value"), "_review": F.sum("review_score"), "_reviews": F.count("review_score"),
+                "_late": F.sum("is_late_ts"), "_us": F.sum("delivery_us"), "_timed": F.count("delivery_us")}
+        orders = _seller_base(m).filter(F.col("seller_id").isNotNull()).groupBy("order_id", "seller_id", "purchase_month").agg(
+            *[v.alias(k) for k, v in sums.items()])
+        p = orders.groupBy("seller_id", "purchase_month").agg(F.count(F.lit(1)).alias("n_orders"), *[F.sum(k).alias(k) for k in sums])
+        active = F.count("purchase_month").over(Window.partitionBy("seller_id"))        # a seller has a row per calendar month
+        return p.withColumn("_active", active).filter(F.col("_active") >= min_months).select(
+            "seller_id", "purchase_month", "revenue", "n_orders", "n_items",
+            F.try_divide("_review", "_reviews").alias("avg_review_score"), (F.col("_late") / F.col("n_items")).alias("late_rate"),
+            # mean of exact integer microseconds: the sum is order-independent, so the result is repeatable
+            F.try_divide(F.try_divide("_us", "_timed"), F.lit(86_400_000_000.0)).alias("avg_delivery_days"),
+            F.try_divide("_freight", "_freights").alias("avg_freight"))
+    return _cached(m, f"seller_month_panel:{min_months}", build)
 
 
 @query("agg44_seller_month_panel", f"""

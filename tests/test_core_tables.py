@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cargolens.plans import core
 from cargolens.plans.q_audit import audited
+from cargolens.plans.q_mart2 import _seller_base, seller_month_panel
 from cargolens.sources.fixtures import Market, market
 from conftest import SMOKE
 
@@ -54,3 +55,18 @@ def test_order_tables_are_in_buckets(spark):
     m = market(spark, SMOKE)
     for df in (core.item_star(m), core.order_master(m), core.item_frame(m)):
         assert "Exchange" not in _plan(df.groupBy("order_id").count())
+
+
+def test_seller_months_are_written_once_and_lines_move_once(spark):
+    m = Market(spark, SMOKE)
+    panel = seller_month_panel(m)
+    assert len(re.findall(r"FileScan", _plan(panel))) == 1 and "Exchange" not in _plan(panel)
+    b = _seller_base(m)
+    long = b.groupBy("seller_id").agg(F.count_distinct("purchase_month").alias("k")).filter("k >= 3")
+    want = b.join(long, "seller_id", "left_semi").groupBy("seller_id", "purchase_month").agg(
+        F.count_distinct("order_id").alias("n_orders"), F.count("order_item_id").alias("n_items"), F.round(F.sum("price"), 4).alias("revenue"),
+        *[F.round(F.avg(c), 6).alias(n) for c, n in (("review_score", "avg_review_score"), ("is_late_ts", "late_rate"), ("freight_value", "avg_freight"))],
+        F.round(F.avg("delivery_us") / 86_400_000_000, 6).alias("avg_delivery_days"))
+    got = panel.select("seller_id", "purchase_month", "n_orders", "n_items", F.round("revenue", 4), *[
+        F.round(c, 6) for c in ("avg_review_score", "late_rate", "avg_freight", "avg_delivery_days")])
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and not want.isEmpty()
