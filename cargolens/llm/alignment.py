@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -37,11 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .common import as_row, prepare_long, restored, shared_table
-from .tokens import _byte_of, default_tokenizer, encoder
+from .tokens import _ODD_SPACE, _byte_of, default_tokenizer, encoder
 
 SHIFT = 20                       # an id pair is one number: A id << SHIFT | B id
 BROADCAST = 1 << 18              # pairs that are broadcast at most
 REMEMBERED = 1 << 18             # windows that a worker remembers
+# Latin letters, digits and punctuation: no character here joins with a blank before it when a text is normalised.
+_LATIN = re.compile(r"[\n -~\u00a1-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -88,6 +91,7 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+        self.by_word = not any(b" " in t[1:] and t.strip(b" ") for t in self.bytes)      # no piece reaches across one blank
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text), np.int64)
@@ -102,10 +106,13 @@ class Aligner:
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in k.bytes], bool) for k in (a, b))
         self.size = max(len(a.bytes), len(b.bytes))
         self.words = [f"{i}{mark}" for mark in ",|;" for i in range(self.size)]
+        self.by_word = getattr(a, "ranked", None) is not None and getattr(b, "by_word", False)
         self.forget()
 
     def forget(self) -> None:
         self.memo: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}                  # the windows of words
+        self.sizes = array("q")                          # of each window: n_a, n_b, n_groups, n_links
         self.text: list[str] = []                        # of each window: its groups as text
         self.first = array("q", [0])                     # and the places of its pairs
         self.pairs, self.times = array("q"), array("q")
@@ -127,6 +134,8 @@ class Aligner:
             r = np.arange(len(at)) - np.repeat(np.cumsum(links) - links, links)
             pairs = ids_a[(to_a - n_a)[at] + r // n_b[at]] << SHIFT | ids_b[(to_b - n_b)[at] + r % n_b[at]]
             times, count = np.ones(len(at), np.int64), np.add.reduceat(links, starts)
+        sizes = [np.add.reduceat(n_a[group], starts), np.add.reduceat(n_b[group], starts), size, np.add.reduceat(n_a[group] * n_b[group], starts)]
+        self.sizes.frombytes(np.column_stack(sizes).astype(np.int64).tobytes())
         self.pairs.frombytes(np.asarray(pairs, np.int64).tobytes())
         self.times.frombytes(np.asarray(times, np.int64).tobytes())
         self.first.frombytes((self.first[-1] + np.cumsum(count)).astype(np.int64).tobytes())
@@ -155,24 +164,45 @@ class Aligner:
 
     def document(self, text: str | None) -> tuple[int, int, int, int, str, list[int]]:
         """n_a, n_b, n_groups, n_links, digest of the groups, and the windows."""
-        if not text:
+        windows = self._by_word(text) if text and self.by_word else None
+        if windows is None and text:
+            windows = self._whole(text)
+        if not windows:
             return 0, 0, 0, 0, "", []
+        digest = hashlib.sha256(";".join(map(self.text.__getitem__, windows)).encode()).hexdigest()
+        sizes = np.frombuffer(self.sizes, np.int64).reshape(-1, 4)[windows].sum(0)
+        return *sizes.tolist(), digest, windows
+
+    def _by_word(self, text: str) -> list[int] | None:
+        """The windows of a text whose words are apart by one blank: a word each.  Tokens of neither reach across such a
+        blank, and both mark the next one with it.  Words not seen before are tokenised together; None: not such a text."""
+        if _ODD_SPACE.search(text) or not _LATIN.fullmatch(text):
+            return None
+        words = text.split(" ")
+        windows = list(map(self.known.get, words))
+        if None in windows:
+            new = list(dict.fromkeys(w for w, number in zip(words, windows) if number is None))
+            found = self._whole(" ".join(new))
+            if found is None or len(found) != len(new):
+                return None
+            self.known.update(zip(new, found))
+            windows = list(map(self.known.__getitem__, words))
+        return windows
+
+    def _whole(self, text: str) -> list[int] | None:
+        """The windows of a text that is tokenised whole; None: its bytes don't come back."""
         data = (" " + text).encode()
         ids_a, ids_b = self.a.ids(" " + text), self.b.ids(text)
         if any(b"".join(map(k.bytes.__getitem__, ids.tolist())) != data for k, ids in ((self.a, ids_a), (self.b, ids_b))):
-            return 0, 0, 0, 0, "", []
+            return None
         end_a, end_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         ends = np.zeros(len(data) + 1, np.int8)
         ends[end_a] = 1
         ends[end_b] += 1                                 # no token is empty, so an end occurs once in each
         to_a, to_b = np.flatnonzero(ends[end_a] == 2) + 1, np.flatnonzero(ends[end_b] == 2) + 1
-        links = int((_steps(to_a) * _steps(to_b)).sum())
         anchor = np.ones(len(to_a), bool)
         anchor[:-1] = self.space_a[ids_a[to_a[:-1]]] & self.space_b[ids_b[to_b[:-1]]]
-        cut = np.flatnonzero(anchor) + 1
-        windows = self._windows(ids_a, ids_b, to_a, to_b, cut)
-        digest = hashlib.sha256(";".join(map(self.text.__getitem__, windows)).encode()).hexdigest()
-        return len(ids_a), len(ids_b), len(to_a), links, digest, windows
+        return self._windows(ids_a, ids_b, to_a, to_b, np.flatnonzero(anchor) + 1)
 
     def _windows(self, ids_a: np.ndarray, ids_b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray, cut: np.ndarray) -> list[int]:
         """The number of each window."""

@@ -115,3 +115,18 @@ def test_empty_table(spark):
     assert alignment.align_tokenizers(df).count() == 0
     nothing = spark.createDataFrame([(1, None), (1, None), (None, "")], "doc_id long, text string")
     assert {tuple(r)[2:] for r in alignment.align_tokenizers(nothing).collect()} == {(0, 0, 0, 0, 0, 0, "")}
+
+
+def test_words_seen_are_not_tokenised_again():
+    both = alignment.aligner(alignment.default_tokenizer(), alignment.default_pieces())
+    texts = ["ein Haus am See", "am See, ein Haus", "a\nb c", "x́y z", " ́a b", "a ́b", "a  b", " a", "a­b c", "ª b", "1/2 ½ x",
+             "<s> a </s>", "a <|endoftext|> b", "don't we'll 's x", "--- ***", "日本 a", "▁a b", "“q” – d…", "😀 a", "a <unk> b", "x" * 900 + " y", "!\n! a"]
+    fast, whole = (alignment.Aligner(both.a, both.b) for _ in range(2))
+    assert fast.by_word
+    whole.by_word = False
+    got, want = ([x.tolist() if hasattr(x, "tolist") else x for x in a.documents(texts * 2)] for a in (fast, whole))
+    assert [r[:5] for r in got[0]] == [r[:5] for r in want[0]]
+    for a, b in zip(got[1:], want[1:]):
+        assert [sorted(x) for x in a] == [sorted(x) for x in b]
+    fast.a = fast.b = None                               # no tokenizer is at hand now
+    assert fast.document("See ein Haus am")[:2] == whole.document("See ein Haus am")[:2]
