@@ -114,6 +114,51 @@ def test_forests_learn_refit_equal_and_ignore_the_layout(spark, rows, tmp_path):
     bench.close()
 
 
+def test_coded_training_sets_grow_the_same_forest(rows, monkeypatch):
+    def predictions():
+        bench = Bench(rows, FS, "target")
+        fitted = bench.forest_regressor(trees=10, leaf=2)
+        bench.close()
+        assert isinstance(fitted.model, G.Forest)
+        return {r.i: r.p for r in fitted.score(rows, "p").collect()}, fitted.model
+
+    want, _ = predictions()
+    monkeypatch.setattr(G, "SIDE_BYTES", 20_000)             # 900 rows of 4 inputs: 36,000 bytes as doubles, 14,400 as codes
+    got, model = predictions()
+    assert got == pytest.approx(want)
+    # a forest that is read file by file predicts the same
+    x = np.column_stack([np.linspace(-2, 2, 50), np.arange(50) % 9, np.zeros(50), np.arange(50) % 5])
+    whole = G.predicted(model.path, (3,), x)
+    assert G._rows_at_once(model.path) == 1
+    monkeypatch.setattr(G, "FOREST_NODES", 10)
+    assert G._rows_at_once(model.path) == G.ROWS_AT_ONCE
+    assert G.predicted(model.path, (3,), x) == pytest.approx(whole)
+    parts = list(G._predicted_all(model.path, (3,), [x[:7], x[:0], x[7:]]))
+    assert [len(p) for p in parts] == [7, 0, 43] and np.concatenate(parts) == pytest.approx(whole)
+
+
+def test_bins_part_rows_where_the_forest_does(rows, monkeypatch):
+    monkeypatch.setattr(G, "SIDE_BYTES", 20_000)
+    monkeypatch.setattr(G, "MOST_VALUES", 40)                # input a has more values
+    monkeypatch.setattr(G, "BINS", 32)
+    bench = Bench(rows, FS, "target")
+    side, levels = bench.side()
+    y, values, codes, bins = G._training_set(side)
+    assert bins == {0} and len(values[0]) <= 32 and len(y) == 900
+    tree = G.grow_tree(values, codes, y, np.ones(900), levels, None, 1, None, np.random.default_rng(0), bins)
+    x = np.array([r.features.toArray() for r in bench.vectors(False)[1].select("features").collect()])
+    at = np.zeros(len(x), np.int64)
+    while (tree["feature"][at] >= 0).any():
+        f, t = tree["feature"][at], tree["threshold"][at]
+        v = x[np.arange(len(x)), np.maximum(f, 0)]
+        go = np.where(np.isin(f, list(levels)), v == t, v <= t)
+        at = np.where(f < 0, at, np.where(go, tree["left"][at], tree["right"][at]))
+    labels = np.array([r.label for r in bench.vectors(False)[1].select("label").collect()])
+    for leaf in np.unique(at):                               # the mean of the rows that end there
+        assert labels[at == leaf].mean() == pytest.approx(tree["value"][leaf])
+    bench.close()
+
+
 def test_large_training_sets_go_to_row_parallel_forests(rows, monkeypatch):
     monkeypatch.setattr(G, "SIDE_BYTES", 100)
     bench = Bench(rows, FS, "target")
