@@ -11,7 +11,7 @@ compared on in-order input).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -106,29 +106,60 @@ def stream_split(log: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return run_updates(dedupe(log, streaming=True).select("request_id", "row", outcome), out, checkpoint, "append")
 
 
-def weekly_medians(counts: DataFrame) -> DataFrame:
-    """(week, orders, promise): exact medians from value counts (week, promise, n) of any number of batches."""
-    from ..operators.ranking import agg_with_quantiles
-    merged = stored(counts.groupBy("week", "promise").agg(F.sum("n").alias("n")), "week-counts")
-    each = merged.select("week", "promise", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_i"))
-    return agg_with_quantiles(each, ["week"], [F.count(F.lit(1)).alias("orders")], {"promise": ("promise", 0.5)})
+BINS_A_DAY = 24                          # of the running counts that say where a week's median is
+
+
+def weekly_medians(bins: DataFrame, values: DataFrame) -> DataFrame:
+    """(week, orders, promise): exact medians of whole weeks.  ``bins``: their counts (week, bin, n), which say in which bins the
+    medians are; ``values``: value counts (week, promise, bin, n) of any number of batches, of which only these bins are read."""
+    week = Window.partitionBy("week")
+    upto = week.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    lo, hi = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)
+    ranked = bins.filter(F.col("bin").isNotNull()).select("week", "bin", (F.sum("n").over(upto) - F.col("n")).alias("below"), "n",
+                                                          F.sum("n").over(week).alias("all"))
+    at = ranked.filter((F.col("below") <= hi) & (F.col("below") + F.col("n") > lo))             # one or two bins a week
+    at = stored(at.select(F.col("week").alias("_week"), F.col("bin").alias("_bin"), "all",
+                          F.min("below").over(week).alias("below")), "median-bins")
+    ends = at.agg(F.min("_bin").alias("a"), F.max("_bin").alias("b")).first()
+    near = values.filter(F.col("bin").between(ends["a"], ends["b"])).join(                      # bounded by the calendar
+        F.broadcast(at), F.col("week").eqNullSafe(F.col("_week")) & (F.col("bin") == F.col("_bin")))
+    each = near.groupBy("week", "promise").agg(F.sum("n").alias("n"), F.max("below").alias("below"), F.max("all").alias("all"))
+    upto = week.orderBy("promise").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.col("below") + F.sum("n").over(upto))
+
+    def value(rank):
+        return F.max(F.when((F.col("end") - F.col("n") <= rank) & (rank < F.col("end")), F.col("promise")))
+
+    found = each.groupBy(F.col("week").alias("_week")).agg(value(lo).alias("lo"), value(hi).alias("hi"))
+    orders = bins.groupBy("week").agg(F.sum("n").alias("orders"))
+    return orders.join(found, F.col("week").eqNullSafe(F.col("_week")), "left").select(
+        "week", "orders", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
+            F.col("lo") + F.lit(0.5) * (F.col("hi") - F.col("lo"))).alias("promise"))
 
 
 def stream_weekly_alert(promises: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """STR-5 as a stream of (week, promise), incrementally: a micro-batch adds its value counts by week, and only the weeks
-    it has rows of get their medians again, from the merged counts of these weeks (partitions of the store).  The alert is
-    computed on the small weekly table.  A repeated batch replaces its own counts and medians."""
+    """STR-5 as a stream of (week, promise), incrementally: a micro-batch adds its value counts by week to a store, and only the
+    weeks it has rows of get their medians again.  The counts of all batches so far by week and hour of the promise, a small
+    table that each batch writes anew, say where the medians are, and only the values of these hours are read from the store:
+    no batch moves the counts of those before it again.  The alert is computed on the small weekly table.  A repeated batch
+    replaces its own counts and medians."""
     spark = promises.sparkSession
-    columns = "promise double, n long, epoch int, week date"
+    columns, small = "week date, promise double, n long, bin long", "week date, bin long, n long"
 
     def update(batch: DataFrame, epoch: int) -> None:
-        own = f"{out}/counts/epoch={epoch}"
-        batch.groupBy("week", "promise").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("week").parquet(own)
-        store = batch.sparkSession.read.schema(columns).parquet(f"{out}/counts")
-        # bounded by the calendar
-        weeks = [x.week for x in store.filter(F.col("epoch") == epoch).select("week").distinct().collect()]
-        weekly_medians(store.filter(F.col("week").isin(weeks) & (F.col("epoch") <= epoch))).write.mode("overwrite").parquet(
-            f"{out}/weekly/epoch={epoch}")
+        session, path = batch.sparkSession, f"{out}/counts/epoch={epoch}"
+        counts = batch.groupBy("week", "promise").agg(F.count(F.lit(1)).alias("n"))
+        hour = F.when(F.isnan("promise"), F.lit((1 << 63) - 1)).otherwise(F.floor(F.col("promise") * BINS_A_DAY))
+        counts.withColumn("bin", hour).sortWithinPartitions("bin").write.mode("overwrite").parquet(path)
+        own = session.read.schema(columns).parquet(path).select("week", "bin", "n")
+        weeks = own.select(F.col("week").alias("_week")).distinct()
+        if epoch:
+            own = own.unionByName(session.read.schema(small).parquet(f"{out}/bins/epoch={epoch - 1}"))
+        own.groupBy("week", "bin").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{out}/bins/epoch={epoch}")
+        bins = session.read.schema(small).parquet(f"{out}/bins/epoch={epoch}").join(              # bounded by the calendar
+            F.broadcast(weeks), F.col("week").eqNullSafe(F.col("_week")), "left_semi")
+        values = session.read.schema(f"{columns}, epoch int").parquet(f"{out}/counts").filter(F.col("epoch") <= epoch)
+        weekly_medians(bins, values).write.mode("overwrite").parquet(f"{out}/weekly/epoch={epoch}")
 
     q = (promises.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -224,7 +255,6 @@ def stream_loads(orders: DataFrame, out: str, checkpoint: str, days: int = 7) ->
 def weekly_alert_batch(weekly: DataFrame) -> DataFrame:
     """STR-5 / WIN-9 on the small weekly table: alert when the week's median promise moved more than 20%
     from the median of the previous 4 weeks (at least 2)."""
-    from pyspark.sql import Window
     frame = Window.orderBy("week").rowsBetween(-4, -1)
     prev = F.sort_array(F.collect_list("promise").over(frame))
     w = weekly.withColumn("_prev", prev)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cargolens.operators import quality as Q
+from cargolens.session import checkpoint_dir
 from cargolens.streaming import monitor as MON
 from cargolens.streaming.log import log_from_events
 
@@ -104,6 +105,29 @@ def test_stream_loads_and_weekly_alert_by_batch(spark, tmp_path):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_weekly_alert_moves_no_earlier_counts(spark, tmp_path):
+    """Null weeks, null and repeated promises over many batches equal the batch; the value counts of a batch are written once."""
+    import datetime
+    import random
+    rng = random.Random(7)
+    weeks = [None, *[datetime.date(2024, 1, 1) + datetime.timedelta(days=7 * w) for w in range(5)]]
+    rows = [(rng.choice(weeks), rng.choice([None, 3.0, -2.5, rng.uniform(-1, 40), rng.uniform(-1, 40)])) for _ in range(2400)]
+    rows += [(datetime.date(2024, 3, 4), None)]                                       # a week without any promise
+    promises = spark.createDataFrame(rows, "week date, promise double")
+    landing, out = str(tmp_path / "promises"), str(tmp_path / "alerts")
+    promises.repartition(8).write.parquet(landing)
+    stream = spark.readStream.schema(promises.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    shared = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    got = MON.stream_weekly_alert(stream, out, str(tmp_path / "checkpoint"))
+    want = MON.weekly_alert_batch(promises.groupBy("week").agg(F.count(F.lit(1)).alias("orders"), F.median("promise").alias("promise")))
+    cols = ["week", "orders", "promise", "trailing", "alert"]
+    assert sorted(map(repr, map(tuple, got.select(*cols).collect()))) == sorted(map(repr, map(tuple, want.select(*cols).collect())))
+    others = [f"{shared}/{x}" for x in set(os.listdir(shared)) - before]
+    written = [spark.read.parquet(x).count() for x in others if os.path.exists(f"{x}/_SUCCESS")]
+    assert spark.read.parquet(f"{out}/counts").count() + sum(written) < 1.5 * len(rows)
+
+
 def test_permissive_upload(spark, tmp_path):
     from cargolens.sources.files import read_upload
     p = tmp_path / "up.csv"
