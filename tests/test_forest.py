@@ -3,8 +3,10 @@
 import threading
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SMOKE
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cargolens.operators import forest as G
@@ -159,6 +161,61 @@ def test_bins_part_rows_where_the_forest_does(rows, monkeypatch):
     bench.close()
 
 
+@pytest.mark.parametrize("n, distinct, kind", [(6000, 300, {"leaf": 3, "share": 0.5, "depth": None}), (70_000, 10**9, {
+    "leaf": 40, "share": 0.7, "depth": 9}), (6000, 300, {"leaf": 2, "share": "sqrt", "depth": 6, "class_weight": "balanced_subsample"})])
+def test_trees_of_the_jvm_are_those_of_numpy(spark, n, distinct, kind):
+    rng = np.random.default_rng(7)                           # the second case has codes of four bytes
+    x = np.column_stack([rng.integers(0, distinct, n), rng.permutation(n), rng.integers(0, 9, n), rng.integers(0, 30, n)]).astype(float)
+    y = np.floor(x[:, 0] * 3 / distinct) + (x[:, 3] == 2) + rng.integers(0, 9, n) * 7 + x[:, 1] // 50       # whole numbers: sums are exact
+    if "class_weight" in kind:
+        y = (y > np.median(y)).astype(float)
+    rows = pd.DataFrame({"x": list(x), "label": y})
+    df = spark.createDataFrame(rows).select(array_to_vector("x").alias("features"), "label")
+    side = G.side_table(df, 4, True)
+    forest = G.grow_forest(spark, side, {3: 31}, 3, **kind)
+    labels, values, codes, bins = G._training_set(side)
+    assert sorted(zip(*[v[c] for v, c in zip(values, codes)], labels)) == sorted(map(tuple, np.column_stack([x, y])))
+    slots = int(34 ** 0.5) if kind["share"] == "sqrt" else int(34 * kind["share"])
+    for t, tree in enumerate(G._small_forest(forest.path)):
+        root = G.tree_id(42, t)
+        drawn = G.draw_rows(n, root)
+        want = G.grow_tree(values, codes, labels, drawn * G._class_weights(labels, drawn, kind.get("class_weight")), {3: 31}, slots,
+                           kind["leaf"], kind["depth"], root, bins)
+        assert tree["tree"] == t and len(tree["feature"]) > 20
+        todo, same = [(0, 0)], 0
+        while todo:
+            a, b = todo.pop()
+            alike = tree["feature"][a] == want["feature"][b] and tree["number"][a] == pytest.approx(
+                want["value" if want["feature"][b] < 0 else "threshold"][b])
+            if alike and tree["feature"][a] >= 0:
+                todo += [(tree["child"][a], want["left"][b]), (tree["child"][a] + 1, want["right"][b])]
+            same += alike
+        assert same >= 0.97 * len(want["value"])             # equally good splits may differ by rounding of gains
+
+
+def test_smaller_forests_and_other_vectors_reuse_what_a_bench_has(spark, rows, monkeypatch, tmp_path):
+    from cargolens.operators import prep as P
+    calls = []
+    for module, name in ((P, "_learnt"), (G, "grow_forest")):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), name=name, **k: (calls.append(name), f(*a, **k))[1])
+    bench = Bench(rows, FS, "target")
+    linear, _, n, sd = bench.vectors(True)
+    trees = bench.vectors(False)[0]
+    assert calls == ["_learnt"] and linear.linear and not trees.linear and trees.centre == {} and linear.centre
+    assert (trees.medians, trees.levels, trees.missing) == (linear.medians, linear.levels, linear.missing) and n == 900 and sd > 0
+    whole, part = bench.forest_regressor(trees=6), bench.forest_regressor(trees=4)
+    assert calls.count("grow_forest") == 1 and (whole.model.trees, part.model.trees) == (6, 4)
+    bench.close()
+    alone = Bench(rows, FS, "target").forest_regressor(trees=4)
+    part.save(spark, str(tmp_path / "four"))
+    want, got, loaded = ({r.i: r.p for r in f.score(rows, "p").collect()} for f in (alone, part, Fitted.load(spark, str(tmp_path / "four"))))
+    assert got == pytest.approx(want) and loaded == pytest.approx(want)
+    assert {r.i: r.p for r in whole.score(rows, "p").collect()} != pytest.approx(want)
+    monkeypatch.setattr(G, "FOREST_NODES", 10)
+    x = np.array([r.features.toArray() for r in alone.prep.transform(rows).select("features").collect()])
+    assert G.predicted(whole.model.path, (3,), x, 4) == pytest.approx(G.predicted(alone.model.path, (3,), x))
+
+
 def test_large_training_sets_go_to_row_parallel_forests(rows, monkeypatch):
     monkeypatch.setattr(G, "SIDE_BYTES", 100)
     bench = Bench(rows, FS, "target")
