@@ -216,6 +216,22 @@ def test_smaller_forests_and_other_vectors_reuse_what_a_bench_has(spark, rows, m
     assert G.predicted(whole.model.path, (3,), x, 4) == pytest.approx(G.predicted(alone.model.path, (3,), x))
 
 
+def test_forests_predict_alike_in_the_jvm_and_in_python(rows, monkeypatch):
+    bench = Bench(rows, FS, "target")
+    fitted = bench.forest_regressor(trees=37, leaf=2)        # not a multiple of the trees side by side
+    bench.close()
+
+    def scored():
+        df = fitted.score(rows, "p")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return {r.i: r.p for r in df.collect()}, "ArrowEvalPython" in plan
+
+    got, in_python = scored()
+    monkeypatch.setattr(G, "HEAP_SHARE", 0.0)
+    want, want_python = scored()
+    assert got == pytest.approx(want) and (in_python, want_python) == (False, True)
+
+
 def test_large_training_sets_go_to_row_parallel_forests(rows, monkeypatch):
     monkeypatch.setattr(G, "SIDE_BYTES", 100)
     bench = Bench(rows, FS, "target")
